@@ -17,18 +17,23 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_INF = F.lit(float("inf"))
-_NAN = F.lit(float("nan"))
+
+def _inf() -> Column:
+    return F.lit(float("inf"))
+
+
+def _nan() -> Column:
+    return F.lit(float("nan"))
 
 
 def reciprocal(value: Column | str) -> Column:
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    return F.when(v == 0, _INF).otherwise(F.lit(1.0) / v)
+    return F.when(v == 0, _inf()).otherwise(F.lit(1.0) / v)
 
 
 def finish(n: Column, s: Column) -> Column:
-    return (F.when(n == 0, _NAN)
-            .when(s == 0, _INF)
+    return (F.when(n == 0, _nan())
+            .when(s == 0, _inf())
             .otherwise(n.cast("double") / s))
 
 
