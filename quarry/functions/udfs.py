@@ -17,12 +17,16 @@ from pyspark.sql.functions import pandas_udf
 from quarry.functions import harmonic
 
 
-@pandas_udf("double")
-def log_magnitude(v: pd.Series) -> pd.Series:
+def _log_magnitude(v: pd.Series) -> pd.Series:
     """log10(1 + v), one Arrow batch at a time."""
     return np.log10(1.0 + v.astype("float64"))
 
 
+def log_magnitude():
+    """The pandas UDF (built on demand: creating one needs a live session)."""
+    return pandas_udf(_log_magnitude, "double")
+
+
 def register_all(spark: SparkSession) -> None:
     harmonic.register_sql(spark)
-    spark.udf.register("log_magnitude", log_magnitude)
+    spark.udf.register("log_magnitude", log_magnitude())
