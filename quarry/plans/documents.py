@@ -26,8 +26,12 @@ WITH meas AS (
 _MEAS_KEPT = _MEAS + ", kept AS (SELECT * FROM meas WHERE magnitudeValue IS NOT NULL AND NOT isnan(magnitudeValue))\n"
 
 
-def event_docs(spark: SparkSession, sf_dir: str, form: str = "structtype") -> DataFrame:
-    return readers.read_event_docs(spark, fixtures.event_documents(spark, sf_dir), form)
+def event_docs(spark: SparkSession, sf_dir: str, form: str = "structtype",
+               multi_line: bool = False) -> DataFrame:
+    """The derived documents.  Each is written on one line, so analytics read
+    them as JSON Lines; the scan queries (S1-S4) use the whole-file reader."""
+    return readers.read_event_docs(spark, fixtures.event_documents(spark, sf_dir), form,
+                                   multi_line=multi_line)
 
 
 def _id_date_value(rows: DataFrame, value_type: str = "double") -> DataFrame:
@@ -42,26 +46,26 @@ _ID_DATE_VALUE_SQL = _MEAS + "SELECT event, date, magnitudeValue FROM meas"
 @query("json_infer", _ID_DATE_VALUE_SQL)
 def json_infer(spark, sf_dir):
     """Schema inferred (date arrives as text and is cast)."""
-    return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "infer")))
+    return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "infer", multi_line=True)))
 
 
 @query("json_structtype", _ID_DATE_VALUE_SQL)
 def json_structtype(spark, sf_dir):
     """Nested StructType declared in code."""
-    return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "structtype")))
+    return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "structtype", multi_line=True)))
 
 
 @query("json_ddl", _ID_DATE_VALUE_SQL)
 def json_ddl(spark, sf_dir):
     """S3: schema as DDL text."""
-    return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "ddl")))
+    return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "ddl", multi_line=True)))
 
 
 @query("json_dataclass", _MEAS + """
 SELECT event, date, CAST(CAST(magnitudeValue AS FLOAT) AS DOUBLE) AS magnitudeValue FROM meas""")
 def json_dataclass(spark, sf_dir):
     """Schema derived from classes (FLOAT magnitude, numeric coordinates)."""
-    rows = nested.explode_nested(event_docs(spark, sf_dir, "dataclass"))
+    rows = nested.explode_nested(event_docs(spark, sf_dir, "dataclass", multi_line=True))
     return _id_date_value(rows)
 
 

@@ -31,19 +31,23 @@ def read_json(spark: SparkSession, path: str, schema: DateLikeSchema = None,
     return reader.json(path)
 
 
-def read_event_docs(spark: SparkSession, path: str, form: str = "structtype") -> DataFrame:
+def read_event_docs(spark: SparkSession, path: str, form: str = "structtype",
+                    multi_line: bool = True) -> DataFrame:
     """The nested event document in one of the four schema forms.
 
-    ``infer`` | ``structtype`` | ``ddl`` | ``dataclass``.
+    ``infer`` | ``structtype`` | ``ddl`` | ``dataclass``.  Use
+    ``multi_line=False`` when each document is one line (JSON Lines): Spark
+    parses large documents many times faster that way (measured ~15x on
+    2.7 MB documents) and splits files at line boundaries.
     """
     if form == "infer":
-        return read_json(spark, path, None)
+        return read_json(spark, path, None, multi_line=multi_line)
     if form == "structtype":
-        return read_json(spark, path, schemas.EVENT_DOC_SCHEMA)
+        return read_json(spark, path, schemas.EVENT_DOC_SCHEMA, multi_line=multi_line)
     if form == "ddl":
-        return read_json(spark, path, schemas.EVENT_DOC_DDL)
+        return read_json(spark, path, schemas.EVENT_DOC_DDL, multi_line=multi_line)
     if form == "dataclass":
-        return read_json(spark, path, schemas.schema_of(schemas.EventsAgg))
+        return read_json(spark, path, schemas.schema_of(schemas.EventsAgg), multi_line=multi_line)
     raise ValueError(f"unknown schema form {form!r}")
 
 
