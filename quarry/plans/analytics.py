@@ -174,7 +174,7 @@ FROM win GROUP BY start_us"""
 
 def flat_concat(df: DataFrame) -> DataFrame:
     return df.select(_ntz("window.start").alias("window_start"), _ntz("window.end").alias("window_end"),
-                     F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"),
+                     F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n_chars"),
                      F.col("n_lines"))
 
 

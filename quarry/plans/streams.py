@@ -19,7 +19,7 @@ from quarry.plans.analytics import CONCAT_SQL, LINES_SQL, _STATS_SQL, _hm_sql, f
 from quarry.plans.registry import query
 from quarry.sources import fixtures, poll
 from quarry.streaming import events as sev
-from quarry.streaming import runner
+from quarry.streaming import runner, sinks
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,26 +153,25 @@ def stream_sliding(spark, sf_dir):
 
 @query("stream_text_sink", CONCAT_SQL)
 def stream_text_sink(spark, sf_dir):
-    """K2: window texts written as text files, one folder per batch.
+    """K2 + S11: window texts written as text files, one folder per batch,
+    plus a Parquet copy of the same batch (persisted once, written twice).
 
-    Each line is ``start<TAB>end<TAB>n_lines<TAB>text``; a window updated in
-    several batches is read back from its newest batch.
+    Each text line is ``start<TAB>end<TAB>n_lines<TAB>text``; a window updated
+    in several batches is read back from its newest batch.
     """
     runner.use_rocksdb_state(spark)
     run_dir = runner.shared_dir(spark, "streams", f"text-sink-{uuid.uuid4().hex[:8]}")
-    base = os.path.join(run_dir, "out")
-    windows = _sliding(spark, sf_dir)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.concat_ws("\t", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss"),
-                                  F.date_format("window.end", "yyyy-MM-dd HH:mm:ss"),
-                                  F.col("n_lines").cast("string"), "text"))
-         .write.mode("overwrite").text(os.path.join(base, f"batch={batch_id}")))
-
-    ckpt = os.path.join(run_dir, "checkpoint")
-    q = (windows.writeStream.outputMode("update").option("checkpointLocation", ckpt)
-         .foreachBatch(sink).trigger(availableNow=True).start())
+    base, copy = os.path.join(run_dir, "text"), os.path.join(run_dir, "parquet")
+    line = F.concat_ws("\t", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss"),
+                       F.date_format("window.end", "yyyy-MM-dd HH:mm:ss"),
+                       F.col("n_lines").cast("string"), "text")
+    writer = sinks.fan_out(sinks.text_batches(base, line), sinks.parquet_batches(copy))
+    q = (_sliding(spark, sf_dir).writeStream.outputMode("update")
+         .option("checkpointLocation", os.path.join(run_dir, "checkpoint"))
+         .foreachBatch(writer).trigger(availableNow=True).start())
     q.awaitTermination(600)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
     raw = spark.read.option("basePath", base).text(base)
     parts = F.split("value", "\t", 4)
     rows = raw.select(F.col("batch"),
@@ -182,5 +181,5 @@ def stream_text_sink(spark, sf_dir):
         F.max_by(F.struct("n_lines", "text"), "batch").alias("r"))
     return latest.select(F.col("start").cast("timestamp_ntz").alias("window_start"),
                          F.col("end").cast("timestamp_ntz").alias("window_end"),
-                         F.md5("r.text").alias("text_md5"), F.length("r.text").alias("n_chars"),
+                         F.md5("r.text").alias("text_md5"), F.length("r.text").cast("bigint").alias("n_chars"),
                          F.col("r.n_lines").alias("n_lines"))
