@@ -23,7 +23,12 @@ def _log_magnitude(v: pd.Series) -> pd.Series:
 
 
 def log_magnitude():
-    """The pandas UDF (built on demand: creating one needs a live session)."""
+    """The pandas UDF (built on demand: creating one needs a live session).
+    Pickled by value, so workers need not import this package."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return pandas_udf(_log_magnitude, "double")
 
 

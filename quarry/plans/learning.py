@@ -10,6 +10,7 @@ from quarry.ml import models as ml
 from quarry.operators import windows
 from quarry.plans.documents import prices
 from quarry.plans.registry import query
+from quarry.session import materialize
 from quarry.sources import fixtures, readers, schemas
 
 FEATURES = ["Open", "High", "Low"]
@@ -154,7 +155,8 @@ def ar_forecast(spark, sf_dir):
     """Autoregression on 50-step windows per user, split by time."""
     ev = fixtures.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     seq = windows.sequence_windows(ev, ["user_id"], ["ts", "event_id"], "value", 50)
-    vec = ml.sequences_to_vectors(seq)
+    # three passes follow (quantile cut, fit, predict): derive the windows once
+    vec = materialize(ml.sequences_to_vectors(seq))
     train, test = ml.time_split(vec, "ts")
-    model = ml.linear_regression("Features", "target", max_iter=50, reg=0.0, elastic_net=0.0).fit(train)
+    model = ml.ols("Features", "target").fit(train)
     return model.transform(test).select("user_id", "ts", "target", F.round("prediction", 4).alias("prediction"))

@@ -42,10 +42,40 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Runtime SQL settings the operators rely on (idempotent)."""
+    """Runtime SQL settings the operators rely on, and the library shipped to
+    the executors' Python workers (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package and add it to the SparkContext (``addPyFile``), so
+    Python workers can import it for UDFs and the Python data source --
+    the runtime equivalent of ``spark-submit --py-files``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(shared_dir(spark, "pyfiles"), "quarry.zip")
+    tmp = target + ".tmp"
+    with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    os.replace(tmp, target)
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
@@ -87,3 +117,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(os.path.join(_checkpoint_root(spark), "quarry-rdd"))
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (survives executor loss, unlike local checkpoints).  Use before several
+    passes over an expensive derived DataFrame, e.g. iterative model fits."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

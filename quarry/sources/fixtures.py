@@ -26,7 +26,7 @@ ROWS_PER_EVENT_DOC = 100_000     # rows per multi-line document (one task each)
 ROWS_PER_SERIES_DOC = 50_000     # rows per time-series document (JSON lines)
 MIN_DOCS = 8                     # keep some parallelism on tiny inputs
 PAYLOAD_ROWS = 5                 # datapoints per polled payload
-PAYLOADS_PER_FILE = 200          # payloads per landed file (= one offset step)
+PAYLOADS_PER_FILE = 2000         # payloads per landed file (= one offset step, ~300 KB)
 MICROS_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 _lock = threading.Lock()

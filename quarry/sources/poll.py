@@ -108,7 +108,12 @@ def _landed_numbers(root: str) -> list[int]:
 
 
 def _read_landed_dir(directory: str):
+    """All payloads of one landed file as one Arrow batch (a landed file
+    holds a bounded number of payloads)."""
+    import pyarrow as pa
+
     directory = _local(directory)
+    payload, first, body = [], [], []
     for name in sorted(os.listdir(directory)):
         if name.startswith(".") or name.startswith("_") or not name.endswith(".json"):
             continue
@@ -117,13 +122,18 @@ def _read_landed_dir(directory: str):
                 line = raw.decode("utf-8").strip()
                 if line:
                     rec = json.loads(line)
-                    yield (rec["payload"], rec["first_index"], rec["body"])
+                    payload.append(rec["payload"])
+                    first.append(rec["first_index"])
+                    body.append(rec["body"])
+    if payload:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(payload, pa.int64()), pa.array(first, pa.int64()), pa.array(body, pa.string())],
+            names=["payload", "first_index", "body"])
 
 
 class LandedPayloadStreamReader(DataSourceStreamReader):
-    def __init__(self, path: str, max_files: int | None):
+    def __init__(self, path: str):
         self.path = path
-        self.max_files = max_files
 
     def initialOffset(self) -> dict:
         return {"file": -1}
@@ -174,13 +184,19 @@ class LandedPayloadSource(DataSource):
         return path
 
     def streamReader(self, schema):
-        return LandedPayloadStreamReader(self._path(), None)
+        return LandedPayloadStreamReader(self._path())
 
     def reader(self, schema):
         return LandedPayloadBatchReader(self._path())
 
 
 def register(spark: SparkSession) -> None:
+    # Serialize this module's classes by value: the data source is planned
+    # and read in Python workers that need not have this package installed.
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(LandedPayloadSource)
 
 

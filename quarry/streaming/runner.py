@@ -62,8 +62,13 @@ class StreamResult:
 
 def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
         trigger: str = "available_now", processing_time: str | None = None,
-        timeout_s: float | None = 600) -> StreamResult:
-    """Start ``df`` (a streaming DataFrame), wait (available-now), return the result."""
+        timeout_s: float | None = 600, state_partitions: int | None = None) -> StreamResult:
+    """Start ``df`` (a streaming DataFrame), wait (available-now), return the result.
+
+    The number of state partitions is fixed by a query's first checkpoint;
+    a new query gets ``state_partitions`` (default: the cluster's default
+    parallelism, so state scales with the executors, not a fixed 200).
+    """
     spark = df.sparkSession
     base = shared_dir(spark, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
@@ -86,7 +91,13 @@ def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None =
         writer = writer.trigger(processingTime=processing_time)
     else:
         writer = writer.trigger(availableNow=True)
-    q = writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = writer.start()          # the query clones the session conf here
+    finally:
+        spark.conf.set(key, previous)
     if not processing_time:
         q.awaitTermination(timeout_s)
         if q.isActive:
