@@ -29,12 +29,16 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[Data
     return df.randomSplit(list(weights), seed=seed)
 
 
+def hash_bucket(key: str | list[str], seed: int = 42, buckets: int = 100) -> Column:
+    keys = [key] if isinstance(key, str) else key
+    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
+
+
 def hash_split(df: DataFrame, key: str | list[str], train_pct: int = 80,
                seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Stable split by a hash of the key: the same rows land in the same
     part whatever the partitioning or cluster size."""
-    keys = [key] if isinstance(key, str) else key
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(100))
+    bucket = hash_bucket(key, seed)
     return df.where(bucket < train_pct), df.where(bucket >= train_pct)
 
 
@@ -126,7 +130,7 @@ def sequences_to_vectors(df: DataFrame, history: str = "history", out: str = "Fe
 
 
 __all__ = [
-    "Pipeline", "PipelineModel", "random_split", "hash_split", "time_split", "assembler", "scaler",
+    "Pipeline", "PipelineModel", "random_split", "hash_bucket", "hash_split", "time_split", "assembler", "scaler",
     "vector_columns", "linear_regression", "ols", "gamma_glm", "random_forest", "regression_pipeline",
     "coefficients", "regression_metrics", "evaluator_r2", "glm_summary", "sequences_to_vectors",
 ]

@@ -93,12 +93,9 @@ def random_split(spark, sf_dir):
     """M1: 80/20 random split (seed 42) labelled, plus the stable hash split."""
     data = prices(spark, sf_dir)
     train, test = ml.random_split(data)
-    h_train, _ = ml.hash_split(data, "Date")
-    labelled = (train.select("Date", F.lit("train").alias("random_part"))
-                .unionByName(test.select("Date", F.lit("test").alias("random_part"))))
-    in_hash_train = h_train.select("Date", F.lit("train").alias("hash_part"))
-    return (labelled.join(in_hash_train, "Date", "left")
-            .select("Date", "random_part", F.coalesce("hash_part", F.lit("test")).alias("hash_part")))
+    hash_part = F.when(ml.hash_bucket("Date") < 80, "train").otherwise("test").alias("hash_part")
+    return (train.select("Date", F.lit("train").alias("random_part"), hash_part)
+            .unionByName(test.select("Date", F.lit("test").alias("random_part"), hash_part)))
 
 
 @query("model_coefficients")
