@@ -11,6 +11,7 @@ from quarry.operators import nested, timewindows, windows
 from quarry.operators.aggregates import harmonic
 from quarry.plans.documents import _MEAS_KEPT, event_docs
 from quarry.plans.registry import query
+from quarry.session import write_table
 from quarry.sources import fixtures, readers
 
 
@@ -33,6 +34,8 @@ def window_running_avg(spark, sf_dir):
     """Running average per category ordered by date (RANGE frame)."""
     meas = nested.event_measurements(event_docs(spark, sf_dir))
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
+    # the running average reads its input in several branches: parse JSON once
+    meas = write_table(meas, "measurements")
     out = windows.running_average(meas, ["ids"], "date", "magnitudeValue", "WindowSpecAvg")
     return out.select("event", F.array_join("ids", "|").alias("category_ids"), "date",
                       F.round("WindowSpecAvg", 4).alias("WindowSpecAvg"))
@@ -71,6 +74,8 @@ def lag_list(spark, sf_dir):
                                     timestamp_format=fixtures.MICROS_TS_FORMAT)
     rows = docs.select("COD", F.explode("Data").alias("Data")).select(
         "COD", F.col("Data.Fecha").alias("Fecha"), F.col("Data.Valor").alias("Valor"))
+    # the lag operator reads its input in several branches: parse JSON once
+    rows = write_table(rows, "series_points")
     lagged = windows.lag_list(rows, ["COD"], ["Fecha"], "Valor", 10, "laggedValues")
     return lagged.select("COD", _ntz("Fecha").alias("Fecha"), "Valor",
                          _cents_text("laggedValues").alias("laggedValues"))

@@ -125,3 +125,16 @@ def materialize(df):
     passes over an expensive derived DataFrame, e.g. iterative model fits."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df, name: str):
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Used where a plan forks into several branches over an expensive input
+    (e.g. parsed JSON): every branch then scans columnar files instead of
+    re-parsing the source.  The written table also cuts the lineage, so a
+    lost executor never forces a re-parse.
+    """
+    path = shared_dir(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex[:8]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
