@@ -84,3 +84,14 @@ def test_decode_keeps_every_map_entry(spark):
     rows = poll.decode_payloads(df).orderBy("index").collect()
     assert [(r.value, r["index"]) for r in rows] == [(7, 1), (8, 2), (0, 3)]
     assert rows[0].timestamp == dt.datetime(2024, 1, 1, 0, 0, 5)
+
+
+def test_file_source_path_bounds_batches(spark, scratch):
+    land = os.path.join(scratch, "landed")
+    _land(land, 0, 3, dt.datetime(2024, 1, 1))
+    df = poll.datapoint_file_stream(spark, land, max_files_per_trigger=1)
+    res = runner.run(df, "file_path", "append")
+    rows = res.table().collect()
+    assert sorted(r["index"] for r in rows) == list(range(1, 16))
+    batches = [p for p in res.query.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3
