@@ -13,8 +13,9 @@ partition is bounded:
   first k rows of a fragment look back across the boundary, through a small
   table of fragment heads and tails (at most 2k rows per fragment).
 
-Fragment count per key = ceil(rows_of_key / rows_per_fragment); keys below
-the fragment size keep a single fragment, so small inputs plan as one window.
+Fragment count per key = ceil(rows_of_key / rows_per_fragment).  A checked
+size comes first: when no key exceeds the fragment size (one aggregate, one
+number to the driver), the plain window is provably bounded and is used.
 """
 
 from __future__ import annotations
@@ -46,6 +47,25 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
+def _key_stats(df: DataFrame, keys: list[str], order_col: str, rows_per_fragment: int) -> DataFrame:
+    """One row per key: fragment count and width over ``order_col``."""
+    num = _as_number(df, order_col)
+    nf = F.ceil(F.col("_n") / F.lit(rows_per_fragment))
+    return (df.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
+            .select(*keys, "_lo", nf.alias("_nf"), ((F.col("_hi") - F.col("_lo")) / nf).alias("_width")))
+
+
+def keys_fit_one_fragment(df: DataFrame, keys: list[str], rows_per_fragment: int = ROWS_PER_FRAGMENT) -> bool:
+    """Checked size: True when no key has more than ``rows_per_fragment`` rows.
+
+    One partially-aggregated job over the key columns; only a single number
+    reaches the driver.  When it holds, a plain window is bounded per key.
+    """
+    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return biggest is None or biggest <= rows_per_fragment
+
+
 def with_fragments(df: DataFrame, keys: list[str], order_col: str,
                    rows_per_fragment: int = ROWS_PER_FRAGMENT) -> DataFrame:
     """Add ``_frag``: equal-width ranges of ``order_col`` within each key.
@@ -56,11 +76,7 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
     exactly like (key, order).
     """
     num = _as_number(df, order_col)
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
-             .select(*keys, "_lo",
-                     F.ceil(F.col("_n") / F.lit(rows_per_fragment)).alias("_nf"),
-                     ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rows_per_fragment))).alias("_width")))
+    stats = _key_stats(df, keys, order_col, rows_per_fragment)
     joined = _null_safe_join(df, stats, keys)
     frag = F.when(F.col("_width") > 0,
                   F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_nf") - 1))
@@ -70,7 +86,7 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
 # ----------------------------------------------------------- running average
 def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: str,
                     out: str = "running_avg",
-                    rows_per_fragment: int = ROWS_PER_FRAGMENT) -> DataFrame:
+                    rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
     """``avg(value) OVER (PARTITION BY keys ORDER BY order_col)``.
 
     Default frame = RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with equal
@@ -78,6 +94,13 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
     """
     grain = keys + [order_col]
     pre = df.groupBy(*grain).agg(F.sum(value_col).alias("_s"), F.count(value_col).alias("_c"))
+    if check_size and keys_fit_one_fragment(pre, keys, rows_per_fragment):
+        # every key's pre-aggregate is bounded: one plain window suffices
+        w = (Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        s, n = F.sum("_s").over(w), F.sum("_c").over(w)
+        cum = pre.select(*grain, F.when(n > 0, s / n).alias(out))
+        return _null_safe_join(df, cum, grain)
     pre = with_fragments(pre, keys, order_col, rows_per_fragment)
     local_w = (Window.partitionBy(*keys, "_frag").orderBy(F.col(order_col).asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -100,7 +123,7 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
 # ------------------------------------------------------- previous-k row lists
 def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: Column,
                     k: int, out: str = "lagged",
-                    rows_per_fragment: int = ROWS_PER_FRAGMENT) -> DataFrame:
+                    rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
     """``collect_list(collect) OVER (PARTITION BY keys ORDER BY order
     ROWS BETWEEN k PRECEDING AND 1 PRECEDING)`` (W2); first row -> [].
 
@@ -108,8 +131,12 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: C
     Nulls of ``collect`` are skipped, as collect_list does; collect a struct
     to keep positions.
     """
-    fr = with_fragments(df, keys, order[0], rows_per_fragment)
     order_cols = [F.col(c).asc_nulls_first() for c in order]
+    if check_size and keys_fit_one_fragment(df, keys, rows_per_fragment):
+        # every key is bounded: one plain window, no head/tail pass
+        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(-k, -1)
+        return df.select("*", F.collect_list(collect).over(w).alias(out))
+    fr = with_fragments(df, keys, order[0], rows_per_fragment)
     wf = Window.partitionBy(*keys, "_frag").orderBy(*order_cols)
     staged = fr.select("*",
                        F.row_number().over(wf).alias("_pos"),
@@ -129,21 +156,21 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: C
 
 def lag_list(df: DataFrame, keys: list[str], order: list[str], value_col: str,
              k: int = 10, out: str = "laggedValues",
-             rows_per_fragment: int = ROWS_PER_FRAGMENT) -> DataFrame:
+             rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
     """Previous ``k`` values of ``value_col`` per series, oldest first."""
-    return previous_values(df, keys, order, F.col(value_col), k, out, rows_per_fragment)
+    return previous_values(df, keys, order, F.col(value_col), k, out, rows_per_fragment, check_size)
 
 
 def sequence_windows(df: DataFrame, keys: list[str], order: list[str], value_col: str,
                      history: int = 50, out: str = "history", target: str = "target",
-                     rows_per_fragment: int = ROWS_PER_FRAGMENT) -> DataFrame:
+                     rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
     """Supervised windows: the ``history`` previous values -> current value.
 
     Positions are counted, not values: nulls stay in the history.  Rows with
     fewer than ``history`` predecessors produce no window.
     """
     lagged = previous_values(df, keys, order, F.struct(F.col(value_col).alias("v")),
-                             history, "_hist", rows_per_fragment)
+                             history, "_hist", rows_per_fragment, check_size)
     return (lagged.where(F.size("_hist") == history)
             .select(*keys, *order,
                     F.transform("_hist", lambda s: s["v"]).alias(out),
