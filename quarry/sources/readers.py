@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from quarry.sources import schemas
 
-DateLikeSchema = T.StructType | str | None
+SchemaLike = T.StructType | str | None
 
 
-def read_json(spark: SparkSession, path: str, schema: DateLikeSchema = None,
+def read_json(spark: SparkSession, path: str, schema: SchemaLike = None,
               multi_line: bool = True, sampling_ratio: float | None = None,
               timestamp_format: str | None = None) -> DataFrame:
     """JSON documents with an inferred (``schema=None``), coded or DDL schema."""

@@ -3,9 +3,7 @@ import datetime as dt
 import json
 import os
 
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.sources import poll
 from quarry.streaming import events as sev
