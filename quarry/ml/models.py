@@ -86,7 +86,7 @@ def random_forest(features: str = "Features", label: str = "Close", seed: int =
     return RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed)
 
 
-def regression_pipeline(inputs: list[str], label: str, **lr_params) -> Pipeline:
+def staged_regression(inputs: list[str], label: str, **lr_params) -> Pipeline:
     """assembler -> scaler -> regression on the scaled features."""
     return Pipeline(stages=[assembler(inputs), scaler(),
                             linear_regression("scaledFeatures", label, **lr_params)])
@@ -131,6 +131,6 @@ def sequences_to_vectors(df: DataFrame, history: str = "history", out: str = "Fe
 
 __all__ = [
     "Pipeline", "PipelineModel", "random_split", "hash_bucket", "hash_split", "time_split", "assembler", "scaler",
-    "vector_columns", "linear_regression", "ols", "gamma_glm", "random_forest", "regression_pipeline",
+    "vector_columns", "linear_regression", "ols", "gamma_glm", "random_forest", "staged_regression",
     "coefficients", "regression_metrics", "evaluator_r2", "glm_summary", "sequences_to_vectors",
 ]

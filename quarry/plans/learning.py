@@ -129,20 +129,20 @@ def rf_regression(spark, sf_dir):
     return pred.select("Date", "Close", F.round("prediction", 4).alias("prediction"))
 
 
-@query("ml_pipeline")
-def ml_pipeline(spark, sf_dir):
+@query("ml_fit_transform")
+def ml_fit_transform(spark, sf_dir):
     """Assembler -> scaler -> regression, fitted once, applied to test."""
     train, test = ml.hash_split(prices(spark, sf_dir), "Date")
-    model = ml.regression_pipeline(FEATURES, "Close").fit(train)
+    model = ml.staged_regression(FEATURES, "Close").fit(train)
     return model.transform(test).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
 
 
-@query("telemetry_pipeline")
-def telemetry_pipeline(spark, sf_dir):
+@query("telemetry_regression")
+def telemetry_regression(spark, sf_dir):
     """The same pipeline on satellite telemetry, split by time."""
     tel = readers.read_csv(spark, fixtures.telemetry_csv(spark, sf_dir), schemas.TELEMETRY_CSV_SCHEMA)
     train, test = ml.time_split(tel, "Timestamp")
-    model = ml.regression_pipeline(["Timestamp", "IntegerValue"], "FloatValue").fit(train)
+    model = ml.staged_regression(["Timestamp", "IntegerValue"], "FloatValue").fit(train)
     return model.transform(test).select("Name", "Timestamp", "FloatValue",
                                         F.round("prediction", 4).alias("prediction"))
 
