@@ -93,3 +93,24 @@ def test_file_source_path_bounds_batches(spark, scratch):
     assert sorted(r["index"] for r in rows) == list(range(1, 16))
     batches = [p for p in res.query.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3
+
+
+def test_processing_time_trigger_and_console(spark, scratch):
+    from quarry.streaming import sinks
+    src = os.path.join(scratch, "src")
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, i), float(i)) for i in range(6)], SCHEMA) \
+        .coalesce(1).write.parquet(src)
+    df = spark.readStream.schema(SCHEMA).parquet(src)
+    res = runner.run(df, "ptime", "append", processing_time="1 second")
+    try:
+        res.query.processAllAvailable()
+    finally:
+        res.query.stop()
+    assert res.table().count() == 6
+    q = sinks.console(sev.windowed_stats(spark.readStream.schema(SCHEMA).parquet(src), "ts", "value",
+                                         "1 minute", None), "complete", processing_time=None)
+    try:
+        q.processAllAvailable()
+        assert q.lastProgress["numInputRows"] == 6
+    finally:
+        q.stop()
