@@ -75,3 +75,21 @@ def test_hot_key_is_cut_into_bounded_fragments(spark):
     got = windows.lag_list(df, ["key"], ["t"], "v", 5, "lag", rows_per_fragment=100)
     hot_rows = {r.t: r.lag for r in got.where("key = 'hot'").collect()}
     assert hot_rows[303] == [288.0, 291.0, 294.0, 297.0, 300.0]
+
+
+def test_fragment_paths_on_real_table_by_category(spark):
+    """5 categories, ~2,000 rows each at sf0.01: forced into fragments of 300."""
+    from pyspark.sql import Window
+    from conftest import SF_ORACLE
+    ev = spark.read.parquet(f"{SF_ORACLE}/events.parquet").select("event_type", "ts", "event_id", "value")
+    got = windows.lag_list(ev, ["event_type"], ["ts", "event_id"], "value", 10, "lag", rows_per_fragment=300)
+    ref = ev.withColumn("lag", F.collect_list("value").over(
+        Window.partitionBy("event_type").orderBy("ts", "event_id").rowsBetween(-10, -1)))
+    assert got.select("event_id", "lag").exceptAll(ref.select("event_id", "lag")).count() == 0
+    assert got.count() == ref.count()
+    day = ev.withColumn("day", F.to_date("ts"))
+    ra = windows.running_average(day, ["event_type"], "day", "value", "ra", rows_per_fragment=4)
+    rr = day.withColumn("ra", F.avg("value").over(Window.partitionBy("event_type").orderBy("day")))
+    a = ra.select("event_id", F.round("ra", 9).alias("ra"))
+    b = rr.select("event_id", F.round("ra", 9).alias("ra"))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
