@@ -39,7 +39,8 @@ def _as_number(df: DataFrame, col: str) -> Column:
     return c.cast("double")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` where null matches null (<=>), keeping left column names."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
@@ -77,7 +78,7 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
     """
     num = _as_number(df, order_col)
     stats = _key_stats(df, keys, order_col, rows_per_fragment)
-    joined = _null_safe_join(df, stats, keys)
+    joined = join_null_safe(df, stats, keys)
     frag = F.when(F.col("_width") > 0,
                   F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_nf") - 1))
     return joined.withColumn("_frag", F.coalesce(frag, F.lit(0)).cast("long")).drop("_lo", "_width", "_nf")
@@ -100,7 +101,7 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         s, n = F.sum("_s").over(w), F.sum("_c").over(w)
         cum = pre.select(*grain, F.when(n > 0, s / n).alias(out))
-        return _null_safe_join(df, cum, grain)
+        return join_null_safe(df, cum, grain)
     pre = with_fragments(pre, keys, order_col, rows_per_fragment)
     local_w = (Window.partitionBy(*keys, "_frag").orderBy(F.col(order_col).asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -113,11 +114,11 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
     carry = totals.select(*keys, "_frag",
                           F.coalesce(F.sum("_ts").over(carry_w), F.lit(0.0)).alias("_os"),
                           F.coalesce(F.sum("_tc").over(carry_w), F.lit(0)).alias("_oc"))
-    cum = _null_safe_join(local, carry, keys + ["_frag"], "inner")
+    cum = join_null_safe(local, carry, keys + ["_frag"], "inner")
     s = F.col("_ls") + F.col("_os")
     n = F.col("_lc") + F.col("_oc")
     cum = cum.select(*grain, F.when(n > 0, s / n).alias(out))
-    return _null_safe_join(df, cum, grain)
+    return join_null_safe(df, cum, grain)
 
 
 # ------------------------------------------------------- previous-k row lists

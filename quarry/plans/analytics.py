@@ -56,7 +56,7 @@ def window_array_key(spark, sf_dir):
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
     totals = meas.groupBy("ids").agg(F.count(F.lit(1)).alias("category_rows"),
                                      F.avg("magnitudeValue").alias("category_avg"))
-    out = windows._null_safe_join(meas, totals, ["ids"])
+    out = windows.join_null_safe(meas, totals, ["ids"])
     return out.select("event", F.array_join("ids", "|").alias("category_ids"), "date",
                       "category_rows", F.round("category_avg", 4).alias("category_avg"))
 

@@ -32,7 +32,7 @@ def read_json(spark: SparkSession, path: str, schema: SchemaLike = None,
 
 
 def read_event_docs(spark: SparkSession, path: str, form: str = "structtype",
-                    multi_line: bool = True) -> DataFrame:
+                    multi_line: bool = True, sampling_ratio: float | None = None) -> DataFrame:
     """The nested event document in one of the four schema forms.
 
     ``infer`` | ``structtype`` | ``ddl`` | ``dataclass``.  Use
@@ -41,7 +41,8 @@ def read_event_docs(spark: SparkSession, path: str, form: str = "structtype",
     2.7 MB documents) and splits files at line boundaries.
     """
     if form == "infer":
-        return read_json(spark, path, None, multi_line=multi_line)
+        # inference is an extra pass over the input; sample it on big inputs
+        return read_json(spark, path, None, multi_line=multi_line, sampling_ratio=sampling_ratio)
     if form == "structtype":
         return read_json(spark, path, schemas.EVENT_DOC_SCHEMA, multi_line=multi_line)
     if form == "ddl":
