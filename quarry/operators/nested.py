@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 def explode_events(docs: DataFrame, array_col: str = "events", alias: str = "event",
                    keep: tuple[str, ...] = ("description", "link", "title")) -> DataFrame:
-    """One row per array element; null or empty arrays give no row."""
-    return docs.select(*keep, F.explode(array_col).alias(alias))
+    """One row per array element; null or empty arrays give no row.
+    Columns of ``keep`` that a narrow read schema left out are skipped."""
+    return docs.select(*[c for c in keep if c in docs.columns], F.explode(array_col).alias(alias))
 
 
 def explode_geometry(events: DataFrame, event_col: str = "event",

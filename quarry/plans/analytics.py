@@ -9,7 +9,7 @@ from quarry.functions import udfs
 from quarry.functions.harmonic import harmonic_mean as harmonic_expr
 from quarry.operators import nested, timewindows, windows
 from quarry.operators.aggregates import harmonic
-from quarry.plans.documents import _MEAS_KEPT, event_docs
+from quarry.plans.documents import _MEAS_KEPT, measurement_docs
 from quarry.plans.registry import query
 from quarry.session import write_table
 from quarry.sources import fixtures, readers
@@ -32,7 +32,7 @@ SELECT event, category_ids, date,
 FROM kept""")
 def window_running_avg(spark, sf_dir):
     """Running average per category ordered by date (RANGE frame)."""
-    meas = nested.event_measurements(event_docs(spark, sf_dir))
+    meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
     # the running average reads its input in several branches: parse JSON once
     meas = write_table(meas, "measurements")
@@ -52,7 +52,7 @@ def window_array_key(spark, sf_dir):
     A whole-partition window is an aggregate joined back: partial
     aggregation before the shuffle, a small table joined to the rows.
     """
-    meas = nested.event_measurements(event_docs(spark, sf_dir))
+    meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
     totals = meas.groupBy("ids").agg(F.count(F.lit(1)).alias("category_rows"),
                                      F.avg("magnitudeValue").alias("category_avg"))

@@ -26,6 +26,11 @@ WITH meas AS (
 _MEAS_KEPT = _MEAS + ", kept AS (SELECT * FROM meas WHERE magnitudeValue IS NOT NULL AND NOT isnan(magnitudeValue))\n"
 
 
+# The four leaves the measurement analytics use.
+MEASUREMENT_FIELDS = ["events.id", "events.categories.id",
+                      "events.geometry.date", "events.geometry.magnitudeValue"]
+
+
 def event_docs(spark: SparkSession, sf_dir: str, form: str = "structtype",
                multi_line: bool = False) -> DataFrame:
     """The derived documents.  Each is written on one line, so analytics read
@@ -34,6 +39,13 @@ def event_docs(spark: SparkSession, sf_dir: str, form: str = "structtype",
                                    multi_line=multi_line)
 
 
+def measurement_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents read with only the measurement leaves (narrow schema)."""
+    return readers.read_json(spark, fixtures.event_documents(spark, sf_dir),
+                             schemas.prune(schemas.EVENT_DOC_SCHEMA, MEASUREMENT_FIELDS),
+                             multi_line=False)
+
+
 def _id_date_value(rows: DataFrame, value_type: str = "double") -> DataFrame:
     return rows.select(F.col("event.id").alias("event"),
                        F.col("geometry.date").cast("date").alias("date"),
@@ -137,7 +149,7 @@ def array_field_project(spark, sf_dir):
 @query("na_drop", _MEAS_KEPT + "SELECT event, date, magnitudeValue FROM kept")
 def na_drop(spark, sf_dir):
     """rows with a null (or NaN) magnitude are dropped."""
-    rows = _id_date_value(nested.explode_nested(event_docs(spark, sf_dir)))
+    rows = _id_date_value(nested.explode_nested(measurement_docs(spark, sf_dir)))
     return nested.na_drop(rows, ["magnitudeValue"])
 
 
@@ -163,7 +175,7 @@ def explode_nested(spark, sf_dir):
 
 def grouped_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: average magnitude per (event, category ids, date) -- the flagship."""
-    meas = nested.event_measurements(event_docs(spark, sf_dir))
+    meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     g = group_average(meas, ["event", F.col("category.id"), "date"], "magnitudeValue", "avg_magnitude")
     return g.select("event", F.array_join("id", "|").alias("category_ids"), "date",
                     F.round("avg_magnitude", 4).alias("avg_magnitude"))
@@ -193,7 +205,7 @@ SELECT category_ids, round(avg(magnitudeValue), 4) AS avg_magnitude, count(*) AS
 FROM kept GROUP BY category_ids""")
 def group_array_key(spark, sf_dir):
     """A2: an array column as the grouping key."""
-    meas = nested.event_measurements(event_docs(spark, sf_dir))
+    meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     g = meas.groupBy(F.col("category.id").alias("ids")).agg(
         F.avg("magnitudeValue").alias("avg_magnitude"), F.count(F.lit(1)).alias("n"))
     return g.select(F.array_join("ids", "|").alias("category_ids"),

@@ -204,3 +204,32 @@ DATAPOINT_DDL = "timestamp TIMESTAMP, value BIGINT, index BIGINT"
 # Wire form of one payload: [{"<yyyy-MM-dd'T'HH:mm:ss>": <integer>}, ...]
 PAYLOAD_WIRE_TYPE = "array<map<string,bigint>>"
 PAYLOAD_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+
+
+def prune(schema: T.StructType, paths: list[str]) -> T.StructType:
+    """Keep only the dotted ``paths`` (arrays are walked through).
+
+    JSON is row text: Spark cannot prune nested fields of arrays for it, so
+    a job that needs four leaves of a wide document passes this narrow schema
+    and the parser skips everything else.
+    """
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        for part in path.split("."):
+            node = node.setdefault(part, {})
+
+    def walk(dt: T.DataType, node: dict) -> T.DataType:
+        if not node:
+            return dt
+        if isinstance(dt, T.ArrayType):
+            return T.ArrayType(walk(dt.elementType, node), dt.containsNull)
+        if isinstance(dt, T.StructType):
+            missing = set(node) - set(dt.fieldNames())
+            if missing:
+                raise ValueError(f"no field(s) {sorted(missing)} in {dt.simpleString()}")
+            return T.StructType([T.StructField(f.name, walk(f.dataType, node[f.name]), f.nullable)
+                                 for f in dt.fields if f.name in node])
+        raise ValueError(f"cannot select inside {dt.simpleString()}")
+
+    return walk(schema, tree)

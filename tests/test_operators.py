@@ -157,3 +157,18 @@ def test_sequence_windows_keep_null_positions(spark):
 def test_ordered_concat_is_order_independent(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "t int, s string").repartition(3)
     assert df.agg(ordered_concat(["t"], "s").alias("x")).first().x == "abc"
+
+
+def test_prune_keeps_only_paths():
+    s = schemas.prune(schemas.EVENT_DOC_SCHEMA, ["events.id", "events.geometry.date"])
+    assert s.simpleString() == "struct<events:array<struct<id:string,geometry:array<struct<date:date>>>>>"
+    with pytest.raises(ValueError):
+        schemas.prune(schemas.EVENT_DOC_SCHEMA, ["events.nope"])
+
+
+def test_narrow_schema_reads_same_values(spark, doc_path):
+    narrow = schemas.prune(schemas.EVENT_DOC_SCHEMA, ["events.id", "events.categories.id",
+                                                      "events.geometry.date", "events.geometry.magnitudeValue"])
+    a = nested.event_measurements(readers.read_json(spark, doc_path, narrow)).collect()
+    b = nested.event_measurements(readers.read_event_docs(spark, doc_path)).collect()
+    assert [(r.event, r.date, r.magnitudeValue) for r in a] == [(r.event, r.date, r.magnitudeValue) for r in b]
