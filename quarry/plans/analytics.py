@@ -12,7 +12,7 @@ from quarry.operators.aggregates import harmonic
 from quarry.plans.documents import _MEAS_KEPT, measurement_docs
 from quarry.plans.registry import query
 from quarry.session import write_table
-from quarry.sources import fixtures, readers
+from quarry.sources import fixtures, readers, schemas
 
 
 def _cents_text(arr: str | Column) -> Column:
@@ -70,8 +70,9 @@ SELECT CAST(user_id AS VARCHAR) AS COD, ts AS Fecha, CAST(value AS FLOAT) AS Val
 FROM events""")
 def lag_list(spark, sf_dir):
     """W2 + A8 + W4: the previous 10 values of each series, oldest first."""
-    docs = readers.read_series_docs(spark, fixtures.series_documents(spark, sf_dir),
-                                    timestamp_format=fixtures.MICROS_TS_FORMAT)
+    narrow = schemas.prune(schemas.SERIES_DOC_SCHEMA, ["COD", "Data.Fecha", "Data.Valor"])
+    docs = readers.read_json(spark, fixtures.series_documents(spark, sf_dir), narrow, multi_line=False,
+                             timestamp_format=fixtures.MICROS_TS_FORMAT)
     rows = docs.select("COD", F.explode("Data").alias("Data")).select(
         "COD", F.col("Data.Fecha").alias("Fecha"), F.col("Data.Valor").alias("Valor"))
     # the lag operator reads its input in several branches: parse JSON once
