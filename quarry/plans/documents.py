@@ -39,10 +39,11 @@ def event_docs(spark: SparkSession, sf_dir: str, form: str = "structtype",
                                    multi_line=multi_line)
 
 
-def measurement_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents read with only the measurement leaves (narrow schema)."""
+def measurement_docs(spark: SparkSession, sf_dir: str, fields: list[str] | None = None) -> DataFrame:
+    """The documents read with only the given leaves (narrow schema);
+    default: the measurement leaves."""
     return readers.read_json(spark, fixtures.event_documents(spark, sf_dir),
-                             schemas.prune(schemas.EVENT_DOC_SCHEMA, MEASUREMENT_FIELDS),
+                             schemas.prune(schemas.EVENT_DOC_SCHEMA, fields or MEASUREMENT_FIELDS),
                              multi_line=False)
 
 
@@ -127,7 +128,8 @@ def sort_asc(spark, sf_dir):
 SELECT event AS event_id, date AS day, 'Point' AS kind, 'units' AS unit FROM meas""")
 def project_alias(spark, sf_dir):
     """Select with renames and struct paths."""
-    rows = nested.explode_nested(event_docs(spark, sf_dir))
+    rows = nested.explode_nested(measurement_docs(spark, sf_dir, [
+        "events.id", "events.geometry.date", "events.geometry.type", "events.geometry.magnitudeUnit"]))
     return nested.project(rows, {"event_id": "event.id", "day": "geometry.date",
                                  "kind": "geometry.type", "unit": "geometry.magnitudeUnit"})
 
@@ -138,7 +140,7 @@ SELECT DISTINCT CAST(user_id AS VARCHAR) AS event, event_type AS category_ids,
 FROM events""")
 def array_field_project(spark, sf_dir):
     """A field through an array of structs gives an array of that field."""
-    ev = nested.explode_events(event_docs(spark, sf_dir))
+    ev = nested.explode_events(measurement_docs(spark, sf_dir, ["events.id", "events.categories"]))
     return ev.select(
         F.col("event.id").alias("event"),
         F.array_join(nested.field_through_array("event.categories", "id"), "|").alias("category_ids"),
@@ -157,7 +159,7 @@ def na_drop(spark, sf_dir):
 SELECT CAST(user_id AS VARCHAR) AS event, count(*) AS n_geometry FROM events GROUP BY user_id""")
 def explode_array(spark, sf_dir):
     """One row per array element; geometry entries counted per event."""
-    ev = nested.explode_events(event_docs(spark, sf_dir))
+    ev = nested.explode_events(measurement_docs(spark, sf_dir, ["events.id", "events.geometry.date"]))
     return (ev.groupBy(F.col("event.id").alias("event"))
             .agg(F.sum(F.size("event.geometry")).alias("n_geometry")))
 
@@ -166,7 +168,7 @@ def explode_array(spark, sf_dir):
 SELECT event, category_ids, date, magnitudeValue FROM meas""")
 def explode_nested(spark, sf_dir):
     """Events, then each event's geometry."""
-    rows = nested.explode_nested(event_docs(spark, sf_dir))
+    rows = nested.explode_nested(measurement_docs(spark, sf_dir))
     return rows.select(F.col("event.id").alias("event"),
                        F.array_join("event.categories.id", "|").alias("category_ids"),
                        F.col("geometry.date").alias("date"),
