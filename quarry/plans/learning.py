@@ -116,7 +116,8 @@ def glm_gamma(spark, sf_dir):
     """M8 + M9: gamma GLM (inverse link), coefficients, deviance, dispersion."""
     data = ml.assembler(FEATURES).transform(prices(spark, sf_dir))
     train, test = ml.hash_split(data, "Date")
-    model = ml.gamma_glm().fit(train)
+    # IRLS makes one pass per iteration and does not cache its input
+    model = ml.gamma_glm().fit(materialize(train))
     return ml.glm_summary(spark, model, test, FEATURES)
 
 
