@@ -65,7 +65,13 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(shared_dir(spark, "pyfiles"), "quarry.zip")
+    root = _checkpoint_root(spark)
+    if "://" in root and not root.startswith("file:"):
+        # addPyFile serves the file from the driver to every executor, so a
+        # driver-side build file is enough when the shared root is remote.
+        target = os.path.join(tempfile.mkdtemp(prefix="quarry-pyfiles-"), "quarry.zip")
+    else:
+        target = os.path.join(shared_dir(spark, "pyfiles"), "quarry.zip")
     tmp = target + ".tmp"
     with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, dirs, files in os.walk(pkg_dir):
