@@ -16,6 +16,11 @@ partition is bounded:
 Fragment count per key = ceil(rows_of_key / rows_per_fragment).  A checked
 size comes first: when no key exceeds the fragment size (one aggregate, one
 number to the driver), the plain window is provably bounded and is used.
+
+Limit: fragments are equal-width ranges of the first order column, so they
+are balanced when a hot key's rows are spread over its time span.  A hot key
+whose rows sit in one short burst (or share one timestamp) still makes one
+large fragment; quantile boundaries per key would remove that.
 """
 
 from __future__ import annotations
