@@ -17,10 +17,9 @@ Fragment count per key = ceil(rows_of_key / rows_per_fragment).  A checked
 size comes first: when no key exceeds the fragment size (one aggregate, one
 number to the driver), the plain window is provably bounded and is used.
 
-Limit: fragments are equal-width ranges of the first order column, so they
-are balanced when a hot key's rows are spread over its time span.  A hot key
-whose rows sit in one short burst (or share one timestamp) still makes one
-large fragment; quantile boundaries per key would remove that.
+Fragments are equal-width ranges of the first order column, refined once:
+a range still over the limit (a burst) is cut into equal sub-ranges.  Only
+rows sharing one value of the order column cannot be split.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_FRAGMENT = 2_000_000
+_SUB_SPAN = 1 << 20          # second-level fragments per first-level range (upper bound)
 
 _HELPERS = ("_frag", "_lo", "_width", "_nf", "_pos", "_cnt", "_local", "_edge")
 
@@ -84,9 +84,26 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
     num = _as_number(df, order_col)
     stats = _key_stats(df, keys, order_col, rows_per_fragment)
     joined = join_null_safe(df, stats, keys)
-    frag = F.when(F.col("_width") > 0,
-                  F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_nf") - 1))
-    return joined.withColumn("_frag", F.coalesce(frag, F.lit(0)).cast("long")).drop("_lo", "_width", "_nf")
+    first = F.when(F.col("_width") > 0,
+                   F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_nf") - 1))
+    level1 = joined.withColumn("_f1", F.coalesce(first, F.lit(0)).cast("long"))
+    # Second level: a first-level range still over the limit (a burst in
+    # time) is cut again into equal sub-ranges.  Counts, min and max are
+    # exact, so every branch of a plan derives the same fragment ids.
+    # The sub-ranges span the rows actually present (min..max inside the
+    # range), so they follow the burst, not the empty part of the range.
+    sub = (level1.groupBy(*keys, "_f1")
+           .agg(F.count(F.lit(1)).alias("_n1"), F.min(num).alias("_lo1"), F.max(num).alias("_hi1"))
+           .select(*keys, "_f1", "_lo1",
+                   F.ceil(F.col("_n1") / F.lit(rows_per_fragment)).alias("_ns"),
+                   ((F.col("_hi1") - F.col("_lo1"))
+                    / F.ceil(F.col("_n1") / F.lit(rows_per_fragment))).alias("_w1")))
+    level2 = join_null_safe(level1, sub, keys + ["_f1"])
+    second = F.when((F.col("_ns") > 1) & (F.col("_w1") > 0),
+                    F.least(F.greatest(F.floor((num - F.col("_lo1")) / F.col("_w1")), F.lit(0)),
+                            F.col("_ns") - 1))
+    frag = F.col("_f1") * F.lit(_SUB_SPAN) + F.coalesce(second, F.lit(0)).cast("long")
+    return level2.withColumn("_frag", frag).drop("_lo", "_width", "_nf", "_f1", "_ns", "_lo1", "_w1")
 
 
 # ----------------------------------------------------------- running average

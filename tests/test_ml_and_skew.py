@@ -93,3 +93,20 @@ def test_fragment_paths_on_real_table_by_category(spark):
     a = ra.select("event_id", F.round("ra", 9).alias("ra"))
     b = rr.select("event_id", F.round("ra", 9).alias("ra"))
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
+def test_bursty_hot_key_is_refined(spark):
+    """A hot key whose rows sit in a short burst of its time span."""
+    from pyspark.sql import Window
+    base = spark.range(3000).select(
+        F.lit("hot").alias("key"),
+        # 2,900 rows inside 1% of the span, 100 spread over the rest
+        F.when(F.col("id") < 2900, F.col("id")).otherwise(F.col("id") * 1000).alias("t"),
+        F.col("id").alias("id"), F.col("id").cast("double").alias("v"))
+    fr = windows.with_fragments(base, ["key"], "t", rows_per_fragment=100)
+    assert fr.groupBy("_frag").count().agg(F.max("count")).first()[0] <= 120
+    got = windows.lag_list(base, ["key"], ["t", "id"], "v", 7, "lag", rows_per_fragment=100, check_size=False)
+    ref = base.withColumn("lag", F.collect_list("v").over(
+        Window.partitionBy("key").orderBy("t", "id").rowsBetween(-7, -1)))
+    assert got.select("id", "lag").exceptAll(ref.select("id", "lag")).count() == 0
+    assert got.count() == 3000
