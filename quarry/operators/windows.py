@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_FRAGMENT = 2_000_000
+# Small sides are broadcast only when a counted row bound is under this
+# (they are narrow: keys plus a few numbers).  Above it, a shuffle join.
+BROADCAST_MAX_ROWS = 1_000_000
 _SUB_SPAN = 1 << 20          # second-level fragments per first-level range (upper bound)
 
 _HELPERS = ("_frag", "_lo", "_width", "_nf", "_pos", "_cnt", "_local", "_edge")
@@ -44,10 +47,14 @@ def _as_number(df: DataFrame, col: str) -> Column:
     return c.cast("double")
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join on ``keys`` where null matches null (<=>), keeping left column names."""
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
+                   broadcast: bool = False) -> DataFrame:
+    """Join on ``keys`` where null matches null (<=>), keeping left column names.
+    ``broadcast`` only when the caller has counted ``right`` small."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
+    if broadcast:
+        renamed = F.broadcast(renamed)
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     out = left.join(renamed, cond, how)
     return out.drop(*[f"_r_{k}" for k in keys])
@@ -62,18 +69,32 @@ def _key_stats(df: DataFrame, keys: list[str], order_col: str, rows_per_fragment
             .select(*keys, "_lo", nf.alias("_nf"), ((F.col("_hi") - F.col("_lo")) / nf).alias("_width")))
 
 
-def keys_fit_one_fragment(df: DataFrame, keys: list[str], rows_per_fragment: int = ROWS_PER_FRAGMENT) -> bool:
-    """Checked size: True when no key has more than ``rows_per_fragment`` rows.
+class KeyProfile:
+    """Counted sizes of a keyed input: number of keys, rows of the largest key,
+    all rows.  One partially-aggregated job; three numbers reach the driver."""
 
-    One partially-aggregated job over the key columns; only a single number
-    reaches the driver.  When it holds, a plain window is bounded per key.
-    """
-    biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return biggest is None or biggest <= rows_per_fragment
+    def __init__(self, df: DataFrame, keys: list[str]):
+        row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+               .agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first())
+        self.keys, self.largest, self.rows = row[0] or 0, row[1] or 0, row[2] or 0
+
+    def fits_one_fragment(self, rows_per_fragment: int) -> bool:
+        return self.largest <= rows_per_fragment
+
+    def fragments_bound(self, rows_per_fragment: int) -> int:
+        """Upper bound on (key, fragment) pairs, both levels included."""
+        return 2 * (self.keys + self.rows // rows_per_fragment + 1)
+
+
+def keys_fit_one_fragment(df: DataFrame, keys: list[str], rows_per_fragment: int = ROWS_PER_FRAGMENT) -> bool:
+    """Checked size: True when no key has more than ``rows_per_fragment`` rows;
+    then a plain window is bounded per key."""
+    return KeyProfile(df, keys).fits_one_fragment(rows_per_fragment)
 
 
 def with_fragments(df: DataFrame, keys: list[str], order_col: str,
-                   rows_per_fragment: int = ROWS_PER_FRAGMENT) -> DataFrame:
+                   rows_per_fragment: int = ROWS_PER_FRAGMENT,
+                   profile: KeyProfile | None = None) -> DataFrame:
     """Add ``_frag``: equal-width ranges of ``order_col`` within each key.
 
     The statistics table has one row per key (partial aggregate; Spark's
@@ -82,8 +103,9 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
     exactly like (key, order).
     """
     num = _as_number(df, order_col)
+    profile = profile or KeyProfile(df, keys)
     stats = _key_stats(df, keys, order_col, rows_per_fragment)
-    joined = join_null_safe(df, stats, keys)
+    joined = join_null_safe(df, stats, keys, broadcast=profile.keys <= BROADCAST_MAX_ROWS)
     first = F.when(F.col("_width") > 0,
                    F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_nf") - 1))
     level1 = joined.withColumn("_f1", F.coalesce(first, F.lit(0)).cast("long"))
@@ -98,7 +120,8 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
                    F.ceil(F.col("_n1") / F.lit(rows_per_fragment)).alias("_ns"),
                    ((F.col("_hi1") - F.col("_lo1"))
                     / F.ceil(F.col("_n1") / F.lit(rows_per_fragment))).alias("_w1")))
-    level2 = join_null_safe(level1, sub, keys + ["_f1"])
+    level2 = join_null_safe(level1, sub, keys + ["_f1"],
+                            broadcast=profile.fragments_bound(rows_per_fragment) <= BROADCAST_MAX_ROWS)
     second = F.when((F.col("_ns") > 1) & (F.col("_w1") > 0),
                     F.least(F.greatest(F.floor((num - F.col("_lo1")) / F.col("_w1")), F.lit(0)),
                             F.col("_ns") - 1))
@@ -117,14 +140,16 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
     """
     grain = keys + [order_col]
     pre = df.groupBy(*grain).agg(F.sum(value_col).alias("_s"), F.count(value_col).alias("_c"))
-    if check_size and keys_fit_one_fragment(pre, keys, rows_per_fragment):
+    prof = KeyProfile(pre, keys)                 # rows of pre = one per (key, order value)
+    small_cum = prof.rows <= BROADCAST_MAX_ROWS
+    if check_size and prof.fits_one_fragment(rows_per_fragment):
         # every key's pre-aggregate is bounded: one plain window suffices
         w = (Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         s, n = F.sum("_s").over(w), F.sum("_c").over(w)
         cum = pre.select(*grain, F.when(n > 0, s / n).alias(out))
-        return join_null_safe(df, cum, grain)
-    pre = with_fragments(pre, keys, order_col, rows_per_fragment)
+        return join_null_safe(df, cum, grain, broadcast=small_cum)
+    pre = with_fragments(pre, keys, order_col, rows_per_fragment, prof)
     local_w = (Window.partitionBy(*keys, "_frag").orderBy(F.col(order_col).asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = pre.select(*grain, "_frag",
@@ -136,11 +161,12 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
     carry = totals.select(*keys, "_frag",
                           F.coalesce(F.sum("_ts").over(carry_w), F.lit(0.0)).alias("_os"),
                           F.coalesce(F.sum("_tc").over(carry_w), F.lit(0)).alias("_oc"))
-    cum = join_null_safe(local, carry, keys + ["_frag"], "inner")
+    cum = join_null_safe(local, carry, keys + ["_frag"], "inner",
+                         broadcast=prof.fragments_bound(rows_per_fragment) <= BROADCAST_MAX_ROWS)
     s = F.col("_ls") + F.col("_os")
     n = F.col("_lc") + F.col("_oc")
     cum = cum.select(*grain, F.when(n > 0, s / n).alias(out))
-    return join_null_safe(df, cum, grain)
+    return join_null_safe(df, cum, grain, broadcast=small_cum)
 
 
 # ------------------------------------------------------- previous-k row lists
@@ -155,11 +181,12 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: C
     to keep positions.
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order]
-    if check_size and keys_fit_one_fragment(df, keys, rows_per_fragment):
+    prof = KeyProfile(df, keys)
+    if check_size and prof.fits_one_fragment(rows_per_fragment):
         # every key is bounded: one plain window, no head/tail pass
         w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(-k, -1)
         return df.select("*", F.collect_list(collect).over(w).alias(out))
-    fr = with_fragments(df, keys, order[0], rows_per_fragment)
+    fr = with_fragments(df, keys, order[0], rows_per_fragment, prof)
     wf = Window.partitionBy(*keys, "_frag").orderBy(*order_cols)
     staged = fr.select("*",
                        F.row_number().over(wf).alias("_pos"),
@@ -198,3 +225,11 @@ def sequence_windows(df: DataFrame, keys: list[str], order: list[str], value_col
             .select(*keys, *order,
                     F.transform("_hist", lambda s: s["v"]).alias(out),
                     F.col(value_col).alias(target)))
+
+
+def partition_aggregate(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """Whole-partition window aggregates (``agg(...) OVER (PARTITION BY keys)``)
+    as an aggregate joined back: partial aggregation before the shuffle, and
+    the per-key table broadcast only when its counted size is small (W3)."""
+    totals = df.groupBy(*keys).agg(*aggs)
+    return join_null_safe(df, totals, keys, broadcast=KeyProfile(df, keys).keys <= BROADCAST_MAX_ROWS)

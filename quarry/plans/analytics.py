@@ -55,9 +55,8 @@ def window_array_key(spark, sf_dir):
     meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
     meas = write_table(meas, "measurements")       # read twice below: parse JSON once
-    totals = meas.groupBy("ids").agg(F.count(F.lit(1)).alias("category_rows"),
-                                     F.avg("magnitudeValue").alias("category_avg"))
-    out = windows.join_null_safe(meas, totals, ["ids"])
+    out = windows.partition_aggregate(meas, ["ids"], F.count(F.lit(1)).alias("category_rows"),
+                                      F.avg("magnitudeValue").alias("category_avg"))
     return out.select("event", F.array_join("ids", "|").alias("category_ids"), "date",
                       "category_rows", F.round("category_avg", 4).alias("category_avg"))
 

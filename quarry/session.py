@@ -48,6 +48,11 @@ def apply_session_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Broadcast only proven-small sides: the operators broadcast what they
+    # have counted, and AQE may broadcast what it has *measured* at runtime;
+    # no broadcast from file-size estimates (compressed sizes understate).
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     ship_package(spark)
 
 
