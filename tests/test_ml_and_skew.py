@@ -110,3 +110,21 @@ def test_bursty_hot_key_is_refined(spark):
         Window.partitionBy("key").orderBy("t", "id").rowsBetween(-7, -1)))
     assert got.select("id", "lag").exceptAll(ref.select("id", "lag")).count() == 0
     assert got.count() == 3000
+
+
+def test_broadcast_only_behind_counted_bound(spark, monkeypatch):
+    df = spark.range(2000).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("v"))
+    prof = windows.KeyProfile(df, ["k"])
+    assert (prof.keys, prof.largest, prof.rows) == (7, 286, 2000)
+
+    def plan(limit):
+        monkeypatch.setattr(windows, "BROADCAST_MAX_ROWS", limit)
+        out = windows.partition_aggregate(df, ["k"], F.sum("v").alias("total"))
+        out.write.format("noop").mode("overwrite").save()
+        return out._jdf.queryExecution().executedPlan().toString(), out
+
+    small, out = plan(1_000_000)
+    assert "BroadcastHashJoin" in small
+    assert out.where("k = 0").select("total").distinct().count() == 1
+    big, _ = plan(0)
+    assert "BroadcastHashJoin" not in big      # no estimate-based broadcast either
