@@ -86,12 +86,6 @@ class KeyProfile:
         return 2 * (self.keys + self.rows // rows_per_fragment + 1)
 
 
-def keys_fit_one_fragment(df: DataFrame, keys: list[str], rows_per_fragment: int = ROWS_PER_FRAGMENT) -> bool:
-    """Checked size: True when no key has more than ``rows_per_fragment`` rows;
-    then a plain window is bounded per key."""
-    return KeyProfile(df, keys).fits_one_fragment(rows_per_fragment)
-
-
 def with_fragments(df: DataFrame, keys: list[str], order_col: str,
                    rows_per_fragment: int = ROWS_PER_FRAGMENT,
                    profile: KeyProfile | None = None) -> DataFrame:
