@@ -18,8 +18,9 @@ size comes first: when no key exceeds the fragment size (one aggregate, one
 number to the driver), the plain window is provably bounded and is used.
 
 Fragments are equal-width ranges of the first order column, refined once:
-a range still over the limit (a burst) is cut into equal sub-ranges.  Only
-rows sharing one value of the order column cannot be split.
+a range still over the limit (a burst) is cut into equal sub-ranges, and for
+row frames a range whose rows share one timestamp is cut by the tie-break
+column.
 """
 
 from __future__ import annotations
@@ -88,15 +89,18 @@ class KeyProfile:
 
 def with_fragments(df: DataFrame, keys: list[str], order_col: str,
                    rows_per_fragment: int = ROWS_PER_FRAGMENT,
-                   profile: KeyProfile | None = None) -> DataFrame:
+                   profile: KeyProfile | None = None, tie_col: str | None = None) -> DataFrame:
     """Add ``_frag``: equal-width ranges of ``order_col`` within each key.
 
-    The statistics table has one row per key (partial aggregate; Spark's
-    adaptive join broadcasts it only when its measured size is small).
-    Fragments are monotone in ``order_col``, so (key, _frag, order) sorts
-    exactly like (key, order).
+    The statistics table has one row per key (partial aggregate), broadcast
+    only under a counted bound.  Fragments are monotone in ``order_col``
+    (then ``tie_col``), so (key, _frag, order) sorts exactly like (key, order).
+    ``tie_col`` -- the next order column -- splits a range whose rows all
+    share one ``order_col`` value (ROWS frames only; RANGE peers must stay
+    together).
     """
     num = _as_number(df, order_col)
+    tie = _as_number(df, tie_col) if tie_col else None
     profile = profile or KeyProfile(df, keys)
     stats = _key_stats(df, keys, order_col, rows_per_fragment)
     joined = join_null_safe(df, stats, keys, broadcast=profile.keys <= BROADCAST_MAX_ROWS)
@@ -108,19 +112,28 @@ def with_fragments(df: DataFrame, keys: list[str], order_col: str,
     # exact, so every branch of a plan derives the same fragment ids.
     # The sub-ranges span the rows actually present (min..max inside the
     # range), so they follow the burst, not the empty part of the range.
+    nsub = F.ceil(F.col("_n1") / F.lit(rows_per_fragment))
+    tie_aggs = [F.min(tie).alias("_tlo"), F.max(tie).alias("_thi")] if tie is not None else []
     sub = (level1.groupBy(*keys, "_f1")
-           .agg(F.count(F.lit(1)).alias("_n1"), F.min(num).alias("_lo1"), F.max(num).alias("_hi1"))
-           .select(*keys, "_f1", "_lo1",
-                   F.ceil(F.col("_n1") / F.lit(rows_per_fragment)).alias("_ns"),
-                   ((F.col("_hi1") - F.col("_lo1"))
-                    / F.ceil(F.col("_n1") / F.lit(rows_per_fragment))).alias("_w1")))
+           .agg(F.count(F.lit(1)).alias("_n1"), F.min(num).alias("_lo1"), F.max(num).alias("_hi1"), *tie_aggs)
+           .select(*keys, "_f1", "_lo1", nsub.alias("_ns"),
+                   ((F.col("_hi1") - F.col("_lo1")) / nsub).alias("_w1"),
+                   *([F.col("_tlo"), ((F.col("_thi") - F.col("_tlo")) / nsub).alias("_tw")]
+                     if tie is not None else [])))
     level2 = join_null_safe(level1, sub, keys + ["_f1"],
                             broadcast=profile.fragments_bound(rows_per_fragment) <= BROADCAST_MAX_ROWS)
-    second = F.when((F.col("_ns") > 1) & (F.col("_w1") > 0),
-                    F.least(F.greatest(F.floor((num - F.col("_lo1")) / F.col("_w1")), F.lit(0)),
-                            F.col("_ns") - 1))
+
+    def cut(value: Column, lo: str, width: str) -> Column:
+        return F.least(F.greatest(F.floor((value - F.col(lo)) / F.col(width)), F.lit(0)), F.col("_ns") - 1)
+
+    second = F.when((F.col("_ns") > 1) & (F.col("_w1") > 0), cut(num, "_lo1", "_w1"))
+    if tie is not None:
+        # every row of the range shares one order value: split by the tie column
+        second = second.when((F.col("_ns") > 1) & (F.col("_w1") == 0) & (F.col("_tw") > 0),
+                             cut(tie, "_tlo", "_tw"))
     frag = F.col("_f1") * F.lit(_SUB_SPAN) + F.coalesce(second, F.lit(0)).cast("long")
-    return level2.withColumn("_frag", frag).drop("_lo", "_width", "_nf", "_f1", "_ns", "_lo1", "_w1")
+    return level2.withColumn("_frag", frag).drop("_lo", "_width", "_nf", "_f1", "_ns", "_lo1", "_w1",
+                                                 "_tlo", "_tw")
 
 
 # ----------------------------------------------------------- running average
@@ -180,7 +193,8 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: C
         # every key is bounded: one plain window, no head/tail pass
         w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(-k, -1)
         return df.select("*", F.collect_list(collect).over(w).alias(out))
-    fr = with_fragments(df, keys, order[0], rows_per_fragment, prof)
+    fr = with_fragments(df, keys, order[0], rows_per_fragment, prof,
+                        tie_col=order[1] if len(order) > 1 else None)
     wf = Window.partitionBy(*keys, "_frag").orderBy(*order_cols)
     staged = fr.select("*",
                        F.row_number().over(wf).alias("_pos"),

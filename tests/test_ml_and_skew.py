@@ -128,3 +128,16 @@ def test_broadcast_only_behind_counted_bound(spark, monkeypatch):
     assert out.where("k = 0").select("total").distinct().count() == 1
     big, _ = plan(0)
     assert "BroadcastHashJoin" not in big      # no estimate-based broadcast either
+
+
+def test_hot_key_sharing_one_timestamp_splits_by_tie_column(spark):
+    from pyspark.sql import Window
+    base = spark.range(2000).select(F.lit("hot").alias("key"), F.lit(5).alias("t"),
+                                    F.col("id"), F.col("id").cast("double").alias("v"))
+    fr = windows.with_fragments(base, ["key"], "t", rows_per_fragment=100, tie_col="id")
+    assert fr.groupBy("_frag").count().agg(F.max("count")).first()[0] <= 101
+    got = windows.lag_list(base, ["key"], ["t", "id"], "v", 4, "lag", rows_per_fragment=100, check_size=False)
+    ref = base.withColumn("lag", F.collect_list("v").over(
+        Window.partitionBy("key").orderBy("t", "id").rowsBetween(-4, -1)))
+    assert got.select("id", "lag").exceptAll(ref.select("id", "lag")).count() == 0
+    assert got.count() == 2000
