@@ -2,6 +2,7 @@
 
     spark-submit quarry/cli.py list
     spark-submit quarry/cli.py run group_avg --sf-dir /data/sf100 --output /shared/out/group_avg
+    spark-submit quarry/cli.py explain group_avg --sf-dir /data/sf100
 
 ``run`` writes the result as Parquet to ``--output`` (or shows a few rows
 when no output is given).  Ship the package with ``--py-files`` on a cluster.
@@ -28,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--sf-dir", required=True)
     run.add_argument("--output")
     run.add_argument("--master")
+    exp = sub.add_parser("explain")
+    exp.add_argument("names", nargs="+")
+    exp.add_argument("--sf-dir", required=True)
+    exp.add_argument("--master")
     args = ap.parse_args(argv)
 
     queries = all_queries()
@@ -37,6 +42,11 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name:28s} {'sql-oracle' if name in oracles else 'rows-only'}")
         return 0
     spark = get_session(args.master, app_name="quarry-cli")
+    if args.cmd == "explain":
+        for name in args.names:
+            print(f"== {name} ==")
+            queries[name](spark, args.sf_dir).explain("formatted")
+        return 0
     for name in args.names:
         df = queries[name](spark, args.sf_dir)
         if args.output:
