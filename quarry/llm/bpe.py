@@ -55,6 +55,8 @@ class Vocabulary:
         self.tokens = [b""] * self.size
         for tok, rank in self.ranks.items():
             self.tokens[rank] = tok
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.start = offsets(np.fromiter(map(len, self.tokens), np.int64, self.size))
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
         for tok, rank in self.ranks.items():
@@ -202,38 +204,76 @@ class Pieces(dict):
         return at
 
 
-def encode_block(texts: list[str], split: "regex.Pattern", vocab: Vocabulary) -> pa.ListArray:
-    """Token ids of every text.
+def _expand(of: np.ndarray, start: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of every item of ``of``, concatenated, and their counts."""
+    sizes = start[of + 1] - start[of]
+    return values[ragged(start[of], sizes)], sizes
+
+
+class Encoder:
+    """Encodes blocks of texts; remembers the tokens of the pieces it has met,
+    up to ``remember`` pieces, so that merges are replayed over new words only.
 
     A space between two other characters always begins a word, so texts are
-    first cut there and each distinct piece is split by the pattern once."""
-    units: list[str] = []
-    first, later = Pieces(units, ""), Pieces(units, " ")
-    rows = []
-    for text in texts:
-        head, *tail = text.split(" ")
-        row = [first[head], *map(later.__getitem__, tail)]
-        if min(row) < 0:
-            row = [len(units)] if text else []
-            if text:
-                units.append(text)
-        rows.append(np.array(row, np.int64))
-    seen: dict[str, int] = {}
-    split_units = [[seen.setdefault(w, len(seen)) for w in split.findall(u)] for u in units]
-    unit_sizes = np.fromiter(map(len, split_units), np.int64, len(units))
-    unit_words = np.fromiter(chain.from_iterable(split_units), np.int64, int(unit_sizes.sum()))
-    tokens, counts = replay_merges([w.encode() for w in seen], vocab)
-
-    def expand(of: np.ndarray, sizes: np.ndarray, values: np.ndarray,
-               ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lengths = sizes[of]
-        return values[ragged(offsets(sizes)[of], lengths)], offsets(lengths)[ends]
-
-    ends = offsets(np.fromiter(map(len, rows), np.int64, len(rows)))
-    of = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    of, ends = expand(of, unit_sizes, unit_words, ends)
-    ids, ends = expand(of, counts, tokens, ends)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+    first cut there, and each distinct piece is split by the pattern once."""
+
+    def __init__(self, vocab: Vocabulary, split: "regex.Pattern", remember: int = 600_000):
+        self.vocab, self.split, self.remember = vocab, split, remember
+        self._forget()
+
+    def _forget(self) -> None:
+        self.units: list[str] = []
+        self.first, self.later = Pieces(self.units, ""), Pieces(self.units, " ")
+        self.tokens, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of units and the tokens' counts."""
+        seen: dict[str, int] = {}
+        words = [[seen.setdefault(w, len(seen)) for w in x] for x in map(self.split.findall, units)]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.fromiter(chain.from_iterable(words), np.int64, int(sizes.sum()))
+        tokens, counts = replay_merges([w.encode() for w in seen], self.vocab)
+        values, lengths = _expand(flat, offsets(counts), tokens)
+        return values, np.diff(offsets(lengths)[offsets(sizes)])
+
+    def encode(self, texts: list[str]) -> pa.ListArray:
+        if len(self.units) > self.remember:
+            self._forget()
+        known = len(self.units)
+        rows, whole = [], []
+        for text in texts:
+            head, *tail = text.split(" ")
+            row = np.empty(len(tail) + 1, np.int64)
+            row[0] = self.first[head]
+            row[1:] = np.fromiter(map(self.later.__getitem__, tail), np.int64, len(tail))
+            if row.min() < 0:                    # cut by the pattern as a whole
+                row = np.array([-1 - len(whole)] if text else [], np.int64)
+                if text:
+                    whole.append(text)
+            rows.append(row)
+        values, counts = self._learn(self.units[known:] + whole)
+        news = len(self.units) - known
+        own = int(counts[:news].sum())
+        self.tokens = np.concatenate((self.tokens, values[:own]))
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(counts[:news])))
+        for at in range(known, len(self.units)):
+            self.units[at] = ""                  # its index is all that is needed now
+        of = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        of = np.where(of < 0, len(self.units) - 1 - of, of)
+        start = np.concatenate((self.start, self.start[-1] + np.cumsum(counts[news:])))
+        ids, sizes = _expand(of, start, np.concatenate((self.tokens, values[own:])))
+        ends = offsets(sizes)[offsets(np.fromiter(map(len, rows), np.int64, len(rows)))]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def decode_lists(lists: pa.ListArray, vocab: Vocabulary) -> pa.BinaryArray:
+    """The bytes that each list of ids stands for."""
+    ids = lists.flatten().to_numpy()
+    values, sizes = _expand(ids, vocab.start, vocab.bytes)
+    counts = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    ends = offsets(sizes)[offsets(counts)].astype(np.int32)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(values)])
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
@@ -254,49 +294,69 @@ def _put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return batch.append_column(name, values)
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids",
-           block_bytes: int = 24 << 20) -> DataFrame:
-    """``docs`` with the token ids (array<int>) of every whole text.
+def encoded_batches(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, pattern: str, text: str,
+                    ids: str, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(vocab, splitter(pattern))
+    for batch in blocks(batches, text, block_bytes):
+        yield _put(batch, ids, encoder.encode([t or "" for t in batch.column(text).to_pylist()]))
+
+
+def decoded_batches(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, ids: str,
+                    out: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _put(batch, out, decode_lists(batch.column(ids), vocab))
+
 
-    The rank file is read by the driver and broadcast; its size is that of
-    the vocabulary, whatever the data."""
+def _broadcast(spark: SparkSession, rank_path: str):
+    """The rank file, read by the driver; its size is the vocabulary's,
+    whatever the data."""
     with open(rank_path, "rb") as f:
-        ranks = docs.sparkSession.sparkContext.broadcast(f.read())
+        return spark.sparkContext.broadcast(f.read())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, split = vocabulary(ranks.value), splitter(pattern)
-        for batch in blocks(batches, text, block_bytes):
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            yield _put(batch, ids, encode_block(texts, split, vocab))
 
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c != ids])
-    return docs.mapInArrow(run, kept.withColumn(ids, F.lit(None).cast("array<int>")).schema)
+def _schema(df: DataFrame, **new: str):
+    for name, kind in new.items():
+        df = df.select(*[f"`{c}`" for c in df.columns if c != name],
+                       F.lit(None).cast(kind).alias(name))
+    return df.schema
+
+
+def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids",
+           block_bytes: int = 8 << 20) -> DataFrame:
+    """``docs`` with the token ids (array<int>) of every whole text."""
+    ranks = _broadcast(docs.sparkSession, rank_path)
+    return docs.mapInArrow(
+        lambda batches: encoded_batches(batches, vocabulary(ranks.value), pattern, text, ids, block_bytes),
+        _schema(docs, **{ids: "array<int>"}))
 
 
 def decode(encoded: DataFrame, rank_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes (binary) that the ids stand for; null ids
     count as none."""
-    with open(rank_path, "rb") as f:
-        ranks = encoded.sparkSession.sparkContext.broadcast(f.read())
+    ranks = _broadcast(encoded.sparkSession, rank_path)
+    return encoded.mapInArrow(
+        lambda batches: decoded_batches(batches, vocabulary(ranks.value), ids, out),
+        _schema(encoded, **{out: "binary"}))
+
+
+def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text",
+                      ids: str = "ids", out: str = "decoded", block_bytes: int = 8 << 20) -> DataFrame:
+    """Both in one pass, in one worker process per task."""
+    ranks = _broadcast(docs.sparkSession, rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary(ranks.value).tokens
-        for batch in batches:
-            column = batch.column(ids)
-            parts = list(map(tokens.__getitem__, column.flatten().to_numpy().tolist()))
-            sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
-            ends = offsets(sizes).tolist()
-            values = [b"".join(parts[a:b]) for a, b in zip(ends, ends[1:])]
-            yield _put(batch, out, pa.array(values, pa.binary()))
+        vocab = vocabulary(ranks.value)
+        coded = encoded_batches(batches, vocab, pattern, text, ids, block_bytes)
+        for batch in decoded_batches(coded, vocab, ids, out):
+            yield batch.drop_columns([text])
 
-    kept = encoded.select(*[f"`{c}`" for c in encoded.columns if c != out])
-    return encoded.mapInArrow(run, kept.withColumn(out, F.lit(None).cast("binary")).schema)
+    return docs.mapInArrow(run, _schema(docs.drop(text), **{ids: "array<int>", out: "binary"}))
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """Per document: number of ids, and digests of the ids and of the bytes
     that they decode to."""
-    coded = decode(encode(docs.select("doc_id", "text"), rank_path, pattern).drop("text"), rank_path)
+    coded = encode_and_decode(docs.select("doc_id", "text"), rank_path, pattern)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
