@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe
+from quarry.llm import (
+    bpe,
+    licenses,
+    mixing,
+    near_embeddings,
+    quality,
+    shingle_join,
+    spotsigs,
+    toxicity,
+    warc,
+)
 from quarry.plans.registry import Query
 from quarry.session import apply_session_conf
 
@@ -17,6 +27,16 @@ def _prepared(fn: Query) -> Query:
 
 QUERIES: dict[str, Query] = {fn.__name__: _prepared(fn) for fn in (
     bpe.op1_byte_bpe,
+    licenses.op2_license_scan,
+    near_embeddings.op3_embedding_near_dedup,
+    toxicity.op4_toxicity_crf,
+    warc.op5_warc,
+    mixing.op6_source_mixing,
+    shingle_join.op7_ngram_jaccard_join,
+    spotsigs.op8_spotsigs,
+    quality.op9_quality_ftrl,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.oracle(),
+}
