@@ -39,7 +39,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 #: Documents that fly in one block.
 BLOCK = 20_000
 #: Documents that move together.
-POOL = 24
+POOL = 32
 #: Nearer to 0 or 1 than this is settled.
 EPS = 1e-9
 #: Stands for a null id while documents fly.
@@ -65,13 +65,20 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
     return out
 
 
+def balanced(u: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """``u`` without its parts along 1 and along the centred sizes ``z``."""
+    u = u - u.mean()
+    spread = z @ z
+    return u - (u @ z) / spread * z if spread else u
+
+
 def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
     """Settle probabilities, keeping their sum and their sum of p * size; at
     most two stay between 0 and 1, none if ``land``.
 
-    Documents are taken from the longest to the shortest, ``POOL`` of them
-    move at a time, and each step settles one at least; so those left for the
-    landing are short."""
+    Documents are taken from the longest to the shortest, ``POOL`` at a time.
+    A step moves the longest as far as it goes while the others make up for
+    it, and settles one at least; so those left for the landing are short."""
     p = np.where(p < EPS, 0.0, np.where(p > 1 - EPS, 1.0, p))
     queue = np.flatnonzero((p > 0) & (p < 1))
     queue = queue[np.argsort(-size[queue], kind="stable")]
@@ -79,11 +86,10 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -
     while len(pool) > (0 if land else 2):
         q, z = p[pool], size[pool].astype(np.float64)
         if len(pool) > 2:                       # null space of the rows 1 and size
-            u = rng.standard_normal(len(pool))
             z -= z.mean()
-            u -= u.mean()
-            if spread := z @ z:
-                u -= (u @ z) / spread * z
+            u = balanced(np.arange(len(pool)) == 0, z)
+            if np.abs(u).max() < 1e-6:          # the longest cannot move: move the others
+                u = balanced(rng.standard_normal(len(pool)), z)
         else:                                   # landing: documents only, then nothing
             u = np.array([1.0, -1.0])[:len(pool)]
         with np.errstate(divide="ignore", invalid="ignore"):
