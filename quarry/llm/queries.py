@@ -10,6 +10,7 @@ from quarry.llm import (
     quality,
     shingle_join,
     spotsigs,
+    substrings,
     toxicity,
     warc,
 )
@@ -35,6 +36,7 @@ QUERIES: dict[str, Query] = {fn.__name__: _prepared(fn) for fn in (
     shingle_join.op7_ngram_jaccard_join,
     spotsigs.op8_spotsigs,
     quality.op9_quality_ftrl,
+    substrings.op10_suffix_dedup,
 )}
 
 ORACLES: dict[str, str] = {
