@@ -9,7 +9,19 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import shared_dir
+from quarry.session import apply_session_conf, shared_dir
+
+
+#: Rows and bytes that go to a Python worker at a time: texts can be long.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+           "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def prepare(spark: SparkSession) -> None:
+    """The session settings that the operators rely on."""
+    apply_session_conf(spark)
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

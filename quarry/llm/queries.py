@@ -14,13 +14,13 @@ from quarry.llm import (
     toxicity,
     warc,
 )
+from quarry.llm.common import prepare
 from quarry.plans.registry import Query
-from quarry.session import apply_session_conf
 
 
 def _prepared(fn: Query) -> Query:
     def run(spark, sf_dir):
-        apply_session_conf(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     return run

@@ -46,7 +46,7 @@ BLOCK = 512
 #: Shingles hashed at a time (keeps the work in the processor's cache).
 CHUNK = 1 << 15
 #: Distinct words whose hashes a task remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 
 #: Where a row meets others: a pair of blocks of a bucket of a band.
 PLACE = ("bucket", "band", "_a", "_b", "_blk")
@@ -120,10 +120,11 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 for i, s in zip(full, signature([sets[i] for i in full], bands, rows)):
                     sig[i] = s.view(np.int64)
                     keys[i] = set_key(sets[i].tobytes())
-                yield pa.record_batch({"doc": part.column("doc"), "set_key": pa.array(keys, pa.binary()),
+                yield pa.record_batch({"doc": part.column("doc"), "th": part.column("th"),
+                                       "set_key": pa.array(keys, pa.binary()),
                                        "bands": pa.array(sig, pa.list_(pa.int64()))})
 
-    return docs.mapInArrow(run, "doc long, set_key binary, bands array<long>")
+    return docs.mapInArrow(run, "doc long, th long, set_key binary, bands array<long>")
 
 
 def needed(meets: DataFrame) -> DataFrame:
@@ -149,6 +150,15 @@ def needed(meets: DataFrame) -> DataFrame:
     return meets.mapInArrow(run, "id long, " + PLACE_TYPE)
 
 
+def _by_places(batch: pa.RecordBatch, most: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Rows with about ``most`` places together."""
+    block = np.cumsum(batch.column("at").value_lengths().to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def with_sets(docs: DataFrame, n: int) -> DataFrame:
     """Rows (id, set_key, text, at: list of bucket places) -> one row per place
     with the whole set; texts that have another set (a repeated document id)
@@ -156,8 +166,7 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in _by_places(batch):
                 sets = [shingles(t, n, hashes).tobytes() for t in part.column("text").to_pylist()]
                 right = [set_key(s) == k for s, k in zip(sets, part.column("set_key").to_pylist())]
                 part = part.append_column("grams", pa.array(sets, pa.binary())).filter(pa.array(right))
@@ -239,12 +248,12 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
                     threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
-    """(doc_id, n_links, class_id, kept) of every row of ``docs`` with an id:
-    the number of other rows linked directly, the smallest id reachable by
-    links, and whether that is its own."""
+    """(doc_id, text_hash, n_links, class_id, kept) of every row of ``docs`` with
+    an id: the number of other rows linked directly, the smallest id reachable
+    by links, and whether that is its own."""
     bands = bands_for(threshold, rows, recall)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")) \
-                .where("doc is not null")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"),
+                        F.xxhash64(text).alias("th")).where("doc is not null")
     signed = store(signatures(texts, n, bands, rows), "signatures")
     reps = store(
         signed.where("set_key is not null").groupBy("set_key")
@@ -272,11 +281,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .select(F.col("set_key").alias("k"), "class_id",
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     return signed.join(named, F.col("set_key") == F.col("k"), "left").select(
-        F.col("doc").alias("doc_id"),
+        F.col("doc").alias("doc_id"), F.col("th").alias("text_hash"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("class_id", "doc").alias("class_id"),
         (F.coalesce("class_id", "doc") == F.col("doc")).alias("kept"))
 
 
+def one_per_group(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` (with doc_id and text) without near copies: of each
+    class, the row with the smallest id (of rows that repeat that id, the one
+    whose text hashes lowest); rows without an id stay."""
+    kept = (near_duplicates(docs, **how).where("kept").groupBy(F.col("doc_id").alias("__id"))
+            .agg(F.min("text_hash").alias("__th")))
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    one = keyed.join(kept, (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__th"))) \
+               .dropDuplicates(["__id", "__th"])
+    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
