@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from quarry.llm.common import store
 
 
+#: Edges that one file of a round holds, at most.
+EDGES_PER_FILE = 200_000
+
+
 def _print(edges: DataFrame) -> tuple:
     """Size and order-free checksum of an edge table."""
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -43,7 +47,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
                  .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                            F.struct("u", F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where("u > v").distinct())
-        edges = store(small, "edges")
+        # a round never has more edges than the one before
+        edges = store(small.coalesce(-(-last[0] // EDGES_PER_FILE)), "edges")
         now = _print(edges)
         if now == last:
             break

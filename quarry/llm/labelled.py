@@ -37,4 +37,5 @@ def fitted(rows: DataFrame, fit) -> bytes:
         yield pa.record_batch({"model": pa.array([fit(got)], pa.binary())})
 
     one = rows.select("id", "text", "label").repartition(1).sortWithinPartitions("id", "text", "label")
-    return bytes(one.mapInArrow(run, "model binary").collect()[0].model)
+    found = one.mapInArrow(run, "model binary").collect()
+    return bytes(found[0].model) if found else fit([])

@@ -37,7 +37,7 @@ from quarry.llm.groups import complete_groups
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Documents that fly in one block.
-BLOCK = 20_000
+BLOCK = 2000
 #: Documents that move together.
 POOL = 32
 #: Nearer to 0 or 1 than this is settled.

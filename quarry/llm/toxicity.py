@@ -1,8 +1,8 @@
 """Toxicity: a linear-chain conditional random field over the words of a text.
 
 Labelled tokens.  Labels mark documents, so tokens are labelled first: of the
-labelled sample, a word (or its first four or five letters) that is in many
-toxic texts and hardly in any clean one marks the tokens of *toxic* texts it
+labelled sample, a word (or its first four or five letters) that is in
+significantly more toxic texts than clean ones marks the tokens of *toxic* texts it
 stands in; all other tokens are clean.
 
 Model.  Two states (clean, toxic), free transitions, and for every token the
@@ -47,7 +47,7 @@ PER_LABEL = 1500
 #: Documents that go through forward-backward together (about so many tokens).
 TOGETHER = 1 << 19
 #: Distinct words that a task remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 
 
 def _stems(word: str) -> tuple[str, ...]:
@@ -147,20 +147,28 @@ def forward_backward(s: np.ndarray, bounds: np.ndarray, trans: np.ndarray
     return c1 / (c0 + c1), pairs
 
 
-def marking_stems(texts: list[str], labels: list[int], share: float = 0.02, ratio: float = 20.0
+def marking_stems(texts: list[str], labels: list[int], ratio: float = 4.0, deviations: float = 5.0
                   ) -> set[str]:
-    """Stems that are in at least ``share`` of the toxic texts (three at least)
-    and ``ratio`` times as often as in clean ones."""
+    """Stems that are in ``ratio`` times as many toxic texts as clean ones (in
+    three at least, and in a hundredth of them), by a difference of more than
+    ``deviations`` standard deviations."""
     toxic, clean = Counter(), Counter()
     for text, label in {(t, x) for t, x in zip(texts, labels)}:      # equal texts count once
         stems = {s for w in set(WORD.findall(text.lower())) for s in _stems(w)}
         (toxic if label else clean).update(stems)
     n_toxic, n_clean = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-    return {s for s, k in toxic.items() if k >= max(3, share * n_toxic)
-            and k / n_toxic > ratio * (clean[s] + 0.5) / n_clean}
 
+    def marks(stem: str, k: int) -> bool:
+        c = clean[stem]
+        if k < max(3, 0.01 * n_toxic) or k / n_toxic <= ratio * (c + 0.5) / n_clean:
+            return False
+        p = (k + c) / (n_toxic + n_clean)
+        return (k / n_toxic - c / n_clean) > deviations * np.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_clean))
 
-def fit(rows: list[tuple], passes: int = 4, rate: float = 0.3, decay: float = 1e-6, seed: int = 3
+    return {s for s, k in toxic.items() if marks(s, k)}
+
+
+def fit(rows: list[tuple], steps: int = 50, rate: float = 0.3, decay: float = 1e-6, seed: int = 3
         ) -> bytes:
     """The pickled model (weights, transitions, score coefficients)."""
     texts, labels = [t or "" for _, t, _ in rows], [x for _, _, x in rows]
@@ -173,12 +181,13 @@ def fit(rows: list[tuple], passes: int = 4, rate: float = 0.3, decay: float = 1e
     square, square_t = np.full(DIM + 1, 1e-8), np.full((2, 2), 1e-8)
     sizes = [len(t) for t in texts]
     order = sorted(range(len(texts)), key=lambda i: -sizes[i])
-    batches = [order[i::max(1, len(order) // 100)] for i in range(max(1, len(order) // 100))]
+    n = max(min(20, len(order)), len(order) // 100)
+    batches = [order[i::n] for i in range(n)]
     known = [words.sequences([texts[i] for i in b])[:2] for b in batches]
     table = np.array(words.own, np.int64).reshape(-1, 6)
     marked = np.fromiter((any(s in marks for s in _stems(x)) for x in words), bool, len(words))
     rng = np.random.default_rng(seed)
-    for turn in range(passes):
+    for _ in range(-(-steps // n)):
         for k in rng.permutation(len(batches)).tolist():
             at, bounds = known[k]
             if not len(at):
