@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main(argv: list[str] | None = None) -> int:
     from quarry.plans import all_oracles, all_queries
-    from quarry.session import get_session
+    from quarry.session import get_session, remove_tables
 
     ap = argparse.ArgumentParser(prog="quarry")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -53,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
             df.write.mode("overwrite").parquet(os.path.join(args.output, name) if len(args.names) > 1 else args.output)
         else:
             df.show(20, truncate=False)
+        remove_tables()
     return 0
 
 

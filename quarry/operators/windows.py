@@ -1,234 +1,194 @@
-"""Skew-safe window analytics.
+"""Skew-safe window analytics (W1-W5), one path for every size.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task.
 With few keys (5 categories) or one hot key (a third of all rows) that is one
 straggler task holding a huge sorted buffer.  The operators here give the
-same results as the plain window but cut each key into *fragments* -- ranges
-of the order column sized from per-key statistics -- so every window
-partition is bounded:
-
-* running aggregates (RANGE unbounded preceding .. current row) become a
-  distributed prefix sum: local sums per fragment + carried fragment totals;
-* "previous k rows" lists are computed inside each fragment, and only the
-  first k rows of a fragment look back across the boundary, through a small
-  table of fragment heads and tails (at most 2k rows per fragment).
-
-Fragment count per key = ceil(rows_of_key / rows_per_fragment).  A checked
-size comes first: when no key exceeds the fragment size (one aggregate, one
-number to the driver), the plain window is provably bounded and is used.
-
-Fragments are equal-width ranges of the first order column, refined once:
-a range still over the limit (a burst) is cut into equal sub-ranges, and for
-row frames a range whose rows share one timestamp is cut by the tie-break
-column.
+same results as the plain window, but cut the rows into *fragments*: ranges of
+the whole sort order (keys, then order columns, then a hash of the row where
+rows may tie), so that a fragment holds a bounded number of rows whatever their
+keys, types, nulls or bursts.
+
+* The cuts are sampled tuples of the sort order, of the columns' own types
+  and with Spark's own ordering (nulls first).  They are written once to the
+  shared folder, so every branch of a plan, and every retry, uses the same.
+* Running aggregates (RANGE unbounded preceding .. current row) become a
+  distributed prefix sum: local sums per fragment + carried fragment totals.
+* "Previous k rows" lists are computed inside each fragment; the first k rows
+  of a fragment are completed from the tails (at most k values each) of the
+  fragments before it.
+
+``rows_per_fragment`` is the bound.  By default it is a 64th of the rows,
+between 1,000 and 2,000,000, so small inputs run the same plan as large ones.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_FRAGMENT = 2_000_000
-# Small sides are broadcast only when a counted row bound is under this
-# (they are narrow: keys plus a few numbers).  Above it, a shuffle join.
-BROADCAST_MAX_ROWS = 1_000_000
-_SUB_SPAN = 1 << 20          # second-level fragments per first-level range (upper bound)
+from quarry.session import write_table
 
-_HELPERS = ("_frag", "_lo", "_width", "_nf", "_pos", "_cnt", "_local", "_edge")
+MOST_ROWS, LEAST_ROWS, PIECES = 2_000_000, 1_000, 64
+#: Inputs up to this many rows are cut exactly, larger ones by a sample.
+EXACT_ROWS = 200_000
+#: Sampled rows for each cut.
+SAMPLES = 40
 
 
-def _as_number(df: DataFrame, col: str) -> Column:
-    dtype = df.schema[col].dataType if "." not in col else None
-    c = F.col(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+def default_rows_per_fragment(rows: int) -> int:
+    return max(LEAST_ROWS, min(MOST_ROWS, math.ceil(rows / PIECES)))
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                   broadcast: bool = False) -> DataFrame:
-    """Join on ``keys`` where null matches null (<=>), keeping left column names.
-    ``broadcast`` only when the caller has counted ``right`` small."""
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` where null matches null (<=>), keeping left column
+    names.  Whether a side is broadcast is left to adaptive execution, which
+    has measured its bytes."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
-    if broadcast:
-        renamed = F.broadcast(renamed)
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    out = left.join(renamed, cond, how)
-    return out.drop(*[f"_r_{k}" for k in keys])
-
-
-def _key_stats(df: DataFrame, keys: list[str], order_col: str, rows_per_fragment: int) -> DataFrame:
-    """One row per key: fragment count and width over ``order_col``."""
-    num = _as_number(df, order_col)
-    nf = F.ceil(F.col("_n") / F.lit(rows_per_fragment))
-    return (df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
-            .select(*keys, "_lo", nf.alias("_nf"), ((F.col("_hi") - F.col("_lo")) / nf).alias("_width")))
-
-
-class KeyProfile:
-    """Counted sizes of a keyed input: number of keys, rows of the largest key,
-    all rows.  One partially-aggregated job; three numbers reach the driver."""
-
-    def __init__(self, df: DataFrame, keys: list[str]):
-        row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-               .agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first())
-        self.keys, self.largest, self.rows = row[0] or 0, row[1] or 0, row[2] or 0
-
-    def fits_one_fragment(self, rows_per_fragment: int) -> bool:
-        return self.largest <= rows_per_fragment
-
-    def fragments_bound(self, rows_per_fragment: int) -> int:
-        """Upper bound on (key, fragment) pairs, both levels included."""
-        return 2 * (self.keys + self.rows // rows_per_fragment + 1)
-
-
-def with_fragments(df: DataFrame, keys: list[str], order_col: str,
-                   rows_per_fragment: int = ROWS_PER_FRAGMENT,
-                   profile: KeyProfile | None = None, tie_col: str | None = None) -> DataFrame:
-    """Add ``_frag``: equal-width ranges of ``order_col`` within each key.
-
-    The statistics table has one row per key (partial aggregate), broadcast
-    only under a counted bound.  Fragments are monotone in ``order_col``
-    (then ``tie_col``), so (key, _frag, order) sorts exactly like (key, order).
-    ``tie_col`` -- the next order column -- splits a range whose rows all
-    share one ``order_col`` value (ROWS frames only; RANGE peers must stay
-    together).
-    """
-    num = _as_number(df, order_col)
-    tie = _as_number(df, tie_col) if tie_col else None
-    profile = profile or KeyProfile(df, keys)
-    stats = _key_stats(df, keys, order_col, rows_per_fragment)
-    joined = join_null_safe(df, stats, keys, broadcast=profile.keys <= BROADCAST_MAX_ROWS)
-    first = F.when(F.col("_width") > 0,
-                   F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_nf") - 1))
-    level1 = joined.withColumn("_f1", F.coalesce(first, F.lit(0)).cast("long"))
-    # Second level: a first-level range still over the limit (a burst in
-    # time) is cut again into equal sub-ranges.  Counts, min and max are
-    # exact, so every branch of a plan derives the same fragment ids.
-    # The sub-ranges span the rows actually present (min..max inside the
-    # range), so they follow the burst, not the empty part of the range.
-    nsub = F.ceil(F.col("_n1") / F.lit(rows_per_fragment))
-    tie_aggs = [F.min(tie).alias("_tlo"), F.max(tie).alias("_thi")] if tie is not None else []
-    sub = (level1.groupBy(*keys, "_f1")
-           .agg(F.count(F.lit(1)).alias("_n1"), F.min(num).alias("_lo1"), F.max(num).alias("_hi1"), *tie_aggs)
-           .select(*keys, "_f1", "_lo1", nsub.alias("_ns"),
-                   ((F.col("_hi1") - F.col("_lo1")) / nsub).alias("_w1"),
-                   *([F.col("_tlo"), ((F.col("_thi") - F.col("_tlo")) / nsub).alias("_tw")]
-                     if tie is not None else [])))
-    level2 = join_null_safe(level1, sub, keys + ["_f1"],
-                            broadcast=profile.fragments_bound(rows_per_fragment) <= BROADCAST_MAX_ROWS)
-
-    def cut(value: Column, lo: str, width: str) -> Column:
-        return F.least(F.greatest(F.floor((value - F.col(lo)) / F.col(width)), F.lit(0)), F.col("_ns") - 1)
-
-    second = F.when((F.col("_ns") > 1) & (F.col("_w1") > 0), cut(num, "_lo1", "_w1"))
-    if tie is not None:
-        # every row of the range shares one order value: split by the tie column
-        second = second.when((F.col("_ns") > 1) & (F.col("_w1") == 0) & (F.col("_tw") > 0),
-                             cut(tie, "_tlo", "_tw"))
-    frag = F.col("_f1") * F.lit(_SUB_SPAN) + F.coalesce(second, F.lit(0)).cast("long")
-    return level2.withColumn("_frag", frag).drop("_lo", "_width", "_nf", "_f1", "_ns", "_lo1", "_w1",
-                                                 "_tlo", "_tw")
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _cuts(df: DataFrame, cols: list[str], rows_per_fragment: int | None) -> tuple[DataFrame | None, int]:
+    """A one-row table ``cuts`` of sorted tuples of ``cols`` (null if no cut is
+    needed), and how many there are."""
+    rows = df.count()
+    limit = rows_per_fragment or default_rows_per_fragment(rows)
+    if rows <= limit:
+        return None, 0
+    keys = df.select(*cols)
+    if rows <= EXACT_ROWS:
+        step = limit
+    else:
+        # half the limit: a sampled range of twice its expected size is still within it
+        pieces = math.ceil(2 * rows / limit)
+        keys = keys.sample(fraction=min(1.0, SAMPLES * pieces / rows), seed=17)
+        step = SAMPLES
+    # as many rows as there are cuts (times SAMPLES) meet in one task, and nowhere else
+    rank = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in cols]))
+    picked = (keys.select(F.struct(*cols).alias("cut"), (rank - 1).alias("at"))
+              .where((F.col("at") > 0) & (F.col("at") % step == 0)))
+    table = write_table(picked.agg(F.array_sort(F.collect_list("cut")).alias("cuts"),
+                                   F.count(F.lit(1)).alias("n")), "cuts")
+    return table.select("cuts"), table.first().n
+
+
+def with_fragments(df: DataFrame, keys: list[str], order: list[str],
+                   rows_per_fragment: int | None = None) -> DataFrame:
+    """Add ``_frag``: the number of cuts at or below the row's (keys, order)
+    tuple, found by binary search.  (keys, _frag, order) sorts exactly like
+    (keys, order); rows that tie in all of it share a fragment."""
+    cuts, n = _cuts(df, [*keys, *order], rows_per_fragment)
+    if not n:
+        return df.withColumn("_frag", F.lit(0))
+    steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)])
+    placed = df.select("*", cuts.scalar().alias("_cuts"), F.struct(*keys, *order).alias("_tuple"))
+    found = F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: F.when((at + step <= n) & (F.get("_cuts", at + step - 1) <= F.col("_tuple")),
+                                at + step).otherwise(at))
+    return placed.select(*df.columns, found.alias("_frag"))
 
 
 # ----------------------------------------------------------- running average
 def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: str,
-                    out: str = "running_avg",
-                    rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
+                    out: str = "running_avg", rows_per_fragment: int | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY keys ORDER BY order_col)``.
 
     Default frame = RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with equal
-    ``order_col`` share one value; nulls in ``value_col`` are skipped.
+    ``order_col`` share one value; nulls in ``value_col`` are skipped.  The
+    input is read twice: for one row per (key, order value), and for the result.
     """
     grain = keys + [order_col]
-    pre = df.groupBy(*grain).agg(F.sum(value_col).alias("_s"), F.count(value_col).alias("_c"))
-    prof = KeyProfile(pre, keys)                 # rows of pre = one per (key, order value)
-    small_cum = prof.rows <= BROADCAST_MAX_ROWS
-    if check_size and prof.fits_one_fragment(rows_per_fragment):
-        # every key's pre-aggregate is bounded: one plain window suffices
-        w = (Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first())
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        s, n = F.sum("_s").over(w), F.sum("_c").over(w)
-        cum = pre.select(*grain, F.when(n > 0, s / n).alias(out))
-        return join_null_safe(df, cum, grain, broadcast=small_cum)
-    pre = with_fragments(pre, keys, order_col, rows_per_fragment, prof)
+    # a partial aggregate; written, because cuts, sums and totals read it
+    pre = write_table(df.groupBy(*grain).agg(F.sum(value_col).alias("_s"), F.count(value_col).alias("_c")),
+                      "running_totals")
+    pre = with_fragments(pre, keys, [order_col], rows_per_fragment)
     local_w = (Window.partitionBy(*keys, "_frag").orderBy(F.col(order_col).asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = pre.select(*grain, "_frag",
-                       F.sum("_s").over(local_w).alias("_ls"),
+    local = pre.select(*grain, "_frag", F.sum("_s").over(local_w).alias("_ls"),
                        F.sum("_c").over(local_w).alias("_lc"))
     totals = pre.groupBy(*keys, "_frag").agg(F.sum("_s").alias("_ts"), F.sum("_c").alias("_tc"))
+    # one row per fragment of a key
     carry_w = (Window.partitionBy(*keys).orderBy("_frag")
                .rowsBetween(Window.unboundedPreceding, -1))
     carry = totals.select(*keys, "_frag",
                           F.coalesce(F.sum("_ts").over(carry_w), F.lit(0.0)).alias("_os"),
                           F.coalesce(F.sum("_tc").over(carry_w), F.lit(0)).alias("_oc"))
-    cum = join_null_safe(local, carry, keys + ["_frag"], "inner",
-                         broadcast=prof.fragments_bound(rows_per_fragment) <= BROADCAST_MAX_ROWS)
-    s = F.col("_ls") + F.col("_os")
+    cum = join_null_safe(local, carry, keys + ["_frag"], "inner")
+    s = F.coalesce("_ls", F.lit(0.0)) + F.col("_os")
     n = F.col("_lc") + F.col("_oc")
     cum = cum.select(*grain, F.when(n > 0, s / n).alias(out))
-    return join_null_safe(df, cum, grain, broadcast=small_cum)
+    return join_null_safe(df, cum, grain)
 
 
 # ------------------------------------------------------- previous-k row lists
 def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: Column,
-                    k: int, out: str = "lagged",
-                    rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
+                    k: int, out: str = "lagged", rows_per_fragment: int | None = None) -> DataFrame:
     """``collect_list(collect) OVER (PARTITION BY keys ORDER BY order
     ROWS BETWEEN k PRECEDING AND 1 PRECEDING)`` (W2); first row -> [].
 
-    ``order`` must be a total order within a key (add an id as tie-break).
-    Nulls of ``collect`` are skipped, as collect_list does; collect a struct
-    to keep positions.
+    Rows that tie in ``order`` are ordered by a hash of the row, so the result
+    does not depend on the partitioning, and a hot tie is cut as well (rows
+    alike in every column stay together).  Nulls of ``collect`` are skipped, as
+    collect_list does; collect a struct to keep positions.
     """
-    order_cols = [F.col(c).asc_nulls_first() for c in order]
-    prof = KeyProfile(df, keys)
-    if check_size and prof.fits_one_fragment(rows_per_fragment):
-        # every key is bounded: one plain window, no head/tail pass
-        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(-k, -1)
-        return df.select("*", F.collect_list(collect).over(w).alias(out))
-    fr = with_fragments(df, keys, order[0], rows_per_fragment, prof,
-                        tie_col=order[1] if len(order) > 1 else None)
-    wf = Window.partitionBy(*keys, "_frag").orderBy(*order_cols)
-    staged = fr.select("*",
-                       F.row_number().over(wf).alias("_pos"),
-                       F.count(F.lit(1)).over(Window.partitionBy(*keys, "_frag")).alias("_cnt"),
-                       F.collect_list(collect).over(wf.rowsBetween(-k, -1)).alias("_local"))
-    interior = staged.where(F.col("_pos") > k).withColumn(out, F.col("_local"))
-    # Heads (first k of a fragment) need rows from earlier fragments; the
-    # last k rows before any head are all heads or tails of fragments.
-    edge_w = (Window.partitionBy(*keys).orderBy(F.col("_frag"), *order_cols).rowsBetween(-k, -1))
-    edge = (staged.where((F.col("_pos") <= k) | (F.col("_cnt") - F.col("_pos") < k))
-            .withColumn("_edge", F.collect_list(collect).over(edge_w))
-            .where(F.col("_pos") <= k)
-            .withColumn(out, F.col("_edge")))
-    cols = [c for c in interior.columns if c not in _HELPERS]
-    return interior.select(*cols).unionByName(edge.select(*cols))
-
-
-def lag_list(df: DataFrame, keys: list[str], order: list[str], value_col: str,
-             k: int = 10, out: str = "laggedValues",
-             rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
+    cols = df.columns
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    rows = df.select("*", collect.alias("_v"), F.xxhash64(*hashable).alias("_tie"))
+    order_cols = [F.col(c).asc_nulls_first() for c in [*order, "_tie"]]
+    place = [*keys, "_frag"]
+    # one exchange, by fragment, serves the windows and the join below
+    rows = with_fragments(rows, keys, [*order, "_tie"], rows_per_fragment).repartition("_frag")
+    w = Window.partitionBy(*place).orderBy(*order_cols)
+    value = F.struct(F.col("_v").alias("v"))
+    staged = rows.select("*", F.row_number().over(w).alias("_pos"),
+                         F.collect_list(value).over(w.rowsBetween(-k, -1)).alias("_near"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # the last row of a fragment knows its tail: the k - 1 values before it and its own
+    tails = staged.withColumn("_cnt", F.count(F.lit(1)).over(whole)).where("_pos = _cnt").select(
+        *place, "_cnt", F.slice(F.concat("_near", F.array(value)), -F.least(F.col("_cnt"), F.lit(k)),
+                                F.lit(k)).alias("_tail"))
+    tails = write_table(tails, "tails")            # one row per fragment of a key
+    # from which fragment on do k rows come before the fragment?
+    before = Window.partitionBy(*keys).orderBy("_frag")
+    sums = tails.select(*place, "_cnt", F.sum("_cnt").over(before).alias("_upto"))
+    sums = sums.select("*", F.collect_list(F.struct("_frag", "_upto")).over(
+        before.rowsBetween(-k, -1)).alias("_prior"))
+    wanted = sums.select(*keys, F.col("_frag").alias("_to"), F.explode(F.filter(
+        "_prior", lambda p: p["_upto"] > F.col("_upto") - F.col("_cnt") - k)["_frag"]).alias("_frag"))
+    # only the first key of a fragment goes on from the one before: a row per fragment
+    heads = (join_null_safe(wanted, tails.select(*place, "_tail"), place, "inner")
+             .groupBy("_to").agg(F.first(F.struct(*keys)).alias("_key"),
+                                 F.array_sort(F.collect_list(F.struct("_frag", "_tail"))).alias("_t"))
+             .select("_to", "_key", F.flatten(F.transform("_t", lambda t: t["_tail"])).alias("_head")))
+    joined = staged.join(heads, F.col("_frag") == F.col("_to"), "left")
+    both = F.concat("_head", "_near")
+    near = F.when((F.col("_pos") <= k) & F.col("_key").eqNullSafe(F.struct(*keys)),
+                  F.slice(both, -F.least(F.size(both), F.lit(k)), F.lit(k))).otherwise(F.col("_near"))
+    return (joined.select(*cols, near.alias("_near"))
+            .select(*cols, F.array_compact(F.transform("_near", lambda x: x["v"])).alias(out)))
+
+
+def lag_list(df: DataFrame, keys: list[str], order: list[str], value_col: str, k: int = 10,
+             out: str = "laggedValues", rows_per_fragment: int | None = None) -> DataFrame:
     """Previous ``k`` values of ``value_col`` per series, oldest first."""
-    return previous_values(df, keys, order, F.col(value_col), k, out, rows_per_fragment, check_size)
+    return previous_values(df, keys, order, F.col(value_col), k, out, rows_per_fragment)
 
 
 def sequence_windows(df: DataFrame, keys: list[str], order: list[str], value_col: str,
                      history: int = 50, out: str = "history", target: str = "target",
-                     rows_per_fragment: int = ROWS_PER_FRAGMENT, check_size: bool = True) -> DataFrame:
+                     rows_per_fragment: int | None = None) -> DataFrame:
     """Supervised windows: the ``history`` previous values -> current value.
 
     Positions are counted, not values: nulls stay in the history.  Rows with
     fewer than ``history`` predecessors produce no window.
     """
     lagged = previous_values(df, keys, order, F.struct(F.col(value_col).alias("v")),
-                             history, "_hist", rows_per_fragment, check_size)
+                             history, "_hist", rows_per_fragment)
     return (lagged.where(F.size("_hist") == history)
             .select(*keys, *order,
                     F.transform("_hist", lambda s: s["v"]).alias(out),
@@ -238,6 +198,5 @@ def sequence_windows(df: DataFrame, keys: list[str], order: list[str], value_col
 def partition_aggregate(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
     """Whole-partition window aggregates (``agg(...) OVER (PARTITION BY keys)``)
     as an aggregate joined back: partial aggregation before the shuffle, and
-    the per-key table broadcast only when its counted size is small (W3)."""
-    totals = df.groupBy(*keys).agg(*aggs)
-    return join_null_safe(df, totals, keys, broadcast=KeyProfile(df, keys).keys <= BROADCAST_MAX_ROWS)
+    a join that adaptive execution may broadcast or split (W3)."""
+    return join_null_safe(df, df.groupBy(*keys).agg(*aggs), keys)

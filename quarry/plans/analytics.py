@@ -11,7 +11,6 @@ from quarry.operators import nested, timewindows, windows
 from quarry.operators.aggregates import harmonic
 from quarry.plans.documents import _MEAS_KEPT, measurement_docs
 from quarry.plans.registry import query
-from quarry.session import write_table
 from quarry.sources import fixtures, readers, schemas
 
 
@@ -34,8 +33,6 @@ def window_running_avg(spark, sf_dir):
     """Running average per category ordered by date (RANGE frame)."""
     meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
-    # the running average reads its input in several branches: parse JSON once
-    meas = write_table(meas, "measurements")
     out = windows.running_average(meas, ["ids"], "date", "magnitudeValue", "WindowSpecAvg")
     return out.select("event", F.array_join("ids", "|").alias("category_ids"), "date",
                       F.round("WindowSpecAvg", 4).alias("WindowSpecAvg"))
@@ -54,7 +51,6 @@ def window_array_key(spark, sf_dir):
     """
     meas = nested.event_measurements(measurement_docs(spark, sf_dir))
     meas = meas.select("event", F.col("category.id").alias("ids"), "date", "magnitudeValue")
-    meas = write_table(meas, "measurements")       # read twice below: parse JSON once
     out = windows.partition_aggregate(meas, ["ids"], F.count(F.lit(1)).alias("category_rows"),
                                       F.avg("magnitudeValue").alias("category_avg"))
     return out.select("event", F.array_join("ids", "|").alias("category_ids"), "date",
@@ -64,7 +60,7 @@ def window_array_key(spark, sf_dir):
 @query("lag_list", """
 SELECT CAST(user_id AS VARCHAR) AS COD, ts AS Fecha, CAST(value AS FLOAT) AS Valor,
        array_to_string(list_transform(
-           coalesce(list(CAST(value AS FLOAT)) OVER (PARTITION BY user_id ORDER BY ts
+           coalesce(list(CAST(value AS FLOAT)) OVER (PARTITION BY user_id ORDER BY ts, CAST(value AS FLOAT)
                     ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), []),
            lambda x: CAST(round(CAST(x AS DOUBLE) * 100) AS BIGINT)), ',') AS laggedValues
 FROM events""")
@@ -75,9 +71,8 @@ def lag_list(spark, sf_dir):
                              timestamp_format=fixtures.MICROS_TS_FORMAT)
     rows = docs.select("COD", F.explode("Data").alias("Data")).select(
         "COD", F.col("Data.Fecha").alias("Fecha"), F.col("Data.Valor").alias("Valor"))
-    # the lag operator reads its input in several branches: parse JSON once
-    rows = write_table(rows, "series_points")
-    lagged = windows.lag_list(rows, ["COD"], ["Fecha"], "Valor", 10, "laggedValues")
+    # rows at one time are ordered by their values, so equal rows are interchangeable
+    lagged = windows.lag_list(rows, ["COD"], ["Fecha", "Valor"], "Valor", 10, "laggedValues")
     return lagged.select("COD", _ntz("Fecha").alias("Fecha"), "Valor",
                          _cents_text("laggedValues").alias("laggedValues"))
 
@@ -134,18 +129,20 @@ def harmonic_mean_zero(spark, sf_dir):
 
 
 # ------------------------------------------------------------ time windows
+# 1e-9 lifts means that end in exactly half a unit (245.77 / 8) off the tie: the
+# order of a sum then does not decide how they are rounded.
 _STATS_SQL = """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-       round(sum(value), 4) AS sum_value, round(max(value), 4) AS max_value,
-       round(min(value), 4) AS min_value, round(avg(value), 4) AS avg_value,
-       round(stddev_pop(value), 4) AS stddev_value
+       round(sum(value) + 1e-9, 4) AS sum_value, round(max(value) + 1e-9, 4) AS max_value,
+       round(min(value) + 1e-9, 4) AS min_value, round(avg(value) + 1e-9, 4) AS avg_value,
+       round(stddev_pop(value) + 1e-9, 4) AS stddev_value
 FROM events GROUP BY 1, 2"""
 
 
 def flat_stats(df: DataFrame) -> DataFrame:
     return df.select(_ntz("window.start").alias("window_start"), _ntz("window.end").alias("window_end"),
-                     *[F.round(c, 4).alias(c) for c in
+                     *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in
                        ("sum_value", "max_value", "min_value", "avg_value", "stddev_value")])
 
 
@@ -207,7 +204,7 @@ def udaf_sql(spark, sf_dir):
 @query("scalar_udf", """
 SELECT event_id, event_type, round(log10(1 + value), 6) AS log_magnitude FROM events""")
 def scalar_udf(spark, sf_dir):
-    """A vectorized scalar UDF registered for SQL."""
+    """A scalar user function called from SQL."""
     udfs.register_all(spark)
     fixtures.table(spark, sf_dir, "events").createOrReplaceTempView("quarry_events")
     return spark.sql("""

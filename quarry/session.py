@@ -98,8 +98,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    # Unset (bare test session): create one and register it, so that
-    # DataFrame.checkpoint() and our scratch data share the same place.
+    # Unset: on one machine (tests), create one and register it, so that
+    # DataFrame.checkpoint() and our scratch data share the same place.  On a
+    # cluster every executor would see a folder of its own.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(root)
     return root
@@ -139,14 +142,39 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store that Spark reads; none if it is missing."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(target))
+
+
+_TABLES: list[tuple[str, SparkSession]] = []
+
+
 def write_table(df, name: str):
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    Used where a plan forks into several branches over an expensive input
-    (e.g. parsed JSON): every branch then scans columnar files instead of
-    re-parsing the source.  The written table also cuts the lineage, so a
-    lost executor never forces a re-parse.
+    For small intermediate tables that several branches of a plan read (cuts,
+    totals): all branches see the same rows, and the lineage is cut.
+    ``remove_tables`` removes the folders once the results are computed.
     """
-    path = shared_dir(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex[:8]}")
+    path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _TABLES.append((path, df.sparkSession))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_tables() -> None:
+    """Remove what ``write_table`` has written in this process; results that
+    still read it must have been computed."""
+    while _TABLES:
+        path, spark = _TABLES.pop()
+        sc = spark.sparkContext
+        if sc._jsc is None:                      # the session has ended
+            continue
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
