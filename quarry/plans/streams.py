@@ -17,6 +17,7 @@ from quarry.functions import harmonic as hm
 from quarry.operators import nested, timewindows
 from quarry.plans.analytics import CONCAT_SQL, LINES_SQL, _STATS_SQL, _hm_sql, flat_concat, flat_stats
 from quarry.plans.registry import query
+from quarry.session import list_names
 from quarry.sources import fixtures, poll
 from quarry.streaming import events as sev
 from quarry.streaming import runner, sinks
@@ -26,6 +27,16 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.file_stream(spark, sf_dir, "events.parquet")
 
 
+def landed_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in four slices that landed one after the other; a batch each."""
+    path = fixtures.landed_events(spark, sf_dir)
+    return runner.file_stream(spark, path, None, schema=spark.read.parquet(path).schema,
+                              max_files_per_trigger=fixtures.event_files(spark, sf_dir))
+
+
+#: Landed files that a micro-batch takes.
+FILES_PER_BATCH = 64
+
 LINES_SCHEMA = "doc_id BIGINT, line_no INT, arrival TIMESTAMP, line STRING"
 
 
@@ -55,12 +66,25 @@ def stream_tumbling_append(spark, sf_dir):
 
 @query("stream_tumbling_update", _STATS_SQL)
 def stream_tumbling_update(spark, sf_dir):
-    """Update mode; the sink keeps the newest row of every window."""
+    """Update mode over several batches; the newest row of every window."""
     runner.use_rocksdb_state(spark)
-    agg = sev.windowed_stats(events_stream(spark, sf_dir), "ts", "value", "1 hour", "2 minutes")
+    # nothing is late without a watermark
+    agg = sev.windowed_stats(landed_event_stream(spark, sf_dir), "ts", "value", "1 hour", None)
     return flat_stats(runner.run(agg, "tumbling_update", "update", keys=["window"]).table())
 
 
+@query("stream_late_rows", f"""
+WITH half AS (SELECT (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 // 3600000000 * 3600000000 AS us FROM events),
+kept AS (SELECT e.* FROM events e, half WHERE NOT (epoch_us(ts) < us AND event_id % 10 = 0))
+{_STATS_SQL.replace("FROM events", "FROM kept")}""")
+def stream_late_rows(spark, sf_dir):
+    """Rows older than the watermark are dropped (update mode): the last
+    file holds a tenth of the first half of the time, after the second half."""
+    runner.use_rocksdb_state(spark)
+    agg = sev.windowed_stats(landed_event_stream(spark, sf_dir), "ts", "value", "1 hour", "2 minutes")
+    return flat_stats(runner.run(agg, "late_rows", "update", keys=["window"]).table())
+
+
 # ----------------------------------------------------------- polled source
 _DATAPOINTS_SQL = """
 WITH p AS (
@@ -79,8 +103,8 @@ def _datapoints_out(df: DataFrame) -> DataFrame:
 
 @query("poll_source_stream", _DATAPOINTS_SQL)
 def poll_source_stream(spark, sf_dir):
-    """S7 + S10: the landed-payload source as a stream, append to Parquet."""
-    stream = poll.datapoint_stream(spark, fixtures.landed_payloads(spark, sf_dir))
+    """S7 + S10: the landed payloads as a stream, append to Parquet."""
+    stream = poll.datapoint_file_stream(spark, fixtures.landed_payloads(spark, sf_dir), FILES_PER_BATCH)
     return _datapoints_out(runner.run(stream, "poll_source", "append").table())
 
 
@@ -96,9 +120,14 @@ WITH d AS ({_DATAPOINTS_SQL}), b AS (SELECT max(index) AS n FROM d)
 SELECT d.* FROM d, b WHERE d.index > b.n // 4 AND d.index <= (3 * b.n) // 4""")
 def offset_range(spark, sf_dir):
     """rows of the offset range (n/4, 3n/4] of the landed datapoints."""
-    dp = poll.datapoints(spark, fixtures.landed_payloads(spark, sf_dir))
-    n = dp.agg(F.max("index")).first()[0] or 0
-    return _datapoints_out(nested.offset_range(dp, "index", n // 4, (3 * n) // 4))
+    path = fixtures.landed_payloads(spark, sf_dir)
+    landed = poll.landed_files(spark, path)
+    numbers = [int(n.split("=")[1]) for n in list_names(spark, path) if n.startswith("file_no=")]
+    last = poll.decode_payloads(landed.where(F.col("file_no") == max(numbers, default=-1)))
+    n = last.agg(F.max("index")).first()[0] or 0              # the newest file holds the last index
+    per_file = fixtures.PAYLOAD_ROWS * fixtures.PAYLOADS_PER_FILE
+    inside = landed.where(F.col("file_no").between(n // 4 // per_file, (3 * n) // 4 // per_file))
+    return _datapoints_out(nested.offset_range(poll.decode_payloads(inside), "index", n // 4, (3 * n) // 4))
 
 
 _HM_CENTS_SQL = f"""
@@ -109,8 +138,8 @@ FROM (SELECT CAST(round(value * 100) AS BIGINT) AS v FROM events)"""
 @query("stream_harmonic_mean", _HM_CENTS_SQL)
 def stream_harmonic_mean(spark, sf_dir):
     """T6 + U2: global harmonic mean of the datapoint stream, complete mode."""
-    stream = sev.with_event_time(poll.datapoint_stream(spark, fixtures.landed_payloads(spark, sf_dir)),
-                                 "timestamp", "2 minutes")
+    stream = sev.with_event_time(poll.datapoint_file_stream(
+        spark, fixtures.landed_payloads(spark, sf_dir), FILES_PER_BATCH), "timestamp", "2 minutes")
     agg = stream.agg(hm.harmonic_mean("value").alias("val_harmonicmean"))
     out = runner.run(agg, "harmonic_stream", "complete").table()
     return out.select(F.round("val_harmonicmean", 6).alias("val_harmonicmean"))
@@ -120,8 +149,8 @@ def stream_harmonic_mean(spark, sf_dir):
 def stream_sql_view(spark, sf_dir):
     """T7 + K3: SQL over a temp view of the stream, with the SQL functions."""
     hm.register_sql(spark)
-    stream = sev.with_event_time(poll.datapoint_stream(spark, fixtures.landed_payloads(spark, sf_dir)),
-                                 "timestamp", "2 minutes")
+    stream = sev.with_event_time(poll.datapoint_file_stream(
+        spark, fixtures.landed_payloads(spark, sf_dir), FILES_PER_BATCH), "timestamp", "2 minutes")
     stream.createOrReplaceTempView("timeseries")
     agg = spark.sql("SELECT hm_finish(count(value), sum(hm_inv(value))) AS val_harmonicmean FROM timeseries")
     out = runner.run(agg, "sql_view_stream", "complete").table()
@@ -137,49 +166,43 @@ def text_stream(spark, sf_dir):
     return out.select("doc_id", "line_no", F.col("arrival").cast("timestamp_ntz").alias("arrival"), "line")
 
 
-def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3 s panes of the line stream: the state holds every line once."""
     lines = sev.with_event_time(lines_stream(spark, sf_dir), "arrival", "15 seconds")
-    return timewindows.window_concat(lines, "arrival", "line", "15 seconds", "3 seconds",
-                                     order_cols=["arrival"])
+    return timewindows.panes(lines, "arrival", "line", "3 seconds")
 
 
 @query("stream_sliding", CONCAT_SQL)
 def stream_sliding(spark, sf_dir):
-    """T3 + T4 + A9: 15 s windows every 3 s over arrival time, update mode."""
+    """T3 + T4 + A9: 15 s windows every 3 s over arrival time: panes are
+    written in update mode and joined when read back."""
     runner.use_rocksdb_state(spark)
-    res = runner.run(_sliding(spark, sf_dir), "sliding", "update", keys=["window"])
-    return flat_concat(res.table())
+    pieces = runner.run(_panes(spark, sf_dir), "sliding", "update", keys=["pane"]).table()
+    return flat_concat(timewindows.join_panes(pieces, "15 seconds", "3 seconds"))
 
 
 @query("stream_text_sink", CONCAT_SQL)
 def stream_text_sink(spark, sf_dir):
-    """K2 + S11: window texts written as text files, one folder per batch,
+    """K2 + S11: pane texts written as text files, one folder per batch,
     plus a Parquet copy of the same batch (persisted once, written twice).
 
-    Each text line is ``start<TAB>end<TAB>n_lines<TAB>text``; a window updated
+    Each text line is ``start<TAB>end<TAB>n_lines<TAB>text``; a pane updated
     in several batches is read back from its newest batch.
     """
     runner.use_rocksdb_state(spark)
     run_dir = runner.shared_dir(spark, "streams", f"text-sink-{uuid.uuid4().hex[:8]}")
     base, copy = os.path.join(run_dir, "text"), os.path.join(run_dir, "parquet")
-    line = F.concat_ws("\t", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss"),
-                       F.date_format("window.end", "yyyy-MM-dd HH:mm:ss"),
-                       F.col("n_lines").cast("string"), "text")
+    line = F.concat_ws("\t", F.date_format("pane.start", "yyyy-MM-dd HH:mm:ss"),
+                       F.date_format("pane.end", "yyyy-MM-dd HH:mm:ss"),
+                       F.col("n_lines").cast("string"), "piece")
     writer = sinks.fan_out(sinks.text_batches(base, line), sinks.parquet_batches(copy))
-    q = (_sliding(spark, sf_dir).writeStream.outputMode("update")
-         .option("checkpointLocation", os.path.join(run_dir, "checkpoint"))
-         .foreachBatch(writer).trigger(availableNow=True).start())
-    q.awaitTermination(600)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    raw = spark.read.option("basePath", base).text(base)
+    runner.finish(_panes(spark, sf_dir).writeStream.outputMode("update")
+                  .option("checkpointLocation", os.path.join(run_dir, "checkpoint"))
+                  .foreachBatch(writer).trigger(availableNow=True).start())
+    raw = spark.read.option("basePath", base).option("lineSep", "\n").text(base)
     parts = F.split("value", "\t", 4)
-    rows = raw.select(F.col("batch"),
-                      F.to_timestamp(parts[0]).alias("start"), F.to_timestamp(parts[1]).alias("end"),
-                      parts[2].cast("long").alias("n_lines"), parts[3].alias("text"))
-    latest = rows.groupBy("start", "end").agg(
-        F.max_by(F.struct("n_lines", "text"), "batch").alias("r"))
-    return latest.select(F.col("start").cast("timestamp_ntz").alias("window_start"),
-                         F.col("end").cast("timestamp_ntz").alias("window_end"),
-                         F.md5("r.text").alias("text_md5"), F.length("r.text").cast("bigint").alias("n_chars"),
-                         F.col("r.n_lines").alias("n_lines"))
+    rows = raw.select("batch", F.struct(F.to_timestamp(parts[0]).alias("start"),
+                                        F.to_timestamp(parts[1]).alias("end")).alias("pane"),
+                      parts[2].cast("long").alias("n_lines"), parts[3].alias("piece"))
+    latest = rows.groupBy("pane").agg(F.max_by(F.struct("n_lines", "piece"), "batch").alias("r"))
+    return flat_concat(timewindows.join_panes(latest.select("pane", "r.*"), "15 seconds", "3 seconds"))

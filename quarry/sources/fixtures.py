@@ -13,6 +13,7 @@ Size rules that keep every document bounded at any scale:
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 import threading
@@ -24,6 +25,7 @@ from quarry.session import shared_dir
 
 ROWS_PER_EVENT_DOC = 100_000     # rows per multi-line document (one task each)
 ROWS_PER_SERIES_DOC = 50_000     # rows per time-series document (JSON lines)
+ROWS_PER_EVENT_FILE = 2_000_000  # rows of an event file that lands for a stream
 MIN_DOCS = 8                     # keep some parallelism on tiny inputs
 PAYLOAD_ROWS = 5                 # datapoints per polled payload
 PAYLOADS_PER_FILE = 2000         # payloads per landed file (= one offset step, ~300 KB)
@@ -38,11 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _cached(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
+    where = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+    key = (spark.sparkContext.applicationId, where, kind)
     with _lock:
         if key in _cache:
             return _cache[key]
-    path = shared_dir(spark, "fixtures", os.path.basename(os.path.normpath(sf_dir)), kind)
+    # the whole path, not its last part, tells inputs apart
+    place = f"{os.path.basename(os.path.normpath(sf_dir))}-{hashlib.sha256(key[1].encode()).hexdigest()[:12]}"
+    path = shared_dir(spark, "fixtures", place, kind)
     build(path)
     with _lock:
         _cache[key] = path
@@ -85,25 +90,24 @@ def event_documents(spark: SparkSession, sf_dir: str) -> str:
             .select(
                 "doc",
                 F.struct(
-                    F.col("user_id").cast("string").alias("id"),
-                    F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("title"),
-                    F.concat(F.lit("events of user "), F.col("user_id").cast("string")).alias("description"),
-                    F.concat(F.lit("https://example.org/users/"), F.col("user_id").cast("string")).alias("link"),
-                    F.lit(None).cast("string").alias("closed"),
                     F.array(F.struct(F.col("event_type").alias("id"),
                                      F.initcap("event_type").alias("title"))).alias("categories"),
+                    F.lit(None).cast("string").alias("closed"),
+                    F.concat(F.lit("events of user "), F.col("user_id").cast("string")).alias("description"),
+                    F.transform("gs", lambda x: x["g"]).alias("geometry"),
+                    F.col("user_id").cast("string").alias("id"),
+                    F.concat(F.lit("https://example.org/users/"), F.col("user_id").cast("string")).alias("link"),
                     F.array(F.struct(F.lit("SRC").alias("id"),
                                      F.lit("https://example.org/src").alias("url"))).alias("sources"),
-                    F.transform("gs", lambda x: x["g"]).alias("geometry"),
+                    F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("title"),
                 ).alias("event"),
             )
         )
         docs = (per_event.groupBy("doc")
                 .agg(F.collect_list("event").alias("events"))
-                .select(F.lit("events").alias("title"),
-                        F.concat(F.lit("document "), F.col("doc").cast("string")).alias("description"),
-                        F.lit("https://example.org/events").alias("link"),
-                        "events"))
+                .select(F.concat(F.lit("document "), F.col("doc").cast("string")).alias("description"),
+                        "events", F.lit("https://example.org/events").alias("link"),
+                        F.lit("events").alias("title")))
         (docs.write.mode("overwrite")
          .option("maxRecordsPerFile", 1)
          .option("dateFormat", "yyyy-MM-dd")
@@ -212,6 +216,36 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "payloads", build)
 
 
+# --------------------------------------------------------------------------
+# F-A7: the events as files that land one after the other.  The first half of
+# the time comes first, then the second half in two files, and last the late
+# tenth of the first half, which was held back.
+# --------------------------------------------------------------------------
+def event_halves(spark: SparkSession, sf_dir: str) -> int:
+    """The middle of the events' time, in microseconds, cut to the hour."""
+    low, high = events_flat(spark, sf_dir).agg(
+        F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    return ((low or 0) + (high or 0)) // 2 // 3_600_000_000 * 3_600_000_000
+
+
+def event_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of each slice of ``landed_events``."""
+    return _doc_count(table(spark, sf_dir, "events"), ROWS_PER_EVENT_FILE)
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> str:
+    def build(path: str) -> None:
+        files = event_files(spark, sf_dir)
+        cut = F.timestamp_micros(F.lit(event_halves(spark, sf_dir)))
+        ev = events_flat(spark, sf_dir)
+        early, tenth, even = F.col("ts") < cut, F.col("event_id") % 10 == 0, F.col("event_id") % 2 == 0
+        slices = (early & ~tenth, ~early & even, ~early & ~even, early & tenth)
+        for n, part in enumerate(slices):
+            # appended one by one: the file source takes files by the time they appeared
+            ev.where(part).withColumn("slice", F.lit(n)).repartition(files).write.mode("append").partitionBy("slice").parquet(path)
+    return _cached(spark, sf_dir, "landed_events", build)
+
+
 # --------------------------------------------------------------------------
 # F-A6: text lines with an arrival clock.  Every line of every document is
 # one arrival; document d, line i arrives at 2024-01-01 + d seconds + i microseconds.

@@ -20,6 +20,7 @@ import json
 import os
 import re
 import urllib.request
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +51,11 @@ def land_payload(url: str, landing_dir: str, payload_no: int, first_index: int,
                  timeout: float = 10.0) -> int:
     """Poll one payload and land it as file number ``payload_no``.
 
-    The write goes to a temp name first and is renamed, so a reader never
-    sees a partial file.  A failed poll raises (the caller retries); it never
-    kills the stream silently.  Returns the number of datapoints landed.
+    The file is written into a hidden folder, and the folder is renamed: a
+    reader sees the whole payload or nothing.  A failed poll raises (the
+    caller retries); it never kills the stream silently.  Landing a number
+    again replaces nothing: the first one stays.  Returns the number of
+    datapoints landed.
     """
     with urllib.request.urlopen(url, timeout=timeout) as resp:
         status = getattr(resp, "status", 200)
@@ -60,24 +63,47 @@ def land_payload(url: str, landing_dir: str, payload_no: int, first_index: int,
             raise IOError(f"poll of {url} returned HTTP {status}")
         body = resp.read().decode("utf-8").strip()
     n = len(json.loads(body))
-    target = os.path.join(landing_dir, f"file_no={payload_no}")
-    os.makedirs(target, exist_ok=True)
-    tmp = os.path.join(target, ".part-0.json.tmp")
-    with open(tmp, "w", encoding="utf-8") as fh:
+    landing_dir = _local(landing_dir)
+    hidden = os.path.join(landing_dir, f".{payload_no}-{uuid.uuid4().hex}")
+    os.makedirs(hidden)
+    with open(os.path.join(hidden, "part-0.json"), "w", encoding="utf-8") as fh:
         fh.write(json.dumps({"payload": payload_no, "first_index": first_index, "body": body}) + "\n")
-    os.replace(tmp, os.path.join(target, "part-0.json"))
+    os.rename(hidden, os.path.join(landing_dir, f"file_no={payload_no}"))
     return n
 
 
 # ------------------------------------------------------------------ decode
-def decode_payloads(landed: DataFrame) -> DataFrame:
+def _parsed(landed: DataFrame) -> DataFrame:
+    """``landed`` with ``_entries`` (array of key, value) and ``_bad``: not the
+    wire form, that is no array of maps, or a time or value that does not parse."""
+    entries = F.flatten(F.transform(F.from_json("body", PAYLOAD_WIRE_TYPE), F.map_entries))
+    odd = F.exists("_entries", lambda e: e["value"].isNull()
+                   | F.try_to_timestamp(e["key"], F.lit(PAYLOAD_TS_FORMAT)).isNull())
+    return (landed.withColumn("_entries", entries)
+            .withColumn("_bad", F.coalesce(F.col("_entries").isNull() | odd, F.lit(True))))
+
+
+def rejected_payloads(landed: DataFrame) -> DataFrame:
+    """The landed payloads that cannot be decoded, as they came."""
+    return _parsed(landed).where("_bad").select(landed.columns)
+
+
+def decode_payloads(landed: DataFrame, malformed: str = "fail") -> DataFrame:
     """Landed payload rows -> datapoints (timestamp, value, index).
 
     Every entry of every map is kept; ``index`` numbers datapoints in arrival
-    order (wire order), starting at the payload's ``first_index``.
+    order (wire order), starting at the payload's ``first_index``.  A malformed
+    payload fails the query; with ``malformed="skip"`` it yields no row, and
+    ``rejected_payloads`` of the same input has it.
     """
-    entries = F.flatten(F.transform(F.from_json("body", PAYLOAD_WIRE_TYPE), F.map_entries))
-    return (landed.select("first_index", F.posexplode(entries).alias("pos", "e"))
+    if malformed not in ("fail", "skip"):
+        raise ValueError(f"malformed must be fail or skip, not {malformed!r}")
+    rows = _parsed(landed)
+    if malformed == "skip":
+        rows = rows.where(~F.col("_bad"))
+    text = F.concat(F.lit("malformed payload "), F.coalesce(F.col("payload").cast("string"), F.lit("?")))
+    entries = F.when(F.col("_bad"), F.raise_error(text)).otherwise(F.col("_entries"))
+    return (rows.select("first_index", F.posexplode(entries).alias("pos", "e"))
             .select(F.to_timestamp(F.col("e.key"), PAYLOAD_TS_FORMAT).alias("timestamp"),
                     F.col("e.value").alias("value"),
                     (F.col("first_index") + F.col("pos")).alias("index")))
@@ -92,19 +118,29 @@ class _FilePartition(InputPartition):
 
 
 def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    """The path of a mounted folder; the Python source reads no other store."""
+    if "://" in path and not path.startswith("file:"):
+        raise ValueError(f"landed_payloads reads mounted folders only, not {path}: use datapoint_file_stream")
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
 
 
 def _landed_numbers(root: str) -> list[int]:
+    """Numbers of the landed files, ascending; a folder counts once it holds a
+    committed file."""
     root = _local(root)
     if not os.path.isdir(root):
-        return []
-    out = []
-    for name in os.listdir(root):
-        m = _DIR_RE.match(name)
-        if m:
-            out.append(int(m.group(1)))
-    return sorted(out)
+        raise FileNotFoundError(f"landing folder {root} does not exist")
+    found = [(int(m.group(1)), name) for name in os.listdir(root) if (m := _DIR_RE.match(name))]
+    return sorted(n for n, name in found
+                  if any(f.endswith(".json") and f[0] not in "._" for f in os.listdir(os.path.join(root, name))))
+
+
+def _contiguous(root: str, start: int) -> int:
+    """The last number up to which every file after ``start`` has landed."""
+    have, n = set(_landed_numbers(root)), start
+    while n + 1 in have:
+        n += 1
+    return n
 
 
 def _read_landed_dir(directory: str):
@@ -132,20 +168,23 @@ def _read_landed_dir(directory: str):
 
 
 class LandedPayloadStreamReader(DataSourceStreamReader):
+    """Offsets are the last number of a gapless run: a file that lands out of
+    order holds back those after it, and none is passed over."""
+
     def __init__(self, path: str):
         self.path = path
+        self.seen = -1
 
     def initialOffset(self) -> dict:
         return {"file": -1}
 
     def latestOffset(self) -> dict:
-        nums = _landed_numbers(self.path)
-        return {"file": nums[-1] if nums else -1}
+        self.seen = _contiguous(self.path, self.seen)
+        return {"file": self.seen}
 
     def partitions(self, start: dict, end: dict):
         lo, hi = start["file"], end["file"]
-        return [_FilePartition(n, os.path.join(self.path, f"file_no={n}"))
-                for n in _landed_numbers(self.path) if lo < n <= hi]
+        return [_FilePartition(n, os.path.join(self.path, f"file_no={n}")) for n in range(lo + 1, hi + 1)]
 
     def read(self, partition: _FilePartition):
         yield from _read_landed_dir(partition.directory)
@@ -212,14 +251,20 @@ def datapoints(spark: SparkSession, landing_dir: str) -> DataFrame:
     return decode_payloads(spark.read.format("landed_payloads").load(landing_dir))
 
 
+def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """Landed payloads through Spark's own JSON source, with their ``file_no``;
+    a filter on it prunes files."""
+    return spark.read.schema(LANDED_SCHEMA + ", file_no BIGINT").json(landing_dir)
+
+
 def datapoint_file_stream(spark: SparkSession, landing_dir: str,
                           max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same landed payloads through Spark's built-in file source.
+    """The landed payloads through Spark's built-in file source: any store,
+    bounded batches (``maxFilesPerTrigger``), the same exactly-once guarantee
+    from its checkpoint, and late landings in any order.
 
-    The Python stream reader API of Spark 4.1 has no admission control, so a
-    backlog (e.g. after downtime) becomes one micro-batch.  The file source
-    reads the same landing folder with ``maxFilesPerTrigger`` to bound batch
-    size, with the same exactly-once guarantee from its checkpoint.
+    (The Python stream reader API of Spark 4.1 has no admission control: there
+    a backlog becomes one micro-batch.)
     """
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:

@@ -1,17 +1,21 @@
 """Run a streaming query to a durable table and read the result back.
 
-Sinks (all under the shared scratch folder, each query with its own
-checkpoint, so a restarted query resumes exactly where it stopped):
+A run writes below one *location*: ``out`` (the table) and ``checkpoint``.
+The caller gives the location of a query that is to be resumed; a run with the
+same location goes on exactly where the last one stopped.  Without one, a run
+gets a fresh folder under the shared scratch folder.
 
 * ``append``   -> Parquet file sink (exactly-once via the sink's log);
 * ``complete`` -> ``foreachBatch`` writing the whole result to
   ``batch_id=<n>`` (overwrite by batch id = idempotent on retry); the result
-  is the newest batch directory;
+  is the newest complete batch folder;
 * ``update``   -> ``foreachBatch`` writing the changed rows to
   ``batch_id=<n>``; the result keeps, per key, the row of the newest batch.
+  Every ``COMPACT_EVERY`` batches the newest rows are written to
+  ``snapshot_id=<n>``, so reading back never goes through all batches.
 
-``trigger="available_now"`` processes everything present and stops (tests,
-backfills); ``processing_time="3 seconds"`` runs as a continuous service.
+What has been written is found by listing the folders (a folder counts once it
+holds its ``_SUCCESS`` file), never from the memory of the process that wrote.
 """
 
 from __future__ import annotations
@@ -23,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.session import shared_dir
+from quarry.session import list_names, shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+COMPACT_EVERY = 20
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -36,79 +41,109 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
+def _written(spark: SparkSession, out: str, kind: str) -> list[int]:
+    """Numbers of the complete folders ``<kind>=<n>``, ascending."""
+    found = [int(n[len(kind) + 1:]) for n in list_names(spark, out) if n.startswith(f"{kind}=")]
+    return sorted(n for n in found if "_SUCCESS" in list_names(spark, f"{out}/{kind}={n}"))
+
+
+def _newest(spark: SparkSession, out: str, keys: list[str], upto: int | None = None) -> DataFrame:
+    """Per key, the row of the newest batch (up to ``upto``): the last
+    snapshot and the batches after it."""
+    def known(kind: str) -> list[int]:
+        return [n for n in _written(spark, out, kind) if upto is None or n <= upto]
+
+    base = max(known("snapshot_id"), default=-1)
+    parts = [(n, f"{out}/batch_id={n}") for n in known("batch_id") if n > base]
+    if base >= 0:
+        parts.insert(0, (base, f"{out}/snapshot_id={base}"))
+    if not parts:
+        raise RuntimeError("the stream produced no batch")
+    rows = spark.read.parquet(*[path for _, path in parts])
+    cols = rows.columns
+    # the number of a row's batch is the one in its folder's name
+    number = F.regexp_extract(F.input_file_name(), r"/(?:batch|snapshot)_id=(\d+)/", 1).cast("long")
+    rows = rows.withColumn("_batch", number)
+    latest = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*[c for c in cols if c not in keys]), "_batch").alias("_r"))
+    return latest.select(*keys, "_r.*")
+
+
 class StreamResult:
     """Where a run wrote its output, and how to read it back."""
 
-    def __init__(self, spark: SparkSession, out: str, mode: str, keys: list[str] | None,
-                 query: StreamingQuery, last_batch: list[int]):
-        self.spark, self.out, self.mode, self.keys = spark, out, mode, keys
-        self.query, self._last = query, last_batch
+    def __init__(self, spark: SparkSession, location: str, mode: str, keys: list[str] | None = None,
+                 query: StreamingQuery | None = None):
+        self.spark, self.location, self.mode, self.keys, self.query = spark, location, mode, keys, query
+        self.out = f"{location}/out"
 
     def table(self) -> DataFrame:
-        reader = self.spark.read
         if self.mode == "append":
-            return reader.parquet(self.out)
-        if not self._last:
+            return self.spark.read.parquet(self.out)
+        if self.mode == "update":
+            return _newest(self.spark, self.out, self.keys)
+        batches = _written(self.spark, self.out, "batch_id")
+        if not batches:
             raise RuntimeError("the stream produced no batch")
-        if self.mode == "complete":
-            return reader.parquet(os.path.join(self.out, f"batch_id={self._last[-1]}"))
-        # update: newest row per key across all batches
-        allb = reader.option("basePath", self.out).parquet(self.out)
-        cols = [c for c in allb.columns if c != "batch_id"]
-        latest = allb.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*[c for c in cols if c not in self.keys]), "batch_id").alias("_r"))
-        return latest.select(*self.keys, "_r.*")
+        return self.spark.read.parquet(f"{self.out}/batch_id={batches[-1]}")
 
 
-def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
-        trigger: str = "available_now", processing_time: str | None = None,
-        timeout_s: float | None = 600, state_partitions: int | None = None) -> StreamResult:
-    """Start ``df`` (a streaming DataFrame), wait (available-now), return the result.
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an available-now query.  With a limit, a query that runs
+    longer is stopped and ``TimeoutError`` raised: there is no partial result."""
+    ended = query.awaitTermination(timeout_s) if timeout_s is not None else (query.awaitTermination() or True)
+    if not ended:
+        query.stop()
+        raise TimeoutError(f"stream {query.name} did not finish in {timeout_s} s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
 
-    The number of state partitions is fixed by a query's first checkpoint;
-    a new query gets ``state_partitions`` (default: the cluster's default
-    parallelism, so state scales with the executors, not a fixed 200).
+def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
+        location: str | None = None, processing_time: str | None = None,
+        timeout_s: float | None = None, state_partitions: int | None = None) -> StreamResult:
+    """Start ``df`` (a streaming DataFrame) below ``location``.
+
+    By default everything present is processed and the call waits for it
+    (available-now); ``processing_time="3 seconds"`` starts a service and
+    returns at once.  The number of state partitions is fixed by a query's
+    first checkpoint; a new query gets ``state_partitions`` (default: the
+    cluster's default parallelism, so state scales with the executors).
     """
     spark = df.sparkSession
-    base = shared_dir(spark, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
-    last: list[int] = []
-    writer = df.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:6]}").option("checkpointLocation", ckpt)
+    if mode not in ("append", "complete", "update"):
+        raise ValueError(f"unknown output mode {mode!r}")
+    if mode == "update" and not keys:
+        raise ValueError("update mode needs the result's key columns")
+    if location is None:
+        location = shared_dir(spark, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    result = StreamResult(spark, location, mode, keys)
+    writer = (df.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:6]}").outputMode(mode)
+              .option("checkpointLocation", f"{location}/checkpoint"))
     if mode == "append":
-        writer = writer.outputMode("append").format("parquet").option("path", out)
-    elif mode in ("complete", "update"):
-        if mode == "update" and not keys:
-            raise ValueError("update mode needs the result's key columns")
-
+        writer = writer.format("parquet").option("path", result.out)
+    else:
         def sink(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
-            last.append(batch_id)
+            batch.write.mode("overwrite").parquet(f"{result.out}/batch_id={batch_id}")
+            if mode == "update" and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+                _newest(batch.sparkSession, result.out, keys, batch_id).write.mode("overwrite").parquet(
+                    f"{result.out}/snapshot_id={batch_id}")
 
-        writer = writer.outputMode(mode).foreachBatch(sink)
-    else:
-        raise ValueError(f"unknown output mode {mode!r}")
-    if processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    else:
-        writer = writer.trigger(availableNow=True)
+        writer = writer.foreachBatch(sink)
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
     try:
-        q = writer.start()          # the query clones the session conf here
+        result.query = writer.start()          # the query clones the session conf here
     finally:
         spark.conf.set(key, previous)
     if not processing_time:
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-    return StreamResult(spark, out, mode, keys, q, last)
+        finish(result.query, timeout_s)
+    return result
 
 
-def file_stream(spark: SparkSession, directory: str, table_file: str, fmt: str = "parquet",
+def file_stream(spark: SparkSession, directory: str, table_file: str | None, fmt: str = "parquet",
                 schema=None, max_files_per_trigger: int | None = None, **options) -> DataFrame:
     """Stream the files of one table in ``directory`` (file source, replayable)."""
     if schema is None:

@@ -76,6 +76,99 @@ def test_poll_source_restart_exactly_once(spark, scratch):
     assert sorted(r["index"] for r in rows) == list(range(1, 16))
 
 
+def test_half_landed_payload_is_not_passed_over(spark, scratch):
+    land = os.path.join(scratch, "landed")
+    _land(land, 0, 1, dt.datetime(2024, 1, 1))
+    os.makedirs(os.path.join(land, "file_no=1"))                 # the folder is there, the file is not
+    reader = poll.LandedPayloadStreamReader(land)
+    assert reader.latestOffset() == {"file": 0}
+    _land(land, 2, 1, dt.datetime(2024, 1, 1, 0, 2))             # lands out of order
+    assert reader.latestOffset() == {"file": 0}
+    os.rmdir(os.path.join(land, "file_no=1"))
+    _land(land, 1, 1, dt.datetime(2024, 1, 1, 0, 1))
+    assert reader.latestOffset() == {"file": 2}
+    assert [p.file_no for p in reader.partitions({"file": 0}, {"file": 2})] == [1, 2]
+
+
+def test_landing_renames_the_folder(scratch):
+    src, land = os.path.join(scratch, "p.json"), os.path.join(scratch, "landed")
+    with open(src, "w") as fh:
+        fh.write(json.dumps([{"2024-01-01T00:00:05": 7}]))
+    poll.land_payload("file://" + src, land, 0, 1)
+    assert os.listdir(land) == ["file_no=0"] and poll._landed_numbers(land) == [0]
+
+
+@pytest.mark.parametrize("folder,error", [("hdfs://host/landing", ValueError), ("/no/such/folder", FileNotFoundError)])
+def test_a_folder_that_cannot_be_read_raises(folder, error):
+    with pytest.raises(error):
+        poll.LandedPayloadStreamReader(folder).latestOffset()
+
+
+def test_malformed_payloads_fail_or_are_kept_apart(spark):
+    good = json.dumps([{"2024-01-01T00:00:05": 7}])
+    bad = ["not json", None, json.dumps({"a": 1}), json.dumps([{"yesterday": 7}]), json.dumps([{"2024-01-01T00:00:05": None}])]
+    df = spark.createDataFrame([(i, 10 * i, b) for i, b in enumerate([good, *bad])], poll.LANDED_SCHEMA)
+    assert [r["index"] for r in poll.decode_payloads(df, malformed="skip").collect()] == [0]
+    assert sorted(r.payload for r in poll.rejected_payloads(df).collect()) == [1, 2, 3, 4, 5]
+    for payload in range(1, 6):
+        with pytest.raises(Exception, match=f"malformed payload {payload}"):
+            poll.decode_payloads(df.where(f"payload = {payload}")).collect()
+    assert poll.decode_payloads(df.where("payload = 0")).count() == 1
+
+
+def test_a_limit_raises_and_leaves_no_result(spark, scratch):
+    with pytest.raises(TimeoutError):
+        runner.run(_stream(spark, scratch), "limited", "complete", timeout_s=0.01)
+
+
+def _file(spark, folder, name, rows):
+    staged = os.path.join(folder, f".{name}")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(staged)
+    part = [x for x in os.listdir(staged) if x.endswith(".parquet")][0]
+    os.rename(os.path.join(staged, part), os.path.join(folder, f"{name}.parquet"))
+
+
+@pytest.mark.parametrize("mode", ["append", "complete", "update"])
+def test_restart_through_the_runner(spark, scratch, monkeypatch, mode):
+    """Stop, add files, start again at the same location: each row once."""
+    monkeypatch.setattr(runner, "COMPACT_EVERY", 2)
+    src, place = os.path.join(scratch, "src"), os.path.join(scratch, "place")
+    os.makedirs(src)
+    at = dt.datetime(2024, 1, 1)
+
+    def once():
+        df = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+        if mode != "append":
+            df = sev.windowed_stats(df, "ts", "value", "1 minute", None)
+        return runner.run(df, f"again_{mode}", mode, keys=["window"] if mode == "update" else None, location=place)
+
+    for turn in range(3):
+        for i in range(3):
+            stamp = 3 * turn + i
+            _file(spark, src, f"f{stamp}", [(at + dt.timedelta(seconds=20 * stamp), float(stamp))])
+        once()
+    # read back by a process that has written nothing
+    table = runner.StreamResult(spark, place, mode, ["window"]).table()
+    if mode == "append":
+        assert sorted(r.value for r in table.collect()) == [float(i) for i in range(9)]
+    else:
+        assert sorted(r.sum_value for r in table.collect()) == [3.0, 12.0, 21.0]
+    if mode == "update":
+        assert any(n.startswith("snapshot_id=") for n in os.listdir(os.path.join(place, "out")))
+
+
+def test_pane_state_holds_each_line_once(spark, scratch):
+    from quarry.operators import timewindows
+    src = os.path.join(scratch, "src")
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, i), f"l{i}") for i in range(9)]
+    spark.createDataFrame(rows, "arrival timestamp, line string").coalesce(1).write.parquet(src)
+    lines = spark.readStream.schema("arrival timestamp, line string").parquet(src)
+    res = runner.run(timewindows.panes(lines, "arrival", "line", "3 seconds"), "panes", "update", keys=["pane"])
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in res.query.recentProgress if p["numInputRows"]] == [3]
+    got = timewindows.join_panes(res.table(), "15 seconds", "3 seconds").orderBy("window").collect()
+    assert got[4].text == "".join(f"l{i}" for i in range(9)) and got[0].text == "l0l1l2"
+
+
 def test_decode_keeps_every_map_entry(spark):
     body = json.dumps([{"2024-01-01T00:00:05": 7, "2024-01-01T00:00:06": 8}, {"2024-01-01T00:00:04": 0}])
     df = spark.createDataFrame([(0, 1, body)], poll.LANDED_SCHEMA)
