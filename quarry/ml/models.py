@@ -30,8 +30,10 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[Data
 
 
 def hash_bucket(key: str | list[str], seed: int = 42, buckets: int = 100) -> Column:
+    """A bucket from the MD5 of seed and key texts, which any engine can repeat."""
     keys = [key] if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets
 
 
 def hash_split(df: DataFrame, key: str | list[str], train_pct: int = 80,
@@ -42,16 +44,27 @@ def hash_split(df: DataFrame, key: str | list[str], train_pct: int = 80,
     return df.where(bucket < train_pct), df.where(bucket >= train_pct)
 
 
-def time_split(df: DataFrame, ts: str, train_fraction: float = 0.8,
-               accuracy: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Train on the earliest ``train_fraction`` (approximate quantile cut,
-    bounded memory), test on the rest -- no look-ahead leakage."""
-    cut = df.agg(F.percentile_approx(F.col(ts), train_fraction, accuracy)).first()[0]
-    return df.where(F.col(ts) <= F.lit(cut)), df.where(F.col(ts) > F.lit(cut))
+def time_cut(df: DataFrame, ts: str, tenths: int = 8) -> Column:
+    """The value of ``ts`` after which ``tenths`` tenths of its span have passed
+    (an aggregate; exact, so every branch and engine cuts alike)."""
+    is_time = dict(df.dtypes)[ts].startswith("timestamp")
+    number = F.unix_micros(F.col(ts).cast("timestamp")) if is_time else F.col(ts).cast("bigint")
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    cut = (low or 0) + ((high or 0) - (low or 0)) * tenths // 10
+    return F.timestamp_micros(F.lit(cut)) if is_time else F.lit(cut)
+
+
+def time_split(df: DataFrame, ts: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Train on the first ``tenths`` tenths of the time span, test on the rest
+    -- no look-ahead leakage."""
+    cut = time_cut(df, ts, tenths)
+    return df.where(F.col(ts) <= cut), df.where(F.col(ts) > cut)
 
 
 # ---------------------------------------------------------------- features
-def assembler(inputs: list[str], out: str = "Features", handle_invalid: str = "skip") -> VectorAssembler:
+def assembler(inputs: list[str], out: str = "Features", handle_invalid: str = "error") -> VectorAssembler:
+    """Rows with a null or NaN input raise; ``"skip"`` drops them, ``"keep"`` keeps
+    them as NaN, on request (M2)."""
     return VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid=handle_invalid)
 
 
@@ -65,9 +78,15 @@ def vector_columns(df: DataFrame, vec: str, names: list[str]) -> list[Column]:
     return [arr[i].alias(n) for i, n in enumerate(names)]
 
 
+# Iterations, regularisation and mixing of the elastic net, and
+# iterations of the gamma regression.
+ELASTIC_NET_ITER, ELASTIC_NET_REG, ELASTIC_NET_MIX = 10, 0.3, 0.8
+GAMMA_ITER = 20
+
+
 # ------------------------------------------------------------------ models
-def linear_regression(features: str = "Features", label: str = "Close", max_iter: int = 10,
-                      reg: float = 0.3, elastic_net: float = 0.8, solver: str = "auto") -> LinearRegression:
+def linear_regression(features: str = "Features", label: str = "Close", max_iter: int = ELASTIC_NET_ITER,
+                      reg: float = ELASTIC_NET_REG, elastic_net: float = ELASTIC_NET_MIX, solver: str = "auto") -> LinearRegression:
     return LinearRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
                             regParam=reg, elasticNetParam=elastic_net, solver=solver)
 
@@ -77,7 +96,7 @@ def ols(features: str = "Features", label: str = "Close") -> LinearRegression:
     return LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, solver="normal")
 
 
-def gamma_glm(features: str = "Features", label: str = "Close", max_iter: int = 20) -> GeneralizedLinearRegression:
+def gamma_glm(features: str = "Features", label: str = "Close", max_iter: int = GAMMA_ITER) -> GeneralizedLinearRegression:
     """Gamma family, default (inverse) link (M8)."""
     return GeneralizedLinearRegression(featuresCol=features, labelCol=label, family="gamma", maxIter=max_iter)
 
@@ -130,7 +149,7 @@ def sequences_to_vectors(df: DataFrame, history: str = "history", out: str = "Fe
 
 
 __all__ = [
-    "Pipeline", "PipelineModel", "random_split", "hash_bucket", "hash_split", "time_split", "assembler", "scaler",
+    "Pipeline", "PipelineModel", "random_split", "hash_bucket", "hash_split", "time_cut", "time_split", "assembler", "scaler",
     "vector_columns", "linear_regression", "ols", "gamma_glm", "random_forest", "staged_regression",
     "coefficients", "regression_metrics", "evaluator_r2", "glm_summary", "sequences_to_vectors",
 ]

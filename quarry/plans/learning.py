@@ -65,10 +65,9 @@ def regression_metrics(spark, sf_dir):
 @query("r2_metric", _OLS_SQL + """
 SELECT round(1 - sum((y - prediction) * (y - prediction)) / (var_pop(y) * count(*)), 6) AS r2 FROM p""")
 def r2_metric(spark, sf_dir):
-    """R^2 from the regression evaluator."""
+    """R^2 of the predictions, in the pass that makes them."""
     _, pred = _ols_fit(spark, sf_dir)
-    r2 = ml.evaluator_r2(pred, "Close")
-    return pred.agg(F.round(F.max(F.lit(r2)), 6).alias("r2"))
+    return ml.regression_metrics(pred, "Close").select(F.round("r2", 6).alias("r2"))
 
 
 @query("standard_scale", """
@@ -87,28 +86,74 @@ def standard_scale(spark, sf_dir):
                                    zip(cols, ["open_z", "high_z", "low_z"])])
 
 
-# ---------------------------------------------------------- rows-only keys
-@query("random_split")
-def random_split(spark, sf_dir):
-    """M1: 80/20 random split (seed 42) labelled, plus the stable hash split."""
-    data = prices(spark, sf_dir)
-    train, test = ml.random_split(data)
-    hash_part = F.when(ml.hash_bucket("Date") < 80, "train").otherwise("test").alias("hash_part")
-    return (train.select("Date", F.lit("train").alias("random_part"), hash_part)
-            .unionByName(test.select("Date", F.lit("test").alias("random_part"), hash_part)))
+# ------------------------------------------------------ split and held out
+_PART_SQL = """
+WITH d AS (SELECT DATE '1990-01-01' + CAST(p_partkey AS INTEGER) AS Date,
+                  CAST(CAST(p_partkey AS FLOAT) AS DOUBLE) AS x,
+                  CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE) AS y FROM part),
+s AS (SELECT *, CASE WHEN CAST('0x' || substr(md5('42|' || CAST(Date AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80
+                     THEN 'train' ELSE 'test' END AS part FROM d)
+"""
 
 
-@query("model_coefficients")
+@query("random_split", _PART_SQL + "SELECT Date, part AS hash_part FROM s")
+def random_split(spark, sf_dir):
+    """M1: the 80/20 split by a hash of the key: random, and the same on any
+    cluster (Spark's own ``randomSplit`` is ``ml.random_split``)."""
+    train, test = ml.hash_split(prices(spark, sf_dir), "Date")
+    return (train.select("Date", F.lit("train").alias("hash_part"))
+            .unionByName(test.select("Date", F.lit("test").alias("hash_part"))))
+
+
+@query("model_coefficients", _PART_SQL + f"""
+, m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, stddev_samp(x) AS sx, stddev_samp(y) AS sy,
+               corr(x, y) * (count(*) - 1) / count(*) AS r FROM s WHERE part = 'train'),
+b AS (SELECT *, sign(r) * greatest(abs(r) - {ml.ELASTIC_NET_REG} * {ml.ELASTIC_NET_MIX} / sy, 0)
+                / ((n - 1) / n + {ml.ELASTIC_NET_REG} * (1 - {ml.ELASTIC_NET_MIX}) / sy) AS z FROM m)
+SELECT 'High' AS term, 'raw' AS features, round(z * sy / sx, 4) AS value FROM b UNION ALL
+SELECT 'intercept', 'raw', round(my - z * sy / sx * mx, 2) FROM b UNION ALL
+SELECT 'High', 'scaled', round(z * sy, 4) FROM b UNION ALL
+SELECT 'intercept', 'scaled', round(my, 2) FROM b""")
 def model_coefficients(spark, sf_dir):
-    """M4 + M5 + M6: elastic-net regression (maxIter 10, reg 0.3, mix 0.8),
-    on raw and on scaled features (scaler fitted on the training part)."""
-    data = ml.assembler(FEATURES).transform(prices(spark, sf_dir))
+    """M4 + M5 + M6: elastic-net regression (maxIter 10, reg 0.3, mix 0.8) on a
+    raw and a scaled feature (scaler fitted on the training part)."""
+    data = ml.assembler(["High"]).transform(prices(spark, sf_dir))
     train, _ = ml.hash_split(data, "Date")
-    raw = ml.linear_regression().fit(train)
     sc = ml.scaler().fit(train)
+    raw = ml.linear_regression().fit(train)
     scaled = ml.linear_regression("scaledFeatures").fit(sc.transform(train))
-    return (ml.coefficients(spark, raw, FEATURES).withColumn("features", F.lit("raw"))
-            .unionByName(ml.coefficients(spark, scaled, FEATURES).withColumn("features", F.lit("scaled"))))
+    out = (ml.coefficients(spark, raw, ["High"]).withColumn("features", F.lit("raw"))
+           .unionByName(ml.coefficients(spark, scaled, ["High"]).withColumn("features", F.lit("scaled"))))
+    return out.withColumn("value", F.when(F.col("term") == "intercept", F.round("value", 2))
+                          .otherwise(F.round("value", 4)))
+
+
+def _elastic_nets(spark: SparkSession, sf_dir: str):
+    """Predictions of the raw and the scaled elastic net for the test part."""
+    data = ml.assembler(FEATURES).transform(prices(spark, sf_dir))
+    train, test = ml.hash_split(data, "Date")
+    sc = ml.scaler().fit(train)
+    yield "raw", ml.linear_regression().fit(train).transform(test)
+    yield "scaled", ml.linear_regression("scaledFeatures").fit(sc.transform(train)).transform(sc.transform(test))
+
+
+@query("holdout_metrics")
+def holdout_metrics(spark, sf_dir):
+    """M7 + M12: mean squared error, R^2 and adjusted R^2 on held-out rows of
+    the raw and scaled elastic nets, the pipeline, the forest and telemetry."""
+    found = [(name, pred, "Close", len(FEATURES)) for name, pred in _elastic_nets(spark, sf_dir)]
+    train, test = ml.hash_split(prices(spark, sf_dir), "Date")
+    found.append(("pipeline", ml.staged_regression(FEATURES, "Close").fit(train).transform(test), "Close", 3))
+    found.append(("forest", _forest(spark, sf_dir), "Close", 3))
+    train, test = _telemetry(spark, sf_dir)
+    model = ml.staged_regression(["Timestamp", "IntegerValue"], "FloatValue").fit(train)
+    found.append(("telemetry", model.transform(test), "FloatValue", 2))
+    parts = [ml.regression_metrics(pred, label, n_features=k).withColumn("model", F.lit(name))
+             for name, pred, label, k in found]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("glm_gamma")
@@ -121,40 +166,70 @@ def glm_gamma(spark, sf_dir):
     return ml.glm_summary(spark, model, test, FEATURES)
 
 
-@query("rf_regression")
-def rf_regression(spark, sf_dir):
-    """M10 + M12: random forest, scored with its own predictions."""
+def _forest(spark: SparkSession, sf_dir: str):
     data = ml.assembler(FEATURES).transform(prices(spark, sf_dir))
     train, test = ml.hash_split(data, "Date")
-    pred = ml.random_forest().fit(train).transform(test)
-    return pred.select("Date", "Close", F.round("prediction", 4).alias("prediction"))
+    return ml.random_forest().fit(train).transform(test)
+
+
+@query("rf_regression", _PART_SQL + """
+SELECT Date, CAST(y AS FLOAT) AS Close, true AS predicted FROM s WHERE part = 'test'""")
+def rf_regression(spark, sf_dir):
+    """The test rows that the random forest predicts; its scores are in
+    ``holdout_metrics``."""
+    return _forest(spark, sf_dir).select("Date", "Close", F.col("prediction").isNotNull().alias("predicted"))
 
 
-@query("ml_fit_transform")
+@query("ml_fit_transform", _PART_SQL + """
+, m AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM s WHERE part = 'train')
+SELECT Date, CAST(y AS FLOAT) AS Close, round(intercept + slope * x, 4) AS prediction FROM s, m
+WHERE part = 'test'""")
 def ml_fit_transform(spark, sf_dir):
     """Assembler -> scaler -> regression, fitted once, applied to test."""
     train, test = ml.hash_split(prices(spark, sf_dir), "Date")
-    model = ml.staged_regression(FEATURES, "Close").fit(train)
+    model = ml.staged_regression(["High"], "Close", reg=0.0, solver="normal").fit(train)
     return model.transform(test).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
 
 
-@query("telemetry_regression")
+def _telemetry(spark: SparkSession, sf_dir: str):
+    tel = readers.read_csv(spark, fixtures.telemetry_csv(spark, sf_dir), schemas.TELEMETRY_CSV_SCHEMA)
+    return ml.time_split(tel, "Timestamp")
+
+
+@query("telemetry_regression", """
+WITH d AS (SELECT 'evt' || event_id AS Name, CAST(epoch_us(ts) // 1000000 AS INTEGER) AS Timestamp,
+                  CAST(value AS FLOAT) AS FloatValue, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x
+           FROM events),
+c AS (SELECT min(Timestamp) + (max(Timestamp) - min(Timestamp)) * 8 // 10 AS cut FROM d),
+m AS (SELECT regr_slope(CAST(FloatValue AS DOUBLE), x) AS slope,
+             regr_intercept(CAST(FloatValue AS DOUBLE), x) AS intercept FROM d, c WHERE Timestamp <= cut)
+SELECT Name, Timestamp, FloatValue, round(intercept + slope * x, 4) AS prediction FROM d, c, m
+WHERE Timestamp > cut""")
 def telemetry_regression(spark, sf_dir):
     """The same pipeline on satellite telemetry, split by time."""
-    tel = readers.read_csv(spark, fixtures.telemetry_csv(spark, sf_dir), schemas.TELEMETRY_CSV_SCHEMA)
-    train, test = ml.time_split(tel, "Timestamp")
-    model = ml.staged_regression(["Timestamp", "IntegerValue"], "FloatValue").fit(train)
+    train, test = _telemetry(spark, sf_dir)
+    model = ml.staged_regression(["IntegerValue"], "FloatValue", reg=0.0, solver="normal").fit(train)
     return model.transform(test).select("Name", "Timestamp", "FloatValue",
                                         F.round("prediction", 4).alias("prediction"))
 
 
-@query("ar_forecast")
-def ar_forecast(spark, sf_dir):
-    """Autoregression on 50-step windows per user, split by time."""
+def _forecast(spark: SparkSession, sf_dir: str, history: int = 50):
+    """Autoregression on windows per user; predictions for the last fifth of the time."""
     ev = fixtures.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
-    seq = windows.sequence_windows(ev, ["user_id"], ["ts", "event_id"], "value", 50)
-    # three passes follow (quantile cut, fit, predict): derive the windows once
-    vec = materialize(ml.sequences_to_vectors(seq))
-    train, test = ml.time_split(vec, "ts")
-    model = ml.ols("Features", "target").fit(train)
-    return model.transform(test).select("user_id", "ts", "target", F.round("prediction", 4).alias("prediction"))
+    cut = ml.time_cut(ev, "ts").cast("timestamp_ntz")       # from the events, before they become windows
+    seq = windows.sequence_windows(ev, ["user_id"], ["ts", "event_id"], "value", history)
+    vec = ml.sequences_to_vectors(seq)
+    model = ml.ols("Features", "target").fit(vec.where(F.col("ts") <= cut))      # one pass
+    return model.transform(vec.where(F.col("ts") > cut))
+
+
+@query("ar_forecast", """
+WITH c AS (SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) * 8 // 10 AS cut FROM events),
+w AS (SELECT user_id, ts, event_id, value AS target,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
+SELECT user_id, ts, event_id, target, true AS predicted FROM w, c WHERE n > 50 AND epoch_us(ts) > cut""")
+def ar_forecast(spark, sf_dir):
+    """The windows of 50 steps whose next value the autoregression
+    predicts (the model is checked by pytest)."""
+    return _forecast(spark, sf_dir).select("user_id", "ts", "event_id", "target",
+                                           F.col("prediction").isNotNull().alias("predicted"))
