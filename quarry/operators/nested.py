@@ -54,11 +54,6 @@ def project(df: DataFrame, mapping: dict[str, str | Column]) -> DataFrame:
     return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in mapping.items()])
 
 
-def with_all(df: DataFrame, **computed: Column) -> DataFrame:
-    """All columns plus computed ones in a single select."""
-    return df.select("*", *[c.alias(n) for n, c in computed.items()])
-
-
 def offset_range(df: DataFrame, index_col: str, start_exclusive: int, end_inclusive: int) -> DataFrame:
     """Rows with ``start < index <= end`` -- the half-open offset range (F2)."""
     c = F.col(index_col)

@@ -12,30 +12,22 @@ import typing
 
 from pyspark.sql import types as T
 
-# --- fixed values: nested event document (multi-line JSON) -----------------
-# title, description, link,
-# events[ id, title, description, link, closed,
-#         categories[ id, title ], sources[ id, url ],
-#         geometry[ coordinates[string], date, magnitudeUnit, magnitudeValue, type ] ]
+# --- fixed values: nested event document, in three forms --------------------
+# description, events[ categories[ id, title ], closed, description,
+#   geometry[ coordinates[string], date, magnitudeUnit, magnitudeValue, type ],
+#   id, link, sources[ id, url ], title ], link, title
+# The class form has no Event.description, a FLOAT magnitude and numeric
+# coordinates (polygon coordinates then read as NULL).
 
 EVENT_DOC_SCHEMA = T.StructType([
-    T.StructField("title", T.StringType()),
     T.StructField("description", T.StringType()),
-    T.StructField("link", T.StringType()),
     T.StructField("events", T.ArrayType(T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("link", T.StringType()),
-        T.StructField("closed", T.StringType()),
         T.StructField("categories", T.ArrayType(T.StructType([
             T.StructField("id", T.StringType()),
             T.StructField("title", T.StringType()),
         ]))),
-        T.StructField("sources", T.ArrayType(T.StructType([
-            T.StructField("id", T.StringType()),
-            T.StructField("url", T.StringType()),
-        ]))),
+        T.StructField("closed", T.StringType()),
+        T.StructField("description", T.StringType()),
         T.StructField("geometry", T.ArrayType(T.StructType([
             T.StructField("coordinates", T.ArrayType(T.StringType())),
             T.StructField("date", T.DateType()),
@@ -43,23 +35,28 @@ EVENT_DOC_SCHEMA = T.StructType([
             T.StructField("magnitudeValue", T.DoubleType()),
             T.StructField("type", T.StringType()),
         ]))),
+        T.StructField("id", T.StringType()),
+        T.StructField("link", T.StringType()),
+        T.StructField("sources", T.ArrayType(T.StructType([
+            T.StructField("id", T.StringType()),
+            T.StructField("url", T.StringType()),
+        ]))),
+        T.StructField("title", T.StringType()),
     ]))),
+    T.StructField("link", T.StringType()),
+    T.StructField("title", T.StringType()),
 ])
 
 EVENT_DOC_DDL = (
-    "title STRING, description STRING, link STRING, "
-    "events ARRAY<STRUCT<id: STRING, title: STRING, description: STRING, link: STRING, "
-    "closed: STRING, categories: ARRAY<STRUCT<id: STRING, title: STRING>>, "
-    "sources: ARRAY<STRUCT<id: STRING, url: STRING>>, "
-    "geometry: ARRAY<STRUCT<coordinates: ARRAY<STRING>, date: DATE, magnitudeUnit: STRING, "
-    "magnitudeValue: DOUBLE, type: STRING>>>>"
+    "description STRING, "
+    "events ARRAY<STRUCT<categories: ARRAY<STRUCT<id: STRING, title: STRING>>, closed: STRING, "
+    "description: STRING, geometry: ARRAY<STRUCT<coordinates: ARRAY<STRING>, date: DATE, "
+    "magnitudeUnit: STRING, magnitudeValue: DOUBLE, type: STRING>>, id: STRING, link: STRING, "
+    "sources: ARRAY<STRUCT<id: STRING, url: STRING>>, title: STRING>>, "
+    "link STRING, title STRING"
 )
 
 
-# --- class form of the same document ---------------------------------------
-# The class variant has no Event.description, a FLOAT magnitude and numeric
-# coordinates (polygon coordinates then read as NULL).
-
 @dataclasses.dataclass
 class Category:
     id: str
@@ -99,6 +96,8 @@ class EventsAgg:
     link: str
     events: list[Event]
 
+# --- end of fixed values -----------------------------------------------------
+
 
 _PY_TYPES = {
     str: T.StringType(),
@@ -195,12 +194,7 @@ TELEMETRY_CSV_SCHEMA = T.StructType([
 ])
 
 # --- fixed values: polled datapoint rows ------------------------------------
-DATAPOINT_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.TimestampType(), False),
-    T.StructField("value", T.LongType(), False),
-    T.StructField("index", T.LongType(), False),
-])
-DATAPOINT_DDL = "timestamp TIMESTAMP, value BIGINT, index BIGINT"
+
 # Wire form of one payload: [{"<yyyy-MM-dd'T'HH:mm:ss>": <integer>}, ...]
 PAYLOAD_WIRE_TYPE = "array<map<string,bigint>>"
 PAYLOAD_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"

@@ -161,7 +161,7 @@ def test_ordered_concat_is_order_independent(spark):
 
 def test_prune_keeps_only_paths():
     s = schemas.prune(schemas.EVENT_DOC_SCHEMA, ["events.id", "events.geometry.date"])
-    assert s.simpleString() == "struct<events:array<struct<id:string,geometry:array<struct<date:date>>>>>"
+    assert s.simpleString() == "struct<events:array<struct<geometry:array<struct<date:date>>,id:string>>>"
     with pytest.raises(ValueError):
         schemas.prune(schemas.EVENT_DOC_SCHEMA, ["events.nope"])
 
@@ -187,3 +187,66 @@ def test_pane_concat_equals_direct(spark):
     a = sorted((r.window.start, r.text, r.n_lines) for r in panes.collect())
     b = sorted((r.window.start, r.text, r.n_lines) for r in direct.collect())
     assert a == b and len(a) > 5
+
+
+def test_concat_orders_by_time_first(spark):
+    """One order in every form: time, then the order columns."""
+    import datetime as dt
+    from quarry.operators import timewindows
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(seconds=s), 100 - s, f"l{s},") for s in range(0, 12, 2)] + [(base, 1, "first,")]
+    df = spark.createDataFrame(rows, "arrival timestamp, n int, line string")
+    joined = timewindows.window_concat(df, "arrival", "line", "12 seconds", "3 seconds", order_cols=["n"])
+    # a slide that does not divide the duration takes the one-step form
+    direct = timewindows.window_concat(df, "arrival", "line", "12 seconds", "5 seconds", order_cols=["n"])
+    want = "first,l0,l2,l4,l6,l8,l10,"
+    assert want in [r.text for r in joined.collect()] and want in [r.text for r in direct.collect()]
+
+
+def test_inputs_of_the_same_name_stay_apart(spark, scratch):
+    import os
+    from quarry.sources import fixtures
+    rows = {}
+    for name, n in (("a", 3), ("b", 5)):
+        folder = os.path.join(scratch, name, "sf")
+        spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(n).coalesce(1).write.parquet(
+            os.path.join(folder, "part.parquet"))
+        rows[name] = folder
+    count = lambda f: spark.read.option("header", True).csv(fixtures.prices_csv(spark, f)).count()
+    assert [count(rows["a"]), count(rows["b"]), count(rows["a"])] == [3, 5, 3]
+
+
+def test_no_checkpoint_folder_on_a_cluster(monkeypatch):
+    from quarry import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session._checkpoint_root(Session())
+
+
+def test_written_tables_are_removed(spark):
+    import os
+    from quarry import session
+    table = session.write_table(spark.range(3), "small")
+    assert table.count() == 3
+    path, _ = session._TABLES[-1]
+    session.remove_tables()
+    assert not os.path.exists(path)
+
+
+def test_scalar_function_and_udf_agree(spark):
+    from quarry.functions import udfs
+    udfs.register_all(spark)
+    rows = spark.sql("SELECT log_magnitude(v) a, log_magnitude_udf(v) b FROM VALUES (0D), (9D), (0.5D), (NULL) t(v)").collect()
+    assert rows[3].a is None and all(r.a == pytest.approx(r.b) for r in rows[:3])
