@@ -45,7 +45,7 @@ from quarry.llm.groups import complete_groups
 from quarry.llm.suffixes import suffix_array
 
 #: Bytes of the grams that anchors are chosen from.
-GRAM = 64
+GRAM = 128
 #: Different pieces with the same gram, beyond which windows are counted instead.
 CROWD = 5000
 #: Bytes of pieces that are sorted together.
@@ -54,7 +54,7 @@ SHARD = 4 << 20
 CHUNK = 4 << 20
 LONGEST = 1 << 23
 #: Documents whose ids are broadcast at most.
-FEW = 2_000_000
+FEW = 200_000
 #: Stands for a null id inside the joins.
 NO_ID = -(1 << 63)
 
@@ -324,16 +324,17 @@ def _cut(body: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[dict[s
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400,
-                   gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+                   gram: int = GRAM, crowd: int = CROWD, as_text: bool = False) -> DataFrame:
     """``docs`` as a struct ``row``, the bytes that are left of each text
-    (``kept``) and the removed byte ranges (``spans``)."""
+    (``kept``; as text, without the rest of characters that a cut went through)
+    and the removed byte ranges (``spans``)."""
     rows = _keyed(docs, doc_id, text)
     ranges = repeated_ranges(rows.select("doc", "th", "body"), length, gram, crowd)
     touched = _few(ranges)
     at = ranges.groupBy("doc", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("at"))
     span = "array<struct<start:int,end:int>>"
     clean = rows.join(touched, _same(), "left_anti").select(
-        "row", F.col("body").alias("kept"), F.array().cast(span).alias("spans"))
+        "row", F.col("body").cast("string" if as_text else "binary").alias("kept"), F.array().cast(span).alias("spans"))
     dirty = rows.join(touched, _same(), "left_semi").join(at, ["doc", "th"]).select("row", "body", "at")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -341,13 +342,21 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for batch in batches:
             done = [_cut(body, [(x["lo"], x["hi"]) for x in at]) for body, at in zip(
                 batch.column("body").to_pylist(), batch.column("at").to_pylist())]
+            kept = [k.decode("utf-8", "ignore") if as_text else k for k, _ in done]
             yield pa.record_batch({"row": batch.column("row"),
-                                   "kept": pa.array([k for k, _ in done], pa.binary()),
+                                   "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
                                    "spans": pa.array([s for _, s in done], kind)})
 
     return dirty.mapInArrow(run, clean.schema).unionByName(clean)
 
 
+def cut_documents(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with what is left of each text, and n_chars to match."""
+    out = remove_repeats(docs, as_text=True, **how)
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])

@@ -139,13 +139,16 @@ class _Scan:
         letter = text[before[chosen]]
         order = np.argsort(letter, kind="stable")
         chosen, letter = chosen[order], letter[order]
-        whole = lcp.min() if len(lcp) else 0
+        whole = lcp.min() if self.cap and len(lcp) else 0
         if not len(chosen):
             np.minimum(self.least, whole, out=self.least)
             return
         cuts = np.flatnonzero(letter[1:] != letter[:-1]) + 1
         heads = np.concatenate(([0], cuts))
         tails = np.concatenate((cuts, [len(letter)])) - 1
+        if not self.cap:                                 # only the order is wanted
+            self._join(before[chosen], np.zeros(len(chosen), np.uint16), letter[heads], heads, tails)
+            return
         low = np.empty(len(chosen), np.int64)
         low[1:] = chosen[:-1] + 1
         low[heads] = 0
@@ -162,20 +165,23 @@ class _Scan:
             new[inside] = minima(rest[inside], np.full(int(inside.sum()), len(lcp) - 1))
         np.minimum(self.least, whole, out=self.least)
         self.least[names] = new
-        before = before[chosen]
+        self._join(before[chosen], value, names, heads, tails)
+
+    def _join(self, pos: np.ndarray, lcp: np.ndarray, names: np.ndarray, heads: np.ndarray,
+              tails: np.ndarray) -> None:
         for a, b, name in zip(heads.tolist(), (tails + 1).tolist(), names.tolist()):
             queue = self.queues.get(name)
             if queue is None:
                 queue = self.queues[name] = Queue(self.memory)
             if not queue.length:
-                value[a] = 0                             # nothing before it begins alike
-            queue.push(before[a:b], value[a:b])
+                lcp[a] = 0                               # nothing before it begins alike
+            queue.push(pos[a:b], lcp[a:b])
 
 
 def induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, lms_lcp: np.ndarray, cap: int,
            memory: int) -> tuple[np.ndarray, np.ndarray]:
-    """All suffixes in order and the prefix each has in common with the one
-    before it, from the LMS suffixes in order."""
+    """All suffixes in order and the prefix (up to ``cap``) each has in common
+    with the one before it, from the LMS suffixes in order."""
     n, letters = len(text), int(text.max()) + 1
     ends = np.flatnonzero(np.append(text[1:] != text[:-1], True))
     run = np.minimum(np.repeat(ends, np.diff(np.r_[-1, ends])) - np.arange(n) + 1, cap)
@@ -231,36 +237,63 @@ def induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, lms_lcp: np.nda
     return np.concatenate(out_pos[::-1]), np.concatenate(out_lcp[::-1])
 
 
-def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Length of the common prefix of suffixes a and b, up to ``cap``."""
+class Fours:
+    """Four neighbouring characters (below 65,536) of a text as one number."""
+
+    def __init__(self, text: np.ndarray):
+        self.n = len(text)
+        wide = np.zeros(self.n + 4, np.uint64)
+        wide[:self.n] = text
+        self.at = wide.copy()
+        for k in (1, 2, 3):
+            self.at[:-k] |= wide[k:] << np.uint64(16 * k)
+
+
+def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int, fours: Fours | None = None) -> np.ndarray:
+    """Length of the common prefix of suffixes a and b, up to ``cap``: four
+    characters at a time (if ``fours`` are given), then one by one."""
     out = np.zeros(len(a), np.int64)
-    live = np.arange(len(a))
-    k, n = 0, len(text)
-    while len(live) and k < cap:
-        i, j = a[live] + k, b[live] + k
-        ok = (i < n) & (j < n)
-        ok[ok] = text[i[ok]] == text[j[ok]]
-        live = live[ok]
-        k += 1
-        out[live] = k
-    return out
+    n = len(text)
+    for step, table, until in ((4, fours.at if fours else None, cap - 3), (1, text, cap)):
+        if table is None:
+            continue
+        live = np.arange(len(a))
+        while len(live):
+            k = out[live]
+            i, j = a[live] + k, b[live] + k
+            ok = (np.maximum(i, j) + step <= n) & (k < until)
+            live, i, j = live[ok], i[ok], j[ok]
+            live = live[table[i] == table[j]]
+            out[live] += step
+    return np.minimum(out, cap)
 
 
 def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``names`` in the order of their first ``depth`` names."""
-    rank, n, k = names.astype(np.int64), len(names), 1
+    """Suffixes of ``names`` in the order of their first ``depth`` names: ranks
+    by the first name, then by twice as many in each round; only suffixes that
+    still tie are sorted again."""
+    n, k = len(names), 1
+    order = np.argsort(names)
+    at = np.arange(n)                                    # places in the order that are looked at
+    key = names[order]
+    rank = np.empty(n, np.int64)
     while True:
-        following = np.zeros(n, np.int64)
-        following[:n - k] = rank[k:] + 1 if k < n else 0
-        key = rank * (n + 2) + following
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        fresh = np.r_[0, np.cumsum(key[1:] != key[:-1])]
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        k *= 2
-        if fresh[-1] == n - 1 or k >= depth or k >= n:
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.flatnonzero(new)
+        size = np.diff(np.concatenate((first, [len(key)])))
+        rank[order[at]] = np.repeat(at[first], size)     # the place where the tie begins
+        at = at[np.repeat(size > 1, size)]
+        if not len(at) or k >= depth:
             return order
+        tied = order[at]
+        following = np.full(len(tied), -1)
+        inside = tied + k < n
+        following[inside] = rank[tied[inside] + k]
+        key = rank[tied] * (n + 1) + following + 1
+        again = np.argsort(key)
+        order[at] = tied[again]
+        key = key[again]
+        k *= 2
 
 
 def suffix_array(text: np.ndarray, cap: int, memory: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
@@ -276,7 +309,7 @@ def suffix_array(text: np.ndarray, cap: int, memory: int = 1 << 22) -> tuple[np.
     lms = np.flatnonzero(small[1:] & ~small[:-1]).astype(np.int32) + 1
     # substrings in order: induce from the LMS positions by first character only
     by_letter = lms[np.argsort(text[lms], kind="stable")]
-    order, _ = induce(text, small, by_letter, np.zeros(len(lms), np.uint16), cap, memory)
+    order, _ = induce(text, small, by_letter, np.zeros(len(lms), np.uint16), 0, memory)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = order[is_lms[order]]
@@ -285,8 +318,7 @@ def suffix_array(text: np.ndarray, cap: int, memory: int = 1 << 22) -> tuple[np.
     size[lms[-1]] = 1
     a, b = order[:-1], order[1:]
     alike = size[a] == size[b]
-    alike[alike] = common(text, a[alike], b[alike], n) >= size[a[alike]] if n <= cap else _alike(
-        text, a[alike], b[alike], size[a[alike]])
+    alike[alike] = _alike(text, a[alike], b[alike], size[a[alike]])
     name = np.r_[0, np.cumsum(~alike)]
     of = np.zeros(n, np.int64)
     of[order] = name
@@ -298,7 +330,7 @@ def suffix_array(text: np.ndarray, cap: int, memory: int = 1 << 22) -> tuple[np.
             found = _doubled(names, cap // 2 + 2)
         order = lms[found]
     lcp = np.zeros(len(order), np.uint16)
-    lcp[1:] = common(text, order[:-1], order[1:], cap)
+    lcp[1:] = common(text, order[:-1], order[1:], cap, Fours(text) if text.max() < 1 << 16 else None)
     return induce(text, small, order.astype(np.int32), lcp, cap, memory)
 
 
