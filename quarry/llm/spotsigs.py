@@ -9,10 +9,12 @@ words has no signature.  The fingerprint is the sorted set of signatures.
 
 Two sets are alike by their Jaccard coefficient.  It cannot exceed the ratio of
 the smaller to the larger set, so pairs whose lengths rule out the wanted
-threshold are pruned before the sets are touched; ``near_duplicates`` first
-partitions fingerprints by set length, such that a pair that can reach the
-threshold meets in one of two neighbouring partitions, and joins only on the
-few signatures of each set that a partner must share.
+threshold are pruned before the sets are touched (``likeness``).
+``near_duplicates`` finds the alike sets of a whole table: it partitions sets by
+length, such that a pair that can reach the threshold meets in one of two
+neighbouring partitions, and joins only on the few signatures of each set that
+a partner must share.  The registered query compares given pairs: each
+document with its edited text, and with the next document.
 
 Defined results: a null text counts as empty; texts without words have an
 empty fingerprint, and two empty ones are alike by 1 if compared; null ids
@@ -23,6 +25,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,6 +89,40 @@ def likeness(a: Column, b: Column, at_least: float = 0.0) -> Column:
     return value if at_least <= 0 else F.when(small >= at_least * large, value)
 
 
+def near_duplicates(rows: DataFrame, threshold: float = 0.8, sigs: str = "sigs") -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, likeness) between the representatives of different
+    signature sets that are alike by ``threshold`` or more, and the membership
+    (id, representative) of rows (id, sigs).  Empty sets link with nothing.
+
+    Sets are partitioned by their length: alike sets are in the same partition
+    or in neighbouring ones.  Alike sets also share one of the first
+    n - ceil(threshold * n) + 1 signatures of each, taken from the rarest to the
+    most frequent, so only those are joined, per partition."""
+    named = rows.where(F.size(sigs) > 0).select("id", F.col(sigs).alias("s"))
+    sets = named.groupBy("s").agg(F.min("id").alias("rep"))
+    each = sets.select("rep", F.explode("s").alias("sig"))
+    often = each.groupBy("sig").agg(F.count("*").alias("df")).withColumnRenamed("sig", "sig2")
+    ranked = (each.join(often, F.col("sig") == F.col("sig2")).groupBy("rep")
+              .agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("o")))
+    n = F.size("o")
+    prefix = F.slice("o", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
+    part = F.floor(F.log(n) / -math.log(threshold) + 1e-9).cast("int")
+    spread = ranked.select("rep", n.alias("n"), part.alias("k"), F.explode(prefix["sig"]).alias("sig"))
+    spread = store(spread, "prefixes")
+    left = spread.select("sig", F.col("k").alias("key"), F.col("rep").alias("a"), F.col("n").alias("na"),
+                         F.col("k").alias("ka"))
+    right = spread.select("sig", F.explode(F.array("k", F.col("k") - 1)).alias("key"), F.col("rep").alias("b"),
+                          F.col("n").alias("nb"), F.col("k").alias("kb"))
+    pairs = (left.join(right, ["sig", "key"])
+             .where((F.col("ka") < F.col("kb")) | (F.col("a") < F.col("b")))
+             .where(F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9)
+             .select("a", "b").distinct())
+    both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b"))
+    links = both.select("a", "b", likeness(F.col("sa"), F.col("sb"), threshold).alias("likeness"))
+    return links.where(F.col("likeness") >= threshold), named.join(sets, "s").select("id", "rep")
+
+
 def _buckets(docs: DataFrame, n: int) -> list[int]:
     """At most ``n`` - 1 ids that cut the documents into ranges of like size."""
     if n < 2:
@@ -106,29 +144,29 @@ def _bucket(cuts: list[int]) -> Column:
     return F.when(F.col("id").isNull(), 0).otherwise(found)
 
 
-def with_next(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """``rows`` (with a long ``id`` and a ``text``) and, as next_<column>, the
-    columns of the row that follows in the order of ids.
+def with_next(rows: DataFrame, sigs: str = "sigs") -> DataFrame:
+    """``rows`` (id, text) with their signatures, and next_text and next_<sigs>
+    of the row that follows in the order of ids.
 
     Rows are dealt to ranges of ids; inside a range the next row is the next
-    one, and only the first row of each range (one per partition) is looked at
-    across ranges."""
+    one.  Across ranges only the first row of each is looked at, and there are
+    at most as many ranges as the session has shuffle partitions."""
     spark = rows.sparkSession
-    cuts = _buckets(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = rows.withColumn("bucket", _bucket(cuts))
+    bucket = _bucket(_buckets(rows, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    rank = F.struct(F.col("id").isNotNull(), "id", "text")
+    firsts = store(rows.groupBy(bucket.alias("bucket")).agg(F.min(rank).alias("r"))
+                   .select("bucket", "r.text"), "firsts")
+    at = sorted(r.bucket for r in firsts.select("bucket").collect())
+    follows = spark.createDataFrame([(a, b) for a, b in zip(at, at[1:] + at[:1])], "_from int, _to int")
+    heads = with_signatures(follows.join(firsts, F.col("_to") == F.col("bucket")).select("_from", "text"),
+                            "text", sigs)
+    heads = heads.select("_from", F.struct("text", sigs).alias("_first"))
     order = Window.partitionBy("bucket").orderBy(F.col("id").asc_nulls_first(), "text")
-    inside = placed.select("*", F.lead(F.struct(*columns)).over(order).alias("_next"),
-                           F.row_number().over(order).alias("_n"))
-    inside = store(inside, "ordered")
-    firsts = inside.where("_n = 1").select("bucket", F.struct(*columns).alias("_first"))
-    at = sorted(r.bucket for r in firsts.select("bucket").collect())     # one per range
-    follows = spark.createDataFrame([(a, b) for a, b in zip(at, at[1:] + at[:1])],
-                                    "_from int, _to int")
-    # one row for each range: as many rows as the session has shuffle partitions, at most
-    heads = follows.join(firsts, F.col("_to") == F.col("bucket")).select("_from", "_first")
+    placed = with_signatures(rows, "text", sigs).withColumn("bucket", bucket)
+    inside = placed.select("*", F.lead(F.struct("text", sigs)).over(order).alias("_next"))
     joined = inside.join(heads, (F.col("bucket") == F.col("_from")) & F.col("_next").isNull(), "left")
     found = F.coalesce("_next", "_first")
-    return joined.select(*rows.columns, *[found[c].alias(f"next_{c}") for c in columns])
+    return joined.select(*rows.columns, sigs, found["text"].alias("next_text"), found[sigs].alias(f"next_{sigs}"))
 
 
 def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,7 +174,7 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     replaced by the beginning of the next document), and how alike they are."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    pairs = with_next(with_signatures(rows, "text", "sigs"), ("text", "sigs"))
+    pairs = with_next(rows)
     cut = F.floor(F.char_length("text") / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - cut),
                       F.substring(F.col("next_text"), F.lit(1), cut))

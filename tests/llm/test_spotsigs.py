@@ -63,6 +63,28 @@ def test_few_documents(spark, empty, docs):
     assert one.near_next == 1.0
 
 
+def test_near_duplicates_against_all_pairs(spark):
+    import random
+    rng = random.Random(1)
+    base = [rng.randrange(10**9) for _ in range(60)]
+    sets = [sorted(set(base) - set(rng.sample(base, k)) | {rng.randrange(10**9) for _ in range(k)})
+            for k in (0, 0, 1, 2, 3, 5, 8, 12)]
+    sets += [sorted(base[:k]) for k in (47, 48, 49, 59)] + [[], [], [1], [1], [1, 2], [5], [2, 3]]
+    sets += [sorted({rng.randrange(200) for _ in range(rng.randint(1, 40))}) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, sigs array<long>")
+    links, members = spotsigs.near_duplicates(df)
+    rep = {r.id: r.rep for r in members.collect()}
+    low = {}
+    for i, s in enumerate(sets):
+        if s:
+            low.setdefault(tuple(s), i)
+    assert rep == {i: low[tuple(s)] for i, s in enumerate(sets) if s}
+    want = {(a, b) for x, a in low.items() for y, b in low.items()
+            if a < b and jaccard(set(x), set(y)) >= 0.8}
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in links.collect()} == want and len(want) > 5
+    assert links.count() == len(want)
+
+
 def test_pruned_by_length(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [1]), ([1, 2], [1, 2, 3]), ([], [])], "a array<long>, b array<long>")
     got = [r[0] for r in df.select(spotsigs.likeness(F.col("a"), F.col("b"), 0.5)).collect()]
