@@ -35,11 +35,11 @@ def main():
         plain = ev.withColumn("lag", F.collect_list("value").over(
             Window.partitionBy(key).orderBy("ts", "event_id").rowsBetween(-10, -1)))
         frag = windows.lag_list(ev, [key], ["ts", "event_id"], "value", 10, "lag",
-                                rows_per_fragment=max(1000, n // 200), check_size=False)
+                                rows_per_fragment=max(1000, n // 200))
         print(f"lag_list by {key}: plain window {timed(plain)} s, fragments {timed(frag)} s", flush=True)
     day = ev.withColumn("day", F.to_date("ts"))
     plain = day.withColumn("ra", F.avg("value").over(Window.partitionBy("event_type").orderBy("day")))
-    frag = windows.running_average(day, ["event_type"], "day", "value", "ra", rows_per_fragment=3, check_size=False)
+    frag = windows.running_average(day, ["event_type"], "day", "value", "ra", rows_per_fragment=3)
     print(f"running_average by event_type: plain window {timed(plain)} s, fragments {timed(frag)} s", flush=True)
 
 
