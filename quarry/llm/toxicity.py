@@ -71,12 +71,16 @@ class Words(dict):
                          h("p", word), h("n", word)))
         return at
 
+    def forget(self, most: int) -> None:
+        """Start anew once more than ``most`` words are known: indices given
+        before are void then."""
+        if len(self) > most:
+            self.clear()
+            self.own = []
+
     def sequences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word index of every token, bounds of the texts, and the features of
         all words known (columns 0-3 its own, 4 and 5 as a neighbour)."""
-        if len(self) > REMEMBERED:
-            self.clear()
-            self.own = []
         parts = []
         for text in texts:
             found = WORD.findall((text or "").lower())
@@ -261,6 +265,7 @@ def tagged(words: Words, texts: list[str | None], model) -> tuple[np.ndarray, li
     if model is None:
         return np.zeros(len(texts)), [[] for _ in texts]
     w, trans, c = model
+    words.forget(REMEMBERED)
     at, bounds, table = words.sequences(texts)
     p, _ = forward_backward(emissions(at, bounds, table, w), bounds, trans)
     score = 1 / (1 + np.exp(-np.clip(c[0] + aggregate(p, bounds) @ c[1:], -35, 35)))

@@ -50,6 +50,21 @@ def test_spans_and_degenerate_texts():
     assert toxicity.tagged(toxicity.Words(), ["x"], None)[0].tolist() == [0.0]
 
 
+def test_forgetting_words_changes_nothing(monkeypatch):
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(50)) + (" idiotic" if i % 2 else ""), i % 2)
+            for i in range(80)]
+    texts = [t for _, t, _ in rows]
+    model = toxicity.fit(rows)
+    once = toxicity.tagged(toxicity.Words(), texts, toxicity.pickle.loads(model))
+    monkeypatch.setattr(toxicity, "REMEMBERED", 10)
+    assert toxicity.fit(rows) == model
+    words = toxicity.Words()
+    parts = [toxicity.tagged(words, texts[i:i + 7], toxicity.pickle.loads(model)) for i in range(0, 80, 7)]
+    assert np.concatenate([s for s, _ in parts]) == pytest.approx(once[0])
+    assert sum((x for _, x in parts), []) == once[1]
+
+
 def test_offsets_when_lower_case_is_longer():
     text = "İİ idiotic x"
     hit = np.array([w.startswith("idi") for w in toxicity.WORD.findall(text.lower())])
