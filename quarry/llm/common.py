@@ -72,8 +72,9 @@ def with_block_pairs(rows: DataFrame, key: str, item: Column, limit: int) -> Dat
     (they meet nobody).  Adds ``_a``, ``_b`` (the pair) and ``_blk`` (the
     row's own block); group sizes are counted with a partial aggregate.
     """
-    counts = (rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
-              .withColumnRenamed(key, "_key"))
+    # written: between two plain exchanges, adaptive execution can split a hot key's join
+    counts = store(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+                   .withColumnRenamed(key, "_key"), "sizes")
     return (
         rows.join(counts, F.col(key) == F.col("_key"), "inner").drop("_key")
         .withColumn("_nb", F.ceil(F.col("_n") / F.lit(limit)).cast("int"))

@@ -49,10 +49,10 @@ GRAM = 128
 #: Different pieces with the same gram, beyond which windows are counted instead.
 CROWD = 5000
 #: Bytes of pieces that are sorted together.
-SHARD = 4 << 20
+SHARD = 2 << 20
 #: Bytes of text that anchors are sought in at a time; positions take 24 bits.
-CHUNK = 4 << 20
-LONGEST = 1 << 23
+CHUNK = 1 << 20
+LONGEST = 1 << 21
 #: Documents whose ids are broadcast at most.
 FEW = 200_000
 #: Stands for a null id inside the joins.
@@ -66,7 +66,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def _powers(base: int, n: int) -> np.ndarray:
     if len(_POWERS.get(base, ())) < n:
-        steps = np.full(max(n, CHUNK + LONGEST // 4), base, np.uint64)
+        steps = np.full(max(n, 2 * CHUNK), base, np.uint64)
         steps[0] = 1
         _POWERS[base] = np.cumprod(steps, dtype=np.uint64)
     return _POWERS[base][:n]
@@ -259,8 +259,8 @@ def counted_windows(crowded: DataFrame, length: int) -> DataFrame:
 
     windows = crowded.select("doc", "th", "a", "n", "data").mapInArrow(
         run, "w1 long, w2 long, doc long, th int, lo int, n long")
-    often = (windows.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
-             .select(F.col("w1").alias("k1"), F.col("w2").alias("k2")))
+    often = store(windows.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
+                  .select(F.col("w1").alias("k1"), F.col("w2").alias("k2")), "windows")
     return (windows.where("n = 1").join(often, (F.col("w1") == F.col("k1")) & (F.col("w2") == F.col("k2")))
             .select("doc", "th", "lo", (F.col("lo") + length).alias("hi")))
 
@@ -287,7 +287,9 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int =
     """(doc, th, lo, hi): byte ranges that are covered by repeated windows
     (they may overlap) of ``rows`` (doc, th, body)."""
     found = store(anchored(rows, length, gram), "anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h").alias("g"))
+    # counts are written: between two plain exchanges, adaptive execution can split a hot gram's join
+    often = store(found.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+                  .select(F.col("h").alias("g")), "often")
     found = store(found.join(often, F.col("h") == F.col("g")).drop("g"), "shared")
     kinds = found.groupBy("h", "ph").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "th", "a", "b")).alias("one"))
@@ -295,8 +297,8 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int =
     equal = kinds.where("n > 1").select(F.col("h").alias("h2"), F.col("ph").alias("p2"))
     whole = (found.join(equal, (F.col("h") == F.col("h2")) & (F.col("ph") == F.col("p2")))
              .select("doc", "th", F.col("a").alias("lo"), (F.col("b") + length).alias("hi")))
-    several = (kinds.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-               .select(F.col("h").alias("h3"), (F.col("k") > crowd).alias("crowded")))
+    several = store(kinds.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+                    .select(F.col("h").alias("h3"), (F.col("k") > crowd).alias("crowded")), "several")
     asked = (kinds.join(several, F.col("h") == F.col("h3"))
              .select("one.*", "h", "n", "crowded").groupBy("doc", "th")
              .agg(F.collect_list(F.struct("a", "b", "h", "n", "crowded")).alias("at")))

@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import read
+from quarry.llm.common import read, store
 from quarry.session import shared_dir
 
 MAGIC = b"\x1f\x8b\x08"
@@ -60,9 +60,10 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(id, url, payload, original): ``original`` is the id of the response
     that a row revisits, null for responses."""
     rows = pages.withColumn("_sha", F.sha1("payload"))
-    repeated = (rows.where(F.octet_length("payload") >= min_bytes).groupBy("_sha")
-                .agg(F.min("id").alias("_first"), F.count("*").alias("_n"))
-                .where("_n > 1").select(F.col("_sha").alias("_key"), "_first"))
+    # written: between two plain exchanges, adaptive execution can split a hot payload's join
+    repeated = store(rows.where(F.octet_length("payload") >= min_bytes).groupBy("_sha")
+                     .agg(F.min("id").alias("_first"), F.count("*").alias("_n"))
+                     .where("_n > 1").select(F.col("_sha").alias("_key"), "_first"), "repeated")
     return rows.join(repeated, F.col("_sha") == F.col("_key"), "left").select(
         "id", "url", "payload",
         F.when(F.col("_first").isNotNull() & ~F.col("id").eqNullSafe(F.col("_first")),
@@ -104,9 +105,9 @@ def write_archives(pages: DataFrame, page_id: str, url: str, html: str, folder:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     path, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0
-                    store, inner = _open(path)
-                    store.create_dir(os.path.dirname(inner), recursive=True)
-                    out = store.open_output_stream(inner, compression=None)
+                    place, inner = _open(path)
+                    place.create_dir(os.path.dirname(inner), recursive=True)
+                    out = place.open_output_stream(inner, compression=None)
                 data = record(*row)
                 out.write(data)
                 size += len(data)
@@ -207,9 +208,9 @@ def read_archives(files: DataFrame, split_bytes: int = 4 << 20, payloads: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start, size in zip(*(c.to_pylist() for c in batch.columns)):
-                store, inner = _open(path)
+                place, inner = _open(path)
                 rows, held, end = [], 0, min(size, start + split_bytes)
-                with store.open_input_file(inner) as f:
+                with place.open_input_file(inner) as f:
                     at = _find(f, start, end)
                     while at >= 0:
                         member = _member(f, at)
