@@ -300,4 +300,4 @@ def one_per_group(docs: DataFrame, **how) -> DataFrame:
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash")

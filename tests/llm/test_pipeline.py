@@ -5,9 +5,10 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from llm_fixtures import SF_SMALL, SF_TENTH, docs, empty, prepared, texts  # noqa: F401
+from llm_fixtures import SF_ORACLE, SF_SMALL, SF_TENTH, docs, empty, prepared, texts  # noqa: F401
 import __spark_entry__ as E
 import corpus_pipeline as P
+from oracle_compare import compare, duck
 from quarry.llm import bpe, mixing
 from quarry.llm.common import read, store
 from quarry.llm.queries import ORACLES, QUERIES
@@ -19,6 +20,11 @@ def test_registered():
     assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, name):
+    assert compare(QUERIES[name](spark, SF_ORACLE), duck(SF_ORACLE), ORACLES[name]) == []
+
+
 @pytest.fixture(scope="module")
 def kept(spark):
     """What each stage keeps."""
