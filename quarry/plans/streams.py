@@ -40,9 +40,9 @@ FILES_PER_BATCH = 64
 LINES_SCHEMA = "doc_id BIGINT, line_no INT, arrival TIMESTAMP, line STRING"
 
 
-def lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runner.file_stream(spark, fixtures.landed_lines(spark, sf_dir), None, "json",
-                              schema=LINES_SCHEMA, timestampFormat=fixtures.MICROS_TS_FORMAT)
+def lines_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    return runner.file_stream(spark, fixtures.landed_lines(spark, sf_dir), None, "json", LINES_SCHEMA,
+                              files_per_batch, timestampFormat=fixtures.MICROS_TS_FORMAT)
 
 
 # -------------------------------------------------------- windowed streams
@@ -162,12 +162,14 @@ def stream_sql_view(spark, sf_dir):
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, make_timestamp(us) AS arrival, line FROM arrivals""")
 def text_stream(spark, sf_dir):
     """Every text line as one arrival, streamed to Parquet."""
-    out = runner.run(lines_stream(spark, sf_dir), "text_stream", "append").table()
+    out = runner.run(lines_stream(spark, sf_dir, FILES_PER_BATCH), "text_stream", "append").table()
     return out.select("doc_id", "line_no", F.col("arrival").cast("timestamp_ntz").alias("arrival"), "line")
 
 
 def _panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """3 s panes of the line stream: the state holds every line once."""
+    """3 s panes of the line stream: the state holds every line once.  (The
+    landed files are one batch: their order is not that of arrival, so bounded
+    batches would make lines late.)"""
     lines = sev.with_event_time(lines_stream(spark, sf_dir), "arrival", "15 seconds")
     return timewindows.panes(lines, "arrival", "line", "3 seconds")
 
