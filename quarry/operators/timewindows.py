@@ -49,13 +49,18 @@ def panes(df: DataFrame, ts: str, text: str, slide: str, order_cols: list[str] |
         ordered_concat(order, text).alias("piece"), F.count(F.lit(1)).alias("n_lines"))
 
 
+#: Batch input is concatenated in so many pieces of a pane first, in as many tasks.
+PIECES = 12
+
+
 def join_panes(pieces: DataFrame, duration: str, slide: str, out: str = "text") -> DataFrame:
-    """Sliding windows from their panes: each pane goes to the duration/slide
-    windows that start at it or before, and a window joins its pieces in order."""
+    """Sliding windows from their panes (or pieces of panes): each goes to the
+    duration/slide windows that start at its slide or before, and a window
+    joins its pieces in order."""
     d, s = _seconds(duration), _seconds(slide)
     back = F.explode(F.sequence(F.lit(0), F.lit(d // s - 1))).alias("_j")
     starts = pieces.select(F.col("pane.start").alias("_pane"), "piece", "n_lines", back).withColumn(
-        "_start", F.col("_pane") - _interval(F.col("_j") * F.lit(s)))
+        "_start", F.window("_pane", slide).start - _interval(F.col("_j") * F.lit(s)))
     grouped = starts.groupBy("_start").agg(ordered_concat(["_pane"], "piece").alias(out),
                                            F.sum("n_lines").alias("n_lines"))
     window = F.struct(F.col("_start").alias("start"), (F.col("_start") + _interval(F.lit(d))).alias("end"))
@@ -78,7 +83,8 @@ def window_concat(df: DataFrame, ts: str, text: str, duration: str, slide: str |
     """
     d, s = _seconds(duration), (_seconds(slide) if slide else None)
     if slide and not df.isStreaming and d and s and d % s == 0 and d > s:
-        return join_panes(panes(df, ts, text, slide, order_cols), duration, slide, out)
+        short = f"{s * 1000 // PIECES} milliseconds" if s * 1000 % PIECES == 0 else slide
+        return join_panes(panes(df, ts, text, short, order_cols), duration, slide, out)
     grouped = df.groupBy(time_window(ts, duration, slide).alias("window"))
     order = [ts, *[c for c in order_cols or [] if c != ts]]
     return grouped.agg(ordered_concat(order, text).alias(out), F.count(F.lit(1)).alias("n_lines"))
