@@ -24,7 +24,6 @@ the only thing the driver sees.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
