@@ -38,15 +38,16 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         .distinct(), "edges")
     last = _print(edges)
     while last[0]:
-        # a round never has more edges, or nodes with edges, than twice those of the one before;
-        # minima are written, so that adaptive execution can split the join of a hot centre
+        # a round never has more edges, or nodes with edges, than twice those of the one before
         files = -(-last[0] // EDGES_PER_FILE)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # written, so that adaptive execution can split the join of a star's centre; in the
+        # small-star step the centre, being the smallest, is nobody's larger end
         low = store(both.groupBy(F.col("u").alias("n")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
                     .coalesce(files), "minima")
-        large = store(both.where("v > u").join(low, F.col("u") == F.col("n"))
-                      .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(files), "large")
-        low = store(large.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m")).coalesce(files), "minima")
+        large = (both.where("v > u").join(low, F.col("u") == F.col("n"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
         small = (large.join(low, F.col("u") == F.col("n"))
                  .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                            F.struct("u", F.col("m").alias("v")))).alias("e"))
