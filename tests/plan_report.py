@@ -27,6 +27,7 @@ def main():
     for name, fn in sorted(all_queries().items()):
         if name in STREAMING:
             continue
+        spark.sparkContext.setJobGroup("inputs", "inputs")
         fn(spark, sf_dir)                                         # derives the input documents
         spark.sparkContext.setJobGroup(name, name)
         df = fn(spark, sf_dir)
