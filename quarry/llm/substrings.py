@@ -306,9 +306,10 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int =
     holders = rows.join(_few(asked), _same(), "left_semi").dropDuplicates(["doc", "th"])
     got = store(fetched(holders.join(asked, ["doc", "th"]), length), "pieces")
     shards = (got.where("not crowded").repartition("h").sortWithinPartitions("h"))
-    rims = sorted_shards(shards, length)
-    loose = counted_windows(got.where("crowded"), length)
-    return store(whole.unionByName(rims).unionByName(loose), "ranges")
+    found = whole.unionByName(sorted_shards(shards, length))
+    if not several.where("crowded").isEmpty():
+        found = found.unionByName(counted_windows(got.where("crowded"), length))
+    return store(found, "ranges")
 
 
 def _cut(body: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[dict[str, int]]]:
