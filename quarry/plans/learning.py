@@ -14,6 +14,8 @@ from quarry.session import materialize
 from quarry.sources import fixtures, readers, schemas
 
 FEATURES = ["Open", "High", "Low"]
+#: Steps of a window that the autoregression looks back on.
+HISTORY = 50
 
 # Single-feature least squares (Close ~ High) in SQL, for the oracles.
 _OLS_SQL = """
@@ -175,9 +177,19 @@ def _forest(spark: SparkSession, sf_dir: str):
 @query("rf_regression", _PART_SQL + """
 SELECT Date, CAST(y AS FLOAT) AS Close, true AS predicted FROM s WHERE part = 'test'""")
 def rf_regression(spark, sf_dir):
-    """The test rows that the random forest predicts; its scores are in
-    ``holdout_metrics``."""
-    return _forest(spark, sf_dir).select("Date", "Close", F.col("prediction").isNotNull().alias("predicted"))
+    """The test rows, and whether the forest's prediction misses the price by
+    no more than prices differ (it is a mean of prices, so it has to); the values
+    are in ``rf_predictions``, scores in ``holdout_metrics``."""
+    row = prices(spark, sf_dir).agg((F.max("Close") - F.min("Close")).cast("double").alias("spread")).first()
+    most = (row.spread or 0.0) * (1 + 1e-6) + 1e-6
+    error = F.abs(F.col("prediction") - F.col("Close"))
+    return _forest(spark, sf_dir).select("Date", "Close", (error <= most).alias("predicted"))
+
+
+@query("rf_predictions")
+def rf_predictions(spark, sf_dir):
+    """The random forest's prediction of every test row."""
+    return _forest(spark, sf_dir).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
 
 
 @query("ml_fit_transform", _PART_SQL + """
@@ -213,7 +225,7 @@ def telemetry_regression(spark, sf_dir):
                                         F.round("prediction", 4).alias("prediction"))
 
 
-def _forecast(spark: SparkSession, sf_dir: str, history: int = 50):
+def _forecast(spark: SparkSession, sf_dir: str, history: int = HISTORY):
     """Autoregression on windows per user; predictions for the last fifth of the time."""
     ev = fixtures.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     cut = ml.time_cut(ev, "ts").cast("timestamp_ntz")       # from the events, before they become windows
@@ -229,7 +241,22 @@ w AS (SELECT user_id, ts, event_id, value AS target,
              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
 SELECT user_id, ts, event_id, target, true AS predicted FROM w, c WHERE n > 50 AND epoch_us(ts) > cut""")
 def ar_forecast(spark, sf_dir):
-    """The windows of 50 steps whose next value the autoregression
-    predicts (the model is checked by pytest)."""
+    """The windows of 50 steps, and whether the autoregression's next value
+    is a finite number (a forecast may miss by any amount); the values are in
+    ``ar_predictions``, scores in ``forecast_metrics``."""
+    finite = F.abs("prediction") < float("inf")          # false for NaN, which Spark sorts last
+    return _forecast(spark, sf_dir).select("user_id", "ts", "event_id", "target", finite.alias("predicted"))
+
+
+@query("ar_predictions")
+def ar_predictions(spark, sf_dir):
+    """The forecast of every window of 50 steps in the last fifth of the time."""
     return _forecast(spark, sf_dir).select("user_id", "ts", "event_id", "target",
-                                           F.col("prediction").isNotNull().alias("predicted"))
+                                           F.round("prediction", 4).alias("prediction"))
+
+
+@query("forecast_metrics")
+def forecast_metrics(spark, sf_dir):
+    """Mean squared error, R^2 and adjusted R^2 of the forecasts, which
+    are all of later windows than the model was fitted on."""
+    return ml.regression_metrics(_forecast(spark, sf_dir), "target", n_features=HISTORY)
