@@ -246,19 +246,20 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "id long, links long, low long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
-                    threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
-    """(doc_id, text_hash, n_links, class_id, kept) of every row of ``docs`` with
-    an id: the number of other rows linked directly, the smallest id reachable
-    by links, and whether that is its own."""
+def _classes(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float, rows: int,
+             recall: float) -> tuple[DataFrame, DataFrame]:
+    """(doc, th, set_key) of every row of ``docs`` with an id (set_key is null
+    where there are no words), and (set_key, doc, th, component, n_links) of
+    every different set: the least row that has it, and its class."""
     bands = bands_for(threshold, rows, recall)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"),
                         F.xxhash64(text).alias("th")).where("doc is not null")
     signed = store(signatures(texts, n, bands, rows), "signatures")
     reps = store(
         signed.where("set_key is not null").groupBy("set_key")
-        .agg(F.min("doc").alias("doc"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
-        .withColumn("id", F.xxhash64("set_key")), "representatives")
+        .agg(F.min(F.struct("doc", "th")).alias("one"), F.count("*").alias("copies"),
+             F.first("bands").alias("bands"))
+        .select("set_key", "one.*", "copies", "bands", F.xxhash64("set_key").alias("id")), "representatives")
     buckets = reps.select("id", F.posexplode("bands").alias("band", "value")) \
                   .select("id", "band", F.xxhash64("band", "value").alias("bucket"))
     meets = (with_block_pairs(buckets, "bucket", F.col("id"), BLOCK)
@@ -266,20 +267,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
     places = store(needed(meets).groupBy("id").agg(F.collect_list(F.struct(*PLACE)).alias("at")),
                    "places")
-    asked = places.join(reps, "id").join(texts, "doc")
+    asked = places.join(reps, "id").join(texts, ["doc", "th"])
     meets = (with_sets(asked.select("id", "set_key", "text", "at", "bands", "copies"), n)
              .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
     found = store(verify(meets, threshold), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select("id", "low"), "id", "low")
-    named = (reps.select("set_key", "id", "doc", "copies")
+    named = (reps.select("set_key", "id", "doc", "th", "copies")
              .join(parts, F.col("id") == F.col("node"), "left")
-             .withColumn("component", F.coalesce("component", "id")).drop("node")
              .join(links, "id", "left"))
+    return signed.select("doc", "th", "set_key"), named.select(
+        "set_key", "doc", "th", F.coalesce("component", "id").alias("component"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
+                    threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
+    """(doc_id, text_hash, n_links, class_id, kept) of every row of ``docs`` with
+    an id: the number of other rows linked directly, the smallest id reachable
+    by links, and whether that is its own.  Where ids repeat, two classes can
+    have the same class_id."""
+    signed, named = _classes(docs, doc_id, text, n, threshold, rows, recall)
     lowest = named.groupBy(F.col("component").alias("c")).agg(F.min("doc").alias("class_id"))
     named = (named.join(lowest, F.col("component") == F.col("c"))
-             .select(F.col("set_key").alias("k"), "class_id",
-                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+             .select(F.col("set_key").alias("k"), "class_id", "n_links"))
     return signed.join(named, F.col("set_key") == F.col("k"), "left").select(
         F.col("doc").alias("doc_id"), F.col("th").alias("text_hash"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -287,16 +298,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         (F.coalesce("class_id", "doc") == F.col("doc")).alias("kept"))
 
 
-def one_per_group(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` (with doc_id and text) without near copies: of each
-    class, the row with the smallest id (of rows that repeat that id, the one
-    whose text hashes lowest); rows without an id stay."""
-    kept = (near_duplicates(docs, **how).where("kept").groupBy(F.col("doc_id").alias("__id"))
-            .agg(F.min("text_hash").alias("__th")))
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    one = keyed.join(kept, (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__th"))) \
-               .dropDuplicates(["__id", "__th"])
-    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
+                  threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each class, whatever ids
+    repeat, the row with the smallest id (of rows that repeat that id, the one
+    whose text hashes lowest); rows without words or without an id stay."""
+    signed, named = _classes(docs, doc_id, text, n, threshold, rows, recall)
+    one = named.groupBy("component").agg(F.min(F.struct("doc", "th")).alias("one")).select("one.*")
+    bare = signed.where("set_key is null").select("doc", "th").distinct()
+    kept = one.withColumn("bare", F.lit(False)).unionByName(bare.withColumn("bare", F.lit(True)))
+    found = (docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
+                         F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("th"))
+             .join(kept, ["doc", "th"]))
+    own = F.when(F.col("bare"), F.monotonically_increasing_id())         # nobody's copy
+    rest = found.withColumn("own", own).dropDuplicates(["doc", "th", "own"])
+    return rest.select("row.*").unionByName(docs.where(F.col(doc_id).isNull()))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
