@@ -40,8 +40,8 @@ from quarry.session import shared_dir
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes that a reader fetches at a time.
 CHUNK = 1 << 18
-#: Inflated bytes within which a record's header must end.
-HEADER_LIMIT = 1 << 16
+#: What a record begins with.
+VERSION = b"WARC/1."
 
 RECORD = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, "
           "payload_digest string, digest_ok boolean, payload binary")
@@ -139,28 +139,25 @@ def _find(f, start: int, end: int) -> int:
 
 def _member(f, at: int) -> tuple[bytes, int] | None:
     """The inflated gzip member at ``at`` and its length, or None if there is
-    no WARC record."""
-    inflate, parts, fed = zlib.decompressobj(31), [], 0
+    no WARC record.  What does not begin like a record is left at once; a
+    record's header may be of any length."""
+    inflate, data, fed, step = zlib.decompressobj(31), bytearray(), 0, 4096
     f.seek(at)
-    step, checked = 4096, False
     while not inflate.eof:
-        data = f.read(step)
-        if not data:
+        more = f.read(step)
+        if not more:
             return None
         try:
-            parts.append(inflate.decompress(data))
+            data += inflate.decompress(more)
         except zlib.error:
             return None
-        fed += len(data)
+        fed += len(more)
         step = CHUNK
-        if not checked:
-            head = b"".join(parts)
-            if not b"WARC/1.1\r\n".startswith(head[:10]) and not head.startswith(b"WARC/1."):
-                return None
-            checked = b"\r\n\r\n" in head
-            if not checked and len(head) > HEADER_LIMIT:
-                return None
-    return (b"".join(parts), fed - len(inflate.unused_data)) if checked else None
+        if not VERSION.startswith(data[:len(VERSION)]):
+            return None
+    if len(data) < len(VERSION) or b"\r\n\r\n" not in data:
+        return None
+    return bytes(data), fed - len(inflate.unused_data)
 
 
 def _fields(lines: bytes) -> dict[str, str]:
