@@ -20,7 +20,8 @@ that also starts somewhere else (in the same text or another) is removed.
    aggregates.
 5. The repeated ranges meet their texts again and are cut out.
 
-Documents are known by id and a hash of the text.  Small sets of them are
+Documents are known by id and 128 bits of the text's SHA-256, which is all that
+tells rows without an id apart.  Small sets of them are
 broadcast (after they have been counted), larger ones are joined by shuffling.
 
 Defined results: null texts count as empty; texts shorter than ``length`` lose
@@ -141,7 +142,7 @@ def anchored(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """(doc, th, a, b, h, ph): every piece of every text, windows a..b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, th = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
+            doc, th = batch.column("doc").to_numpy(), batch.column("th")
             texts = [t or b"" for t in batch.column("body").to_pylist()]
             for which, offset, parts in _segments(texts, length):
                 joined = b"".join(parts)
@@ -156,12 +157,12 @@ def anchored(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 row = np.array(which)[text]
                 shift = np.array(offset)[text] - start[text]
                 yield pa.record_batch({
-                    "doc": pa.array(doc[row]), "th": pa.array(th[row]),
+                    "doc": pa.array(doc[row]), "th": th.take(pa.array(row)),
                     "a": pa.array((a + shift).astype(np.int32)), "b": pa.array((b + shift).astype(np.int32)),
                     "h": pa.array(h.view(np.int64)), "ph": pa.array(ph)})
 
     return rows.select("doc", "th", "body").mapInArrow(
-        run, "doc long, th int, a int, b int, h long, ph long")
+        run, "doc long, th binary, a int, b int, h long, ph long")
 
 
 def fetched(asked: DataFrame, length: int) -> DataFrame:
@@ -182,7 +183,7 @@ def fetched(asked: DataFrame, length: int) -> DataFrame:
                     "data": pa.array(data, pa.binary())})
 
     return asked.select("doc", "th", "body", "at").mapInArrow(
-        run, "doc long, th int, a int, h long, n long, crowded boolean, data binary")
+        run, "doc long, th binary, a int, h long, n long, crowded boolean, data binary")
 
 
 def repeated_windows(data: list[bytes], length: int) -> list[np.ndarray]:
@@ -220,7 +221,8 @@ def sorted_shards(shards: DataFrame, length: int) -> DataFrame:
                     out["lo"] += lo.tolist()
                     out["hi"] += hi.tolist()
             return pa.record_batch({"doc": pa.array(out["doc"], pa.int64()),
-                                    **{k: pa.array(out[k], pa.int32()) for k in ("th", "lo", "hi")}})
+                                    "th": pa.array(out["th"], pa.binary()),
+                                    **{k: pa.array(out[k], pa.int32()) for k in ("lo", "hi")}})
 
         for cols, bounds in complete_groups(batches, ["h"]):
             sizes = np.fromiter(map(len, cols["data"]), np.int64, len(cols["data"]))
@@ -237,7 +239,7 @@ def sorted_shards(shards: DataFrame, length: int) -> DataFrame:
             yield solve()
 
     return shards.select("doc", "th", "a", "h", "n", "data").mapInArrow(
-        run, "doc long, th int, lo int, hi int")
+        run, "doc long, th binary, lo int, hi int")
 
 
 def counted_windows(crowded: DataFrame, length: int) -> DataFrame:
@@ -253,12 +255,12 @@ def counted_windows(crowded: DataFrame, length: int) -> DataFrame:
                 yield pa.record_batch({
                     "w1": pa.array(key[:, 0].copy()), "w2": pa.array(key[:, 1].copy()),
                     "doc": pa.array(np.full(m, row["doc"], np.int64)),
-                    "th": pa.array(np.full(m, row["th"], np.int32)),
+                    "th": pa.array([row["th"]] * m, pa.binary()),
                     "lo": pa.array(row["a"] + np.arange(m, dtype=np.int32)),
                     "n": pa.array(np.full(m, row["n"], np.int64))})
 
     windows = crowded.select("doc", "th", "a", "n", "data").mapInArrow(
-        run, "w1 long, w2 long, doc long, th int, lo int, n long")
+        run, "w1 long, w2 long, doc long, th binary, lo int, n long")
     often = store(windows.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
                   .select(F.col("w1").alias("k1"), F.col("w2").alias("k2")), "windows")
     return (windows.where("n = 1").join(often, (F.col("w1") == F.col("k1")) & (F.col("w2") == F.col("k2")))
@@ -270,7 +272,7 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     return docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
                        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.hash(f"`{text}`").alias("th"), body.alias("body"))
+                       F.substring(F.unhex(F.sha2(body, 256)), 1, 16).alias("th"), body.alias("body"))
 
 
 def _few(keys: DataFrame) -> DataFrame:
