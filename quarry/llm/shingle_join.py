@@ -18,8 +18,10 @@ together where it has fewer than n).
    star edges go to the distributed connected components.
 
 Defined results: null and empty texts (no words) link with nothing; rows
-without an id are left out; repeated rows (equal id) count as copies, one
-result row per row; other columns are ignored; an empty table gives an empty
+without an id are told apart by their texts, take part in the classes and come
+after all others in the choice of a class's row (their class_id is the smallest
+id of the class, null if it has none, and kept is null); repeated rows (equal
+id) count as copies, one result row per row; other columns are ignored; an empty table gives an empty
 result.
 """
 
@@ -33,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import bands_for, offsets, read, store, with_block_pairs
@@ -52,6 +54,9 @@ REMEMBERED = 1 << 18
 PLACE = ("bucket", "band", "_a", "_b", "_blk")
 PLACE_TYPE = "bucket long, band int, _a int, _b int, _blk int"
 
+#: Names a row: whether it has no id, the id (or 0), a hash of the text.
+KNOWN = ("none", "doc", "th")
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +112,7 @@ def set_key(grams: bytes) -> bytes:
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """(doc, set_key, bands) of every document; null where it has no words."""
+    """(none, doc, th, set_key, bands) of every document; null where it has no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -120,11 +125,11 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 for i, s in zip(full, signature([sets[i] for i in full], bands, rows)):
                     sig[i] = s.view(np.int64)
                     keys[i] = set_key(sets[i].tobytes())
-                yield pa.record_batch({"doc": part.column("doc"), "th": part.column("th"),
+                yield pa.record_batch({**{k: part.column(k) for k in ("none", "doc", "th")},
                                        "set_key": pa.array(keys, pa.binary()),
                                        "bands": pa.array(sig, pa.list_(pa.int64()))})
 
-    return docs.mapInArrow(run, "doc long, th long, set_key binary, bands array<long>")
+    return docs.mapInArrow(run, "none boolean, doc long, th long, set_key binary, bands array<long>")
 
 
 def needed(meets: DataFrame) -> DataFrame:
@@ -246,18 +251,23 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "id long, links long, low long")
 
 
+def _known(doc_id: str, text: str) -> list[Column]:
+    """What a row is known by in the joins (KNOWN)."""
+    own = F.col(doc_id).cast("long")
+    return [own.isNull().alias("none"), F.coalesce(own, F.lit(0)).alias("doc"), F.xxhash64(text).alias("th")]
+
+
 def _classes(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float, rows: int,
              recall: float) -> tuple[DataFrame, DataFrame]:
-    """(doc, th, set_key) of every row of ``docs`` with an id (set_key is null
-    where there are no words), and (set_key, doc, th, component, n_links) of
+    """(none, doc, th, set_key) of every row of ``docs`` (set_key is null where
+    there are no words), and (set_key, none, doc, th, component, n_links) of
     every different set: the least row that has it, and its class."""
     bands = bands_for(threshold, rows, recall)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"),
-                        F.xxhash64(text).alias("th")).where("doc is not null")
+    texts = docs.select(*_known(doc_id, text), F.col(text).alias("text"))
     signed = store(signatures(texts, n, bands, rows), "signatures")
     reps = store(
         signed.where("set_key is not null").groupBy("set_key")
-        .agg(F.min(F.struct("doc", "th")).alias("one"), F.count("*").alias("copies"),
+        .agg(F.min(F.struct(*KNOWN)).alias("one"), F.count("*").alias("copies"),
              F.first("bands").alias("bands"))
         .select("set_key", "one.*", "copies", "bands", F.xxhash64("set_key").alias("id")), "representatives")
     buckets = reps.select("id", F.posexplode("bands").alias("band", "value")) \
@@ -267,53 +277,59 @@ def _classes(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float,
              .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
     places = store(needed(meets).groupBy("id").agg(F.collect_list(F.struct(*PLACE)).alias("at")),
                    "places")
-    asked = places.join(reps, "id").join(texts, ["doc", "th"])
+    # of rows without an id, any number may have the text that is asked for
+    held = texts.where("not none").unionByName(texts.where("none").dropDuplicates(["th"]))
+    asked = places.join(reps, "id").join(held, [*KNOWN])
     meets = (with_sets(asked.select("id", "set_key", "text", "at", "bands", "copies"), n)
              .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
     found = store(verify(meets, threshold), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select("id", "low"), "id", "low")
-    named = (reps.select("set_key", "id", "doc", "th", "copies")
+    named = (reps.select("set_key", "id", *KNOWN, "copies")
              .join(parts, F.col("id") == F.col("node"), "left")
              .join(links, "id", "left"))
-    return signed.select("doc", "th", "set_key"), named.select(
-        "set_key", "doc", "th", F.coalesce("component", "id").alias("component"),
+    return signed.select(*KNOWN, "set_key"), named.select(
+        "set_key", *KNOWN, F.coalesce("component", "id").alias("component"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
-                    threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
-    """(doc_id, text_hash, n_links, class_id, kept) of every row of ``docs`` with
-    an id: the number of other rows linked directly, the smallest id reachable
-    by links, and whether that is its own.  Where ids repeat, two classes can
-    have the same class_id."""
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
+            threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
+    """(doc_id, text_hash, n_links, class_id, kept) of every row of ``docs``: the
+    number of other rows linked directly, the smallest id reachable by links,
+    and whether that is its own (null without an id).  Where ids repeat, two
+    classes can have the same class_id."""
     signed, named = _classes(docs, doc_id, text, n, threshold, rows, recall)
-    lowest = named.groupBy(F.col("component").alias("c")).agg(F.min("doc").alias("class_id"))
+    own = F.when(~F.col("none"), F.col("doc"))
+    lowest = named.groupBy(F.col("component").alias("c")).agg(F.min(own).alias("class_id"))
     named = (named.join(lowest, F.col("component") == F.col("c"))
              .select(F.col("set_key").alias("k"), "class_id", "n_links"))
     return signed.join(named, F.col("set_key") == F.col("k"), "left").select(
-        F.col("doc").alias("doc_id"), F.col("th").alias("text_hash"),
+        own.alias("doc_id"), F.col("th").alias("text_hash"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("class_id", "doc").alias("class_id"),
-        (F.coalesce("class_id", "doc") == F.col("doc")).alias("kept"))
+        F.coalesce("class_id", own).alias("class_id"),
+        (F.coalesce("class_id", own) == own).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``classes`` that have an id."""
+    return classes(docs, **how).where("doc_id is not null")
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5,
                   threshold: float = 0.8, rows: int = 5, recall: float = 0.9995) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class, whatever ids
-    repeat, the row with the smallest id (of rows that repeat that id, the one
-    whose text hashes lowest); rows without words or without an id stay."""
+    repeat, the row with the smallest id (of rows that repeat that id, or where no
+    row has one, that whose text hashes lowest); rows without words stay."""
     signed, named = _classes(docs, doc_id, text, n, threshold, rows, recall)
-    one = named.groupBy("component").agg(F.min(F.struct("doc", "th")).alias("one")).select("one.*")
-    bare = signed.where("set_key is null").select("doc", "th").distinct()
+    one = named.groupBy("component").agg(F.min(F.struct(*KNOWN)).alias("one")).select("one.*")
+    bare = signed.where("set_key is null").select(*KNOWN).distinct()
     kept = one.withColumn("bare", F.lit(False)).unionByName(bare.withColumn("bare", F.lit(True)))
-    found = (docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"),
-                         F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("th"))
-             .join(kept, ["doc", "th"]))
+    found = (docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), *_known(doc_id, text))
+             .join(kept, [*KNOWN]))
     own = F.when(F.col("bare"), F.monotonically_increasing_id())         # nobody's copy
-    rest = found.withColumn("own", own).dropDuplicates(["doc", "th", "own"])
-    return rest.select("row.*").unionByName(docs.where(F.col(doc_id).isNull()))
+    return found.withColumn("own", own).dropDuplicates([*KNOWN, "own"]).select("row.*")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash")
+    return classes(read(spark, sf_dir, "documents")).drop("text_hash")
