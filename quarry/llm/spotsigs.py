@@ -5,7 +5,7 @@ more common words (anchors) starts a spot: the anchor nearest before it, the
 word itself and the content words after it, ``CHAIN`` of them in all; the
 hash of the spot is a signature.  A text in which no content word follows an
 anchor uses every word as the start of a spot, so that only a text without
-words has no signature.  The fingerprint is the sorted set of signatures.
+content words has no signature.  The fingerprint is the sorted set of signatures.
 
 Two sets are alike by their Jaccard coefficient.  It cannot exceed the ratio of
 the smaller to the larger set, so pairs whose lengths rule out the wanted
@@ -16,8 +16,8 @@ neighbouring partitions, and joins only on the few signatures of each set that
 a partner must share.  The registered query compares given pairs: each
 document with its edited text, and with the next document.
 
-Defined results: a null text counts as empty; texts without words have an
-empty fingerprint, and two empty ones are alike by 1 if compared; null ids
+Defined results: a null text counts as empty; texts without words, or of
+common words only, have an empty fingerprint, and two empty ones are alike by 1 if compared; null ids
 come first in the order of ids, equal ids are ordered by their texts; the
 document after the last is the first (a single document follows itself); an
 empty table gives an empty result.
