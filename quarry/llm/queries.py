@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quarry.llm import (
     bpe,
+    filter_audit,
     licenses,
     mixing,
     near_embeddings,
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {fn.__name__: _prepared(fn) for fn in (
     spotsigs.op8_spotsigs,
     quality.op9_quality_ftrl,
     substrings.op10_suffix_dedup,
+    filter_audit.op13_filter_audit,
 )}
 
 # Components of a table link(a, b) that holds every link both ways, as label(a, low).
@@ -46,6 +48,7 @@ label AS (SELECT a, least(a, min(b)) AS low FROM reach GROUP BY a)"""
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": licenses.oracle(),
+    "op13_filter_audit": filter_audit.oracle(),
     # every pair of vectors
     "op3_embedding_near_dedup": f"""
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
