@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quarry.llm import (
+    alignment,
     bpe,
     filter_audit,
     licenses,
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {fn.__name__: _prepared(fn) for fn in (
     spotsigs.op8_spotsigs,
     quality.op9_quality_ftrl,
     substrings.op10_suffix_dedup,
+    alignment.op12_token_alignment,
     filter_audit.op13_filter_audit,
 )}
 
