@@ -33,7 +33,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -46,7 +47,7 @@ from quarry.llm.bpe import blocks
 from quarry.llm.common import offsets, ragged, read, store
 
 #: Bytes of units that a task remembers.
-REMEMBER = 24 << 20
+REMEMBER = 48 << 20
 #: Bytes of text per block, at least one document.
 BLOCK = 6 << 20
 #: Bytes after which a document's next unit begins a new lane.
@@ -76,7 +77,7 @@ class Ragged(NamedTuple):
 
     def extended(self, lists: list[list[int]]) -> "Ragged":
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        new = np.fromiter((v for one in lists for v in one), np.int32, int(sizes.sum()))
+        new = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
         return Ragged(np.concatenate((self.values, new)),
                       np.concatenate((self.start, self.start[-1] + np.cumsum(sizes))))
 
@@ -84,6 +85,13 @@ class Ragged(NamedTuple):
 _NONE = Ragged(np.zeros(0, np.int32), np.zeros(1, np.int64))
 
 
+def _ends(lists: list[list[int]], lengths: np.ndarray) -> np.ndarray:
+    """Byte ends of lists of tokens laid one after another."""
+    items = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+    total = lengths[np.fromiter(chain.from_iterable(lists), np.int64, int(items[-1]))]
+    return np.r_[0, np.cumsum(total)][items]
+
+
 class Tokenizers:
     """Both tokenizers, the bytes of their tokens, and how groups are written."""
 
@@ -110,15 +118,23 @@ class Tokenizers:
                                 + [f"{i}{end}" for i in range(self.n_b) for end in ",;"], object)
 
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        a, b = [], []
+        """Ids of both sides of every unit, and whether their bytes are the unit's."""
+        a, b, same = [], [], np.ones(len(units), bool)
         for at in range(0, len(units), 2000):
             part = units[at:at + 2000]
-            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            b += self.b.encode([u[1:] for u in part], num_threads=1)
-        same = np.fromiter((self.joined(x, y) == (u.encode(),) * 2 for u, x, y in zip(units, a, b)), bool, len(units))
+            ids_a = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
+            ids_b = self.b.encode([u[1:] for u in part], num_threads=1)
+            written = [u.encode() for u in part]
+            ends = np.cumsum(np.fromiter(map(len, written), np.int64, len(part)))
+            # equal as a whole and of equal lengths, else looked at one by one
+            if not (self.joined(chain.from_iterable(ids_a), chain.from_iterable(ids_b)) == (b"".join(written),) * 2
+                    and (_ends(ids_a, self.len_a) == ends).all() and (_ends(ids_b, self.len_b) == ends).all()):
+                same[at:at + 2000] = [self.joined(x, y) == (w, w) for w, x, y in zip(written, ids_a, ids_b)]
+            a += ids_a
+            b += ids_b
         return a, b, same
 
-    def joined(self, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+    def joined(self, a: Iterable[int], b: Iterable[int]) -> tuple[bytes, bytes]:
         return b"".join(map(self.bytes_a.__getitem__, a)), b"".join(map(self.bytes_b.__getitem__, b))
 
 
