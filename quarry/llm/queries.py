@@ -6,6 +6,7 @@ from quarry.llm import (
     alignment,
     bpe,
     filter_audit,
+    language,
     licenses,
     mixing,
     near_embeddings,
@@ -39,6 +40,7 @@ QUERIES: dict[str, Query] = {fn.__name__: _prepared(fn) for fn in (
     spotsigs.op8_spotsigs,
     quality.op9_quality_ftrl,
     substrings.op10_suffix_dedup,
+    language.op11_language_id,
     alignment.op12_token_alignment,
     filter_audit.op13_filter_audit,
 )}
