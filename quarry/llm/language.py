@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import offsets, read
+from quarry.llm.common import offsets, read, store
 from quarry.llm.labelled import remainder
 
 #: Longest n-grams of the spectrum; three characters fit one 64-bit key.
@@ -217,21 +217,25 @@ def sample(docs: DataFrame, modulus: int, held_out: int, per_language: int, lang
     """(key, spectrum, lang) of at most ``per_language`` rows of each of the
     ``languages`` most frequent languages, by the hash of id and text.
 
-    Chosen are (id, text hash, lang) triples, of which each task keeps the
-    first per language before anything is shuffled; they are broadcast
-    (``per_language * languages`` at most), and of rows that repeat one counts.
-    Only spectra are collected, in place of texts.
+    Chosen are hashes of (id, text, lang), one for rows that repeat.  A language
+    with n of them sends those to the ranking whose draw is below four times the
+    share that is wanted, so that a ranking takes a few ``per_language`` of
+    them, however large the table; the chosen (``per_language * languages`` at
+    most) are broadcast.  Only spectra are collected, in place of texts.
     """
     rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                    & (remainder("id", modulus) != held_out)))
-    common = (rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
-              .limit(languages).select(F.col("lang").alias("_lang")))
     key = F.xxhash64("id", "text", "lang")
-    narrow = rows.select("lang", key.alias("key")).distinct()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    chosen = (narrow.withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language)
-              .join(F.broadcast(common), F.col("lang") == F.col("_lang")).select(F.col("key").alias("_key")))
+    narrow = store(rows.select("lang", key.alias("key")).distinct(), "labelled")
+    common = (narrow.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+              .limit(languages).withColumnRenamed("lang", "_lang"))
+    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
+    order = Window.partitionBy("lang").orderBy(draw, "key")
+    chosen = (narrow.join(F.broadcast(common), F.col("lang") == F.col("_lang"))
+              .where(draw < F.lit(4.0 * per_language * (1 << 30)) / F.col("n"))
+              .withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language)
+              .select(F.col("key").alias("_key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
