@@ -15,7 +15,7 @@ replayed; words in which that happens are encoded again by repeatedly merging
 their lowest pair.  Results are those of the usual greedy algorithm.
 
 Defined results: a null text counts as empty; an empty text has no ids and
-decodes to no bytes; other columns pass through untouched, and a column that
+decodes to no bytes; rows that repeat, or have no id, are encoded each; other columns pass through untouched, and a column that
 has the output's name is replaced.
 """
 
@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import offsets, ragged, read
+from quarry.llm.common import REMEMBERED_CHARS, offsets, ragged, read
 
 NONE = np.int32(2**31 - 1)
 
@@ -212,7 +212,7 @@ def _expand(of: np.ndarray, start: np.ndarray, values: np.ndarray) -> tuple[np.n
 
 class Encoder:
     """Encodes blocks of texts; remembers the tokens of the pieces it has met,
-    up to ``remember`` pieces, so that merges are replayed over new words only.
+    up to ``remember`` pieces (of REMEMBERED_CHARS characters at most), so that merges are replayed over new words only.
 
     A space between two other characters always begins a word, so texts are
     first cut there, and each distinct piece is split by the pattern once."""
@@ -223,6 +223,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.units: list[str] = []
+        self.held = 0
         self.first, self.later = Pieces(self.units, ""), Pieces(self.units, " ")
         self.tokens, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
@@ -237,7 +238,7 @@ class Encoder:
         return values, np.diff(offsets(lengths)[offsets(sizes)])
 
     def encode(self, texts: list[str]) -> pa.ListArray:
-        if len(self.units) > self.remember:
+        if len(self.units) > self.remember or self.held > REMEMBERED_CHARS:
             self._forget()
         known = len(self.units)
         rows, whole = [], []
@@ -251,6 +252,7 @@ class Encoder:
                 if text:
                     whole.append(text)
             rows.append(row)
+        self.held += sum(map(len, self.units[known:]))
         values, counts = self._learn(self.units[known:] + whole)
         news = len(self.units) - known
         own = int(counts[:news].sum())

@@ -16,6 +16,9 @@ from quarry.session import apply_session_conf, shared_dir
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
            "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
+#: Characters of the distinct words that a task remembers, whatever their number.
+REMEMBERED_CHARS = 16 << 20
+
 
 def prepare(spark: SparkSession) -> None:
     """The session settings that the operators rely on."""
@@ -36,6 +39,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores added until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... of every (start, length), concatenated."""
     lengths = np.asarray(lengths, np.int64)

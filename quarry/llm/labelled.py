@@ -17,14 +17,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_ou
            per_label: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, label) of at most ``per_label`` documents of each label
     that are not held out: those whose ids hash lowest.  Only the chosen ids
-    (2 x per_label rows at most) are broadcast; texts are not shuffled."""
+    (2 x per_label rows at most) are broadcast, and only their texts shuffled;
+    of an id that repeats with several texts one is taken."""
     known = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
              .where(F.col("label").isin(0, 1) & (remainder("id", modulus) != held_out)))
     chosen = reduce(DataFrame.unionByName, [
         known.where(F.col("label") == v).orderBy(F.xxhash64("id", F.lit(11)), "id").limit(per_label)
         for v in (0, 1)])
-    return docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "text", "label")
+    found = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(
+        F.broadcast(chosen), F.col("doc") == F.col("id"))
+    return found.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("id", "text", "label")
 
 
 def fitted(rows: DataFrame, fit) -> bytes:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import offsets, read
+from quarry.llm.common import REMEMBERED_CHARS, offsets, read
 from quarry.llm.labelled import fitted, remainder, sample
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -64,18 +64,20 @@ class Tokens(dict):
         super().__init__()
         self.hashes: list[int] = []
         self.shapes: list[int] = []
+        self.held = 0
 
     def __missing__(self, token: str) -> int:
         self[token] = at = len(self.hashes)
+        self.held += len(token)
         self.hashes.append(xxhash.xxh3_64_intdigest(token.lower().encode("utf-8", "surrogatepass")))
         self.shapes.append(shape(token))
         return at
 
     def sequences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word hashes and shapes of all tokens, and the texts' bounds."""
-        if len(self) > REMEMBERED:
+        if len(self) > REMEMBERED or self.held > REMEMBERED_CHARS:
             self.clear()
-            self.hashes, self.shapes = [], []
+            self.hashes, self.shapes, self.held = [], [], 0
         parts = []
         for text in texts:
             tokens = TOKEN.findall(text or "")

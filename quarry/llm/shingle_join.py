@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bands_for, offsets, read, store, with_block_pairs
+from quarry.llm.common import REMEMBERED_CHARS, bands_for, offsets, read, store, with_block_pairs
 from quarry.llm.components import components
 from quarry.llm.groups import complete_groups, smallest_linked
 
@@ -61,9 +61,13 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
+    held = 0
+
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED or self.held > REMEMBERED_CHARS:
             self.clear()
+            self.held = 0
+        self.held += len(word)
         self[word] = value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
 

@@ -54,7 +54,7 @@ SHARD = 2 << 20
 #: Bytes of text that anchors are sought in at a time; positions take 24 bits.
 CHUNK = 1 << 20
 LONGEST = 1 << 21
-#: Documents whose ids are broadcast at most.
+#: Documents (their ids) or kinds of pieces (two hashes, 16 bytes) that are broadcast at most.
 FEW = 200_000
 #: Stands for a null id inside the joins.
 NO_ID = -(1 << 63)
@@ -296,7 +296,9 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int =
     kinds = found.groupBy("h", "ph").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "th", "a", "b")).alias("one"))
     kinds = store(kinds, "kinds")
-    equal = kinds.where("n > 1").select(F.col("h").alias("h2"), F.col("ph").alias("p2"))
+    # broadcast before anything is shuffled, where they are few: a hot piece's rows stay in their tasks
+    equal = store(kinds.where("n > 1").select(F.col("h").alias("h2"), F.col("ph").alias("p2")), "equal")
+    equal = F.broadcast(equal) if equal.count() <= FEW else equal
     whole = (found.join(equal, (F.col("h") == F.col("h2")) & (F.col("ph") == F.col("p2")))
              .select("doc", "th", F.col("a").alias("lo"), (F.col("b") + length).alias("hi")))
     several = store(kinds.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import offsets, read
+from quarry.llm.common import REMEMBERED_CHARS, offsets, read
 from quarry.llm.labelled import fitted, remainder, sample
 
 WORD = re.compile(r"\w+")
@@ -61,22 +61,24 @@ class Words(dict):
     def __init__(self):
         super().__init__()
         self.own: list[tuple[int, ...]] = []
+        self.held = 0
 
     def __missing__(self, word: str) -> int:
         def h(kind: str, part: str) -> int:
             return xxhash.xxh3_64_intdigest((kind + part).encode("utf-8", "surrogatepass")) % DIM
 
         self[word] = at = len(self.own)
+        self.held += len(word)
         self.own.append((h("w", word), h("4", word[:4]), h("5", word[:5]), h("e", word[-4:]),
                          h("p", word), h("n", word)))
         return at
 
     def forget(self, most: int) -> None:
-        """Start anew once more than ``most`` words are known: indices given
-        before are void then."""
-        if len(self) > most:
+        """Start anew once more than ``most`` words, or words of too many
+        characters, are known: indices given before are void then."""
+        if len(self) > most or self.held > REMEMBERED_CHARS:
             self.clear()
-            self.own = []
+            self.own, self.held = [], 0
 
     def sequences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word index of every token, bounds of the texts, and the features of
@@ -278,15 +280,17 @@ def tagged(words: Words, texts: list[str | None], model) -> tuple[np.ndarray, li
 
 def detect(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4,
            held_out: int = 2, threshold: float = 0.3, per_label: int = PER_LABEL,
-           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with toxic_score, toxic_spans and toxic (score >= threshold)."""
+           doc_id: str = "doc_id", text: str = "text",
+           names: tuple[str, str, str] = ("toxic_score", "toxic_spans", "toxic")) -> DataFrame:
+    """``docs`` with its score, offending spans and whether score >= threshold,
+    as ``names``; input columns of these names are replaced."""
     spark = docs.sparkSession
     known = sample(docs, labels, label, modulus, held_out, per_label, doc_id, text)
     model = spark.sparkContext.broadcast(fitted(known, fit))
-    new = ("toxic_score", "toxic_spans")
-    kept = docs.drop(*new, "toxic")
-    schema = kept.select("*", F.lit(0.0).alias("toxic_score"), F.lit(None).cast(
-        "array<struct<start:int,end:int>>").alias("toxic_spans")).schema
+    score_name, spans_name, toxic_name = names
+    kept = docs.drop(*names)
+    schema = kept.select("*", F.lit(0.0).alias(score_name), F.lit(None).cast(
+        "array<struct<start:int,end:int>>").alias(spans_name)).schema
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,10 +298,10 @@ def detect(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: in
         for batch in batches:
             for part in _together(batch, text):
                 score, found = tagged(words, part.column(text).to_pylist(), fitted_model)
-                yield part.append_column("toxic_score", pa.array(score)).append_column(
-                    "toxic_spans", pa.array(found, kind))
+                yield part.append_column(score_name, pa.array(score)).append_column(
+                    spans_name, pa.array(found, kind))
 
-    return kept.mapInArrow(run, schema).withColumn("toxic", F.col("toxic_score") >= threshold)
+    return kept.mapInArrow(run, schema).withColumn(toxic_name, F.col(score_name) >= threshold)
 
 
 def _together(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:

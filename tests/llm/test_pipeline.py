@@ -1,11 +1,12 @@
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
 import pytest
 import tiktoken
 
-from llm_fixtures import SF_ORACLE, SF_SMALL, SF_TENTH, docs, empty, prepared, texts  # noqa: F401
+from llm_fixtures import DOCS, SF_ORACLE, SF_SMALL, SF_TENTH, docs, empty, prepared, texts, words  # noqa: F401
 import __spark_entry__ as E
 import corpus_pipeline as P
 from oracle_compare import compare, duck
@@ -17,7 +18,7 @@ from quarry.llm.queries import ORACLES, QUERIES
 def test_registered():
     names = set(E.queries())
     assert set(QUERIES) <= names and "pipeline" in names and set(ORACLES) <= set(E.oracle_sql())
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -56,12 +57,37 @@ def test_no_string_starts_twice(kept):
     count = Counter()
     before = [r.text.encode() for r in kept[2].collect()]
     for b in before:
-        count.update(b[i:i + 400] for i in range(len(b) - 399))
+        count.update(b[i:i + P.REPEAT] for i in range(len(b) - P.REPEAT + 1))
     again = {x for x, n in count.items() if n > 1}
     for r in kept[3].collect():
         b = r.text.encode()
         assert r.n_chars == len(r.text)
-        assert not any(b[i:i + 400] in again for i in range(len(b) - 399))
+        assert not any(b[i:i + P.REPEAT] in again for i in range(len(b) - P.REPEAT + 1))
+
+
+def test_shared_passages_of_over_fifty_words_go_and_clean_text_stays(spark):
+    rng = random.Random(8)
+    passages = [words(rng, n, "etaoin") for n in (51, 51, 55, 60)]
+    rows = [(i, words(rng, 150) + " " + passages[i % 4] + " " + words(rng, 100)) for i in range(24)]
+    rows += [(i, words(rng, 200)) for i in range(100, 140)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    left = {r.doc_id: r.text for r in P.cut_repeats(spark, docs, SF_SMALL).collect()}
+    for i, text in rows:
+        if i < 100:
+            passage = passages[i % 4]
+            assert len(passage.encode()) >= P.REPEAT
+            assert passage not in left[i] and 0 <= len(text) - len(left[i]) - len(passage) <= 2
+        else:
+            assert left[i] == text
+
+
+def test_toxicity_stage_keeps_the_input_columns(spark):
+    from pyspark.sql import functions as F
+
+    docs = read(spark, SF_SMALL, "documents").limit(50).withColumn("toxic", F.lit("mine")).withColumn("Toxic_Score", F.col("doc_id"))
+    out = P.drop_toxic(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    assert all(r.toxic == "mine" and r.Toxic_Score == r.doc_id for r in out.collect()) and out.count() > 30
 
 
 def test_mix(kept):

@@ -22,3 +22,12 @@ def test_texts_without_words_stay(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.text) for r in shingle_join.one_per_group(df).collect()]
     assert sorted(got, key=str) == sorted([r for r in rows if r != (2, text)], key=str)
+
+
+def test_an_id_with_many_texts_gives_the_sample_one_row(spark):
+    from quarry.llm import labelled
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other"), (2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 0), (2, 1)], "doc_id long, quality int")
+    rows = labelled.sample(docs, labels, "quality", 5, 9, 10).collect()
+    assert sorted((r.id, r.label) for r in rows) == [(1, 0), (2, 1)]
