@@ -6,9 +6,15 @@ but the last return the columns of ``documents``.
 
 1. toxicity: documents with a score of 0.3 or more go;
 2. ngram_jaccard: of each group of near copies one document stays;
-3. suffix_dedup: every 400-byte string that starts at two places goes;
+3. suffix_dedup: every string of ``REPEAT`` bytes that starts at two places
+   goes, which covers passages of 50 words and more;
 4. mixing: documents are repeated or dropped towards the sources' weights;
 5. bpe: the token ids of each text, and a digest of what they decode to.
+
+In every stage null texts count as empty, rows without an id and rows that
+repeat an id are documents of their own (equal texts are near copies of each
+other, so one stays), further columns are kept as they are, whatever their
+names, and no documents give no documents.
 """
 
 from __future__ import annotations
@@ -17,13 +23,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe, mixing, shingle_join, substrings, toxicity
-from quarry.llm.common import prepare, read, store
+from quarry.llm.common import free_names, prepare, read, store
+
+#: Bytes of a repeated string that is cut out: 50 words of four letters and a space are longer.
+REPEAT = 200
+#: Bytes of the grams that its windows are dealt by.
+REPEAT_GRAM = 64
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    scored = toxicity.detect(docs, read(spark, sf_dir, "labels"))
-    return scored.where(~F.col("toxic")).select(docs.columns)
+    names = tuple(free_names(docs, "toxic_score", "toxic_spans", "toxic"))
+    scored = toxicity.detect(docs, read(spark, sf_dir, "labels"), names=names)
+    return scored.where(~F.col(names[2])).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return substrings.cut_documents(docs)
+    return substrings.cut_documents(docs, length=REPEAT, gram=REPEAT_GRAM)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
