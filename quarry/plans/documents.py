@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry.operators import nested, ordering
 from quarry.operators.aggregates import group_average
 from quarry.plans.registry import query
-from quarry.sources import fixtures, readers, schemas
+from quarry.sources import fixtures, readers, schemas, splitjson
 
 # The flat form of the documents' measurements, for the oracle.
 _MEAS = """
@@ -26,6 +26,9 @@ WITH meas AS (
 _MEAS_KEPT = _MEAS + ", kept AS (SELECT * FROM meas WHERE magnitudeValue IS NOT NULL AND NOT isnan(magnitudeValue))\n"
 
 
+#: Bytes of a block of a document.
+SPLIT_BYTES = 16 << 20
+
 # The four leaves the measurement analytics use.
 MEASUREMENT_FIELDS = ["events.id", "events.categories.id",
                       "events.geometry.date", "events.geometry.magnitudeValue"]
@@ -68,6 +71,44 @@ def json_structtype(spark, sf_dir):
     return _id_date_value(nested.explode_nested(event_docs(spark, sf_dir, "structtype", multi_line=True)))
 
 
+@query("json_split_scan", _ID_DATE_VALUE_SQL)
+def json_split_scan(spark, sf_dir):
+    """The same documents in blocks, so that one document is read by
+    many tasks; events are the elements of its array."""
+    element = schemas.EVENT_DOC_SCHEMA["events"].dataType.elementType
+    events = splitjson.read_array(spark, fixtures.event_documents(spark, sf_dir), "events", element, SPLIT_BYTES)
+    return _id_date_value(events.select(F.col("events").alias("event"), F.explode("events.geometry").alias("geometry")))
+
+
+_FLAWED_SQL = """
+WITH l AS (SELECT event_id, user_id, CAST(round(value * 100) AS BIGINT) AS cents,
+                  event_id % 11 = 3 AS bad, event_id % 13 = 5 AS broken FROM events),
+r AS (SELECT *, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"cents":'
+                || CASE WHEN bad THEN '"n/a"' ELSE CAST(cents AS VARCHAR) END || CASE WHEN broken THEN '' ELSE '}' END AS raw,
+             CASE WHEN broken THEN 'broken' WHEN bad THEN 'bad_field' ELSE 'good' END AS kind FROM l)
+"""
+
+
+def _flawed(spark: SparkSession, sf_dir: str) -> readers.Checked:
+    return readers.read_json_checked(spark, fixtures.flawed_events(spark, sf_dir), fixtures.FLAWED_SCHEMA)
+
+
+@query("json_corrupt_records", _FLAWED_SQL + """
+SELECT kind, CASE WHEN NOT broken THEN event_id END AS event_id, CASE WHEN NOT broken THEN user_id END AS user_id,
+       CASE WHEN kind = 'good' THEN cents END AS cents, CASE WHEN kind <> 'good' THEN raw END AS raw FROM r""")
+def json_corrupt_records(spark, sf_dir):
+    """A permissive read: a row survives a bad field, a broken record
+    is kept as text."""
+    return _flawed(spark, sf_dir).table.select(
+        F.col("_kind").alias("kind"), "event_id", "user_id", "cents", F.col(readers.CORRUPT).alias("raw"))
+
+
+@query("json_reject_counts", _FLAWED_SQL + "SELECT kind, count(*) AS n FROM r GROUP BY kind")
+def json_reject_counts(spark, sf_dir):
+    """How many records are good, have a bad field, or are broken."""
+    return _flawed(spark, sf_dir).counts()
+
+
 @query("json_ddl", _ID_DATE_VALUE_SQL)
 def json_ddl(spark, sf_dir):
     """S3: schema as DDL text."""

@@ -152,6 +152,14 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(target))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path``, in any store that Spark reads, is a folder."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
 _TABLES: list[tuple[str, SparkSession]] = []
 
 

@@ -153,6 +153,24 @@ def series_documents(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "series_docs", build)
 
 
+# --------------------------------------------------------------------------
+# F-A8: events as JSON lines, of which some are flawed: in every 11th the value
+# is no number, in every 13th the closing brace is missing.
+# --------------------------------------------------------------------------
+FLAWED_SCHEMA = "event_id BIGINT, user_id BIGINT, cents BIGINT"
+
+
+def flawed_events(spark: SparkSession, sf_dir: str) -> str:
+    def build(path: str) -> None:
+        ev = table(spark, sf_dir, "events")
+        cents = F.when(F.col("event_id") % 11 == 3, '"n/a"').otherwise(F.round(F.col("value") * 100).cast("bigint").cast("string"))
+        line = F.format_string('{"event_id":%d,"user_id":%d,"cents":%s', F.col("event_id").cast("bigint"),
+                               F.col("user_id").cast("bigint"), cents)
+        end = F.when(F.col("event_id") % 13 == 5, "").otherwise("}")
+        ev.select(F.concat(line, end).alias("value")).write.mode("overwrite").text(path)
+    return _cached(spark, sf_dir, "flawed_events", build)
+
+
 # --------------------------------------------------------------------------
 # F-A3: daily-prices CSV made from `part` (label p_retailprice).
 # --------------------------------------------------------------------------

@@ -8,9 +8,13 @@ or as JSON lines (``multi_line=False``), which Spark splits freely.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import write_table
 from quarry.sources import schemas
 
 SchemaLike = T.StructType | str | None
@@ -63,3 +67,74 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
     return (spark.read.schema(schema)
             .option("header", header).option("sep", sep)
             .csv(path))
+
+
+#: Holds the text of a record that did not fit the schema.
+CORRUPT = "_corrupt"
+
+
+@dataclasses.dataclass
+class Checked:
+    """Records read permissively, in one table with ``_file`` (where it stood),
+    ``_corrupt`` (its text, unless it is good) and ``_kind``:
+
+    * ``good``: fits the schema;
+    * ``bad_field``: well-formed, but fields do not fit: they are null, the others hold;
+    * ``broken``: no record at all; every field is null.
+    """
+    table: DataFrame
+
+    def _fields(self) -> list[str]:
+        return [f"`{c}`" for c in self.table.columns if c not in (CORRUPT, "_file", "_kind")]
+
+    def good(self) -> DataFrame:
+        return self.table.where("_kind = 'good'").select(*self._fields())
+
+    def surviving(self) -> DataFrame:
+        """Every record that is one, with null for the fields that did not fit."""
+        return self.table.where("_kind <> 'broken'").select(*self._fields())
+
+    def rejects(self) -> DataFrame:
+        """(file, kind, raw) of all that is not good."""
+        return self.table.where("_kind <> 'good'").select(
+            F.col("_file").alias("file"), F.col("_kind").alias("kind"), F.col(CORRUPT).alias("raw"))
+
+    def counts(self) -> DataFrame:
+        return self.table.groupBy(F.col("_kind").alias("kind")).agg(F.count("*").alias("n"))
+
+
+def _checked(rows: DataFrame, well_formed) -> Checked:
+    bad = F.col(CORRUPT).isNotNull()
+    kind = F.when(~bad, "good").when(well_formed, "bad_field").otherwise("broken")
+    # written once: every view reads the same parse, and Spark refuses queries of the corrupt column alone
+    return Checked(write_table(rows.select("*", F.col("_metadata.file_path").alias("_file"), kind.alias("_kind")), "checked"))
+
+
+def _with_corrupt(schema: T.StructType | str) -> T.StructType:
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def read_json_checked(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False,
+                      **options) -> Checked:
+    """JSON records of which some may be corrupt; none stops the read and none is lost."""
+    rows = (spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+            .option("columnNameOfCorruptRecord", CORRUPT).options(**options).json(path))
+    return _checked(rows, F.try_parse_json(CORRUPT).isNotNull())
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
+                     sep: str = ",", **options) -> Checked:
+    """CSV records of which some may be corrupt: ``broken`` ones have too few or too many fields."""
+    fields = _with_corrupt(schema)
+    rows = (spark.read.schema(fields).option("mode", "PERMISSIVE").option("header", header).option("sep", sep)
+            .option("columnNameOfCorruptRecord", CORRUPT).options(**options).csv(path))
+    names = [f.name for f in fields][:-1]
+    as_text = ", ".join(f"`{n}` STRING" for n in names) + ", _more STRING"
+    # as text every field fits, so only a missing or a further one is null
+    text = F.from_csv(F.col(CORRUPT), F.lit(as_text), {"sep": sep, "nullValue": "\u0000"})
+    whole = F.col("_text._more").isNull() & F.lit(True)
+    for n in names:
+        whole = whole & F.col(f"_text.`{n}`").isNotNull()
+    checked = _checked(rows.withColumn("_text", text), whole)
+    return Checked(checked.table.drop("_text"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.session import list_names, shared_dir
+from quarry.session import is_folder, list_names, shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 COMPACT_EVERY = 20
@@ -145,11 +145,15 @@ def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None =
 
 def file_stream(spark: SparkSession, directory: str, table_file: str | None, fmt: str = "parquet",
                 schema=None, max_files_per_trigger: int | None = None, **options) -> DataFrame:
-    """Stream the files of one table in ``directory`` (file source, replayable)."""
+    """Stream the files of one table in ``directory`` (file source, replayable):
+    a folder of part files, or a single file beside other tables'."""
+    path = os.path.join(directory, table_file) if table_file else directory
     if schema is None:
-        schema = spark.read.format(fmt).options(**options).load(os.path.join(directory, table_file)).schema
+        schema = spark.read.format(fmt).options(**options).load(path).schema
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
-    if table_file:
+    if table_file and is_folder(spark, path):
+        directory = path
+    elif table_file:
         reader = reader.option("pathGlobFilter", table_file)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
