@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import udfs
 from quarry.functions.harmonic import harmonic_mean as harmonic_expr
-from quarry.operators import nested, timewindows, windows
+from quarry.operators import nested, timewindows, twophase, windows
 from quarry.operators.aggregates import harmonic
 from quarry.plans.documents import _MEAS_KEPT, measurement_docs
 from quarry.plans.registry import query
@@ -117,6 +117,16 @@ def harmonic_mean_grouped(spark, sf_dir):
             .select("user_id", F.round("val_harmonicmean", 6).alias("val_harmonicmean")))
 
 
+@query("udaf_two_phase", f"""
+SELECT user_id, round({_hm_sql('value')}, 6) AS val_harmonicmean FROM events GROUP BY user_id""")
+def udaf_two_phase(spark, sf_dir):
+    """U1 + A6: a user-defined aggregator (zero, reduce, merge, finish): partial
+    buffers per task, merged by key."""
+    ev = fixtures.table(spark, sf_dir, "events")
+    out = twophase.aggregate(ev, ["user_id"], "value", twophase.HARMONIC_MEAN, "hm")
+    return out.select("user_id", F.round("hm", 6).alias("val_harmonicmean"))
+
+
 @query("harmonic_mean_zero", f"""
 SELECT user_id, count(*) FILTER (WHERE v = 0) AS zeros, round({_hm_sql('v')}, 6) AS val_harmonicmean
 FROM (SELECT user_id, CAST(floor(value) AS BIGINT) AS v FROM events) GROUP BY user_id""")

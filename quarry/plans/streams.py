@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import harmonic as hm
-from quarry.operators import nested, timewindows
+from quarry.operators import nested, timewindows, twophase
 from quarry.plans.analytics import CONCAT_SQL, LINES_SQL, _STATS_SQL, _hm_sql, flat_concat, flat_stats
 from quarry.plans.registry import query
 from quarry.session import list_names
 from quarry.sources import fixtures, poll
 from quarry.streaming import events as sev
-from quarry.streaming import runner, sinks
+from quarry.streaming import runner, sinks, supervise
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +108,44 @@ def poll_source_stream(spark, sf_dir):
     return _datapoints_out(runner.run(stream, "poll_source", "append").table())
 
 
+#: Landed files per step of the source that numbers its offsets.
+FILES_PER_STEP = 2
+
+
+@query("poll_offset_log", _DATAPOINTS_SQL)
+def poll_offset_log(spark, sf_dir):
+    """The same payloads by file number, in steps that the offset log bounds."""
+    path = fixtures.landed_payloads(spark, sf_dir)
+    consumer = uuid.uuid4().hex
+
+    def build(_):
+        return poll.datapoint_stream(spark, path, startFile=0, maxFilesPerTrigger=FILES_PER_STEP, consumer=consumer)
+
+    return _datapoints_out(supervise.run_until_drained(spark, build, "offset_log")[0].table())
+
+
+@query("supervised_stream", _DATAPOINTS_SQL)
+def supervised_stream(spark, sf_dir):
+    """S10 + T4: a processing-time run that fails in its first attempt, resumes
+    from its checkpoint and ends when the input is drained."""
+    path = fixtures.landed_payloads(spark, sf_dir)
+    files = len([n for n in list_names(spark, path) if n.startswith("file_no=")])
+
+    def build(attempt):
+        points = poll.datapoint_file_stream(spark, path, max(1, files // 3))
+        if attempt:
+            return points
+        # the injected failure: one payload in the middle of the numbers
+        middle = files // 2 * fixtures.PAYLOADS_PER_FILE * fixtures.PAYLOAD_ROWS + 1
+        failing = F.when(F.col("index") == middle, F.raise_error(F.lit("injected failure")).cast("bigint")).otherwise(F.col("index"))
+        return points.withColumn("index", failing)
+
+    result, failures = supervise.run_until_drained(spark, build, "supervised")
+    if failures != 1:
+        raise RuntimeError(f"the injected failure was met {failures} times")
+    return _datapoints_out(result.table())
+
+
 @query("payload_decode", _DATAPOINTS_SQL)
 def payload_decode(spark, sf_dir):
     """Payload wire text -> (timestamp, value, index), batch."""
@@ -157,6 +195,18 @@ def stream_sql_view(spark, sf_dir):
     return out.select(F.round("val_harmonicmean", 6).alias("val_harmonicmean"))
 
 
+@query("stream_udaf_state", _HM_CENTS_SQL)
+def stream_udaf_state(spark, sf_dir):
+    """T6 + U2: the user-defined aggregator on the stream: partial buffers in
+    each micro-batch, merged into keyed state; the newest result."""
+    runner.use_rocksdb_state(spark)
+    points = poll.datapoint_file_stream(spark, fixtures.landed_payloads(spark, sf_dir), FILES_PER_STEP)
+    agg = twophase.aggregate_stream(points.withColumn("all", F.lit(1)), ["all"], "value",
+                                    twophase.HARMONIC_MEAN, "val_harmonicmean")
+    out = runner.run(agg, "udaf_state", "update", keys=["all"], state_partitions=1).table()
+    return out.select(F.round("val_harmonicmean", 6).alias("val_harmonicmean"))
+
+
 # ------------------------------------------------------------- text stream
 @query("text_stream", LINES_SQL + """
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, make_timestamp(us) AS arrival, line FROM arrivals""")

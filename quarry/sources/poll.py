@@ -6,6 +6,13 @@ number.  Offsets are file numbers, ranges are half-open ``(start, end]``, and
 each file is one input partition read on an executor, so a restarted query
 replays exactly the files after its last committed offset.
 
+What the folders alone cannot tell is kept in a log beside them (``_log``):
+
+* ``gap=<n>``: file n will never land (``mark_gap``);
+* ``floor=<n>``: the files below n were removed (``retain``);
+* ``at-<consumer>``: the last offset that a named consumer was given, which
+  bounds its next step.
+
 Landed layout::
 
     <dir>/file_no=<n>/part-*.json    one JSON line per payload:
@@ -19,6 +26,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import shutil
 import urllib.request
 import uuid
 
@@ -68,10 +76,54 @@ def land_payload(url: str, landing_dir: str, payload_no: int, first_index: int,
     os.makedirs(hidden)
     with open(os.path.join(hidden, "part-0.json"), "w", encoding="utf-8") as fh:
         fh.write(json.dumps({"payload": payload_no, "first_index": first_index, "body": body}) + "\n")
-    os.rename(hidden, os.path.join(landing_dir, f"file_no={payload_no}"))
+    target = os.path.join(landing_dir, f"file_no={payload_no}")
+    try:
+        os.rename(hidden, target)
+    except OSError:
+        if not _committed(target):
+            raise
+        shutil.rmtree(hidden)                    # landed before, perhaps by this call's first try
     return n
 
 
+# --------------------------------------------------------------- offset log
+def _log_dir(root: str) -> str:
+    return os.path.join(_local(root), "_log")
+
+
+def _log(root: str, name: str, text: str = "") -> None:
+    """An entry of the log; replaces one of the same name as a whole."""
+    os.makedirs(_log_dir(root), exist_ok=True)
+    hidden = os.path.join(_log_dir(root), f".{uuid.uuid4().hex}")
+    with open(hidden, "w", encoding="utf-8") as fh:
+        fh.write(text)
+    os.replace(hidden, os.path.join(_log_dir(root), name))
+
+
+def _logged(root: str, kind: str) -> list[int]:
+    if not os.path.isdir(_log_dir(root)):
+        return []
+    return [int(n[len(kind) + 1:]) for n in os.listdir(_log_dir(root)) if n.startswith(f"{kind}=")]
+
+
+def mark_gap(landing_dir: str, payload_no: int) -> None:
+    """File ``payload_no`` will never land: readers go on behind it.  One that
+    has landed cannot be declared a gap."""
+    if _committed(os.path.join(_local(landing_dir), f"file_no={payload_no}")):
+        raise ValueError(f"file {payload_no} has landed")
+    _log(landing_dir, f"gap={payload_no}")
+
+
+def retain(landing_dir: str, first_kept: int) -> list[int]:
+    """Remove the files below ``first_kept`` (the log knows first, so that a
+    reader never takes them for missing); returns their numbers."""
+    _log(landing_dir, f"floor={first_kept}")
+    old = [n for n in _landed_numbers(landing_dir) if n < first_kept]
+    for n in old:
+        shutil.rmtree(os.path.join(_local(landing_dir), f"file_no={n}"))
+    return old
+
+
 # ------------------------------------------------------------------ decode
 def _parsed(landed: DataFrame) -> DataFrame:
     """``landed`` with ``_entries`` (array of key, value) and ``_bad``: not the
@@ -131,13 +183,26 @@ def _landed_numbers(root: str) -> list[int]:
     if not os.path.isdir(root):
         raise FileNotFoundError(f"landing folder {root} does not exist")
     found = [(int(m.group(1)), name) for name in os.listdir(root) if (m := _DIR_RE.match(name))]
-    return sorted(n for n, name in found
-                  if any(f.endswith(".json") and f[0] not in "._" for f in os.listdir(os.path.join(root, name))))
+    return sorted(n for n, name in found if _committed(os.path.join(root, name)))
+
+
+def _committed(folder: str) -> bool:
+    return os.path.isdir(folder) and any(f.endswith(".json") and f[0] not in "._" for f in os.listdir(folder))
+
+
+def _first(root: str, start: int | None) -> int:
+    """The number that reading begins with: ``start``, or the smallest that has
+    landed (0 if none has); files that retention removed are behind it."""
+    numbers = _landed_numbers(root)
+    first = start if start is not None else min(numbers, default=0)
+    return max([first, *_logged(root, "floor")])
 
 
 def _contiguous(root: str, start: int) -> int:
-    """The last number up to which every file after ``start`` has landed."""
-    have, n = set(_landed_numbers(root)), start
+    """The last number up to which every file after ``start`` has landed, was
+    removed by retention, or is a gap."""
+    n = max([start, *(f - 1 for f in _logged(root, "floor"))])
+    have = {*_landed_numbers(root), *_logged(root, "gap")}
     while n + 1 in have:
         n += 1
     return n
@@ -169,22 +234,60 @@ def _read_landed_dir(directory: str):
 
 class LandedPayloadStreamReader(DataSourceStreamReader):
     """Offsets are the last number of a gapless run: a file that lands out of
-    order holds back those after it, and none is passed over."""
+    order holds back those after it, and none is passed over.
+
+    Options: ``startFile``, the first number (default: the smallest that has
+    landed when the query first starts); ``maxFilesPerTrigger`` with
+    ``consumer``, the files of a step at most and the name under which the
+    log keeps how far this query was given files (one name per checkpoint);
+    ``failOnDataLoss`` (default true): a file that went away unread, by no
+    ``retain``, fails the query.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, options: dict | None = None):
+        options = {k.lower(): v for k, v in (options or {}).items()}
         self.path = path
-        self.seen = -1
+        self.start = int(options["startfile"]) if "startfile" in options else None
+        self.step = int(options["maxfilespertrigger"]) if "maxfilespertrigger" in options else None
+        self.consumer = options.get("consumer")
+        self.strict = options.get("failondataloss", "true").lower() == "true"
+        if self.step is not None and (self.step < 1 or not self.consumer):
+            raise ValueError("maxFilesPerTrigger needs a positive number and a consumer name")
+        self.seen: int | None = None
+
+    def _given(self) -> int:
+        """The offset to go on from."""
+        at = os.path.join(_log_dir(self.path), f"at-{self.consumer}")
+        if self.consumer and os.path.exists(at):
+            with open(at, encoding="utf-8") as fh:
+                return int(fh.read())
+        return _first(self.path, self.start) - 1
 
     def initialOffset(self) -> dict:
-        return {"file": -1}
+        return {"file": _first(self.path, self.start) - 1}
 
     def latestOffset(self) -> dict:
-        self.seen = _contiguous(self.path, self.seen)
+        # a new reader may resume a query: what that query was given is in the log, or all that is there
+        given = self._given() if self.seen is None else self.seen
+        end = _contiguous(self.path, given)
+        self.seen = end if self.step is None else min(end, given + self.step)
         return {"file": self.seen}
 
     def partitions(self, start: dict, end: dict):
         lo, hi = start["file"], end["file"]
-        return [_FilePartition(n, os.path.join(self.path, f"file_no={n}")) for n in range(lo + 1, hi + 1)]
+        if hi < lo:
+            raise RuntimeError(f"file {lo} was read, but the landing folder ends at {hi}: removed without retain()?")
+        if self.consumer and hi > lo:
+            _log(self.path, f"at-{self.consumer}", str(hi))
+            self.seen = max(hi, self.seen if self.seen is not None else hi)
+        landed = set(_landed_numbers(self.path))
+        known = set(_logged(self.path, "gap"))
+        floor = max(_logged(self.path, "floor"), default=0)
+        wanted = range(max(lo + 1, floor), hi + 1)
+        lost = [n for n in wanted if n not in landed and n not in known]
+        if lost and self.strict:
+            raise RuntimeError(f"landed files {lost[:10]} went away before they were read")
+        return [_FilePartition(n, os.path.join(self.path, f"file_no={n}")) for n in wanted if n in landed]
 
     def read(self, partition: _FilePartition):
         yield from _read_landed_dir(partition.directory)
@@ -223,7 +326,7 @@ class LandedPayloadSource(DataSource):
         return path
 
     def streamReader(self, schema):
-        return LandedPayloadStreamReader(self._path())
+        return LandedPayloadStreamReader(self._path(), dict(self.options))
 
     def reader(self, schema):
         return LandedPayloadBatchReader(self._path())
@@ -239,10 +342,11 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(LandedPayloadSource)
 
 
-def datapoint_stream(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Streaming datapoints (timestamp, value, index) from landed payloads."""
+def datapoint_stream(spark: SparkSession, landing_dir: str, **options) -> DataFrame:
+    """Streaming datapoints (timestamp, value, index) from landed payloads, by
+    file number (options: see ``LandedPayloadStreamReader``)."""
     register(spark)
-    return decode_payloads(spark.readStream.format("landed_payloads").load(landing_dir))
+    return decode_payloads(spark.readStream.format("landed_payloads").options(**options).load(landing_dir))
 
 
 def datapoints(spark: SparkSession, landing_dir: str) -> DataFrame:
@@ -263,8 +367,8 @@ def datapoint_file_stream(spark: SparkSession, landing_dir: str,
     bounded batches (``maxFilesPerTrigger``), the same exactly-once guarantee
     from its checkpoint, and late landings in any order.
 
-    (The Python stream reader API of Spark 4.1 has no admission control: there
-    a backlog becomes one micro-batch.)
+    (The Python stream reader API of Spark 4.1 is not asked for bounded steps;
+    ``LandedPayloadStreamReader`` bounds them itself, for runs by processing time.)
     """
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:

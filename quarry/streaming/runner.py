@@ -99,6 +99,10 @@ def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
         raise RuntimeError(str(query.exception()))
 
 
+def new_location(spark: SparkSession, name: str) -> str:
+    return shared_dir(spark, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+
+
 def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
         location: str | None = None, processing_time: str | None = None,
         timeout_s: float | None = None, state_partitions: int | None = None) -> StreamResult:
@@ -115,8 +119,7 @@ def run(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None =
         raise ValueError(f"unknown output mode {mode!r}")
     if mode == "update" and not keys:
         raise ValueError("update mode needs the result's key columns")
-    if location is None:
-        location = shared_dir(spark, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    location = location or new_location(spark, name)
     result = StreamResult(spark, location, mode, keys)
     writer = (df.writeStream.queryName(f"{name}_{uuid.uuid4().hex[:6]}").outputMode(mode)
               .option("checkpointLocation", f"{location}/checkpoint"))

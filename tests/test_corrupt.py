@@ -19,7 +19,7 @@ def test_json_kinds(spark, tmp_path):
     got = readers.read_json_checked(spark, str(tmp_path), "a INT, b ARRAY<INT>")
     assert sorted((r.a or 0, r.b) for r in got.good().collect()) == [(0, None), (1, [1, 2])]
     assert sorted((r.kind, r.raw) for r in got.rejects().collect()) == [
-        ("bad_field", lines[1]), ("bad_field", lines[2]), ("broken", lines[3]), ("broken", "no json")]
+        ("bad_field", lines[1]), ("bad_field", lines[2]), ("broken", "no json"), ("broken", lines[3])]
     assert sorted((r.a or 0, r.b) for r in got.surviving().collect() if r.a or r.b) == [(0, [3]), (1, [1, 2]), (2, None)]
     assert all(r.file.endswith("x.json") for r in got.rejects().collect())
     assert {r.kind: r.n for r in got.counts().collect()} == {"good": 2, "bad_field": 2, "broken": 2}
