@@ -12,6 +12,8 @@ features it builds.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -21,6 +23,8 @@ from pyspark.ml.regression import (GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import shared_dir
+
 
 # ------------------------------------------------------------------ splits
 def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = 42) -> list[DataFrame]:
@@ -96,9 +100,10 @@ def ols(features: str = "Features", label: str = "Close") -> LinearRegression:
     return LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, solver="normal")
 
 
-def gamma_glm(features: str = "Features", label: str = "Close", max_iter: int = GAMMA_ITER) -> GeneralizedLinearRegression:
+def gamma_glm(features: str = "Features", label: str = "Close", max_iter: int = GAMMA_ITER,
+              tol: float = 1e-6) -> GeneralizedLinearRegression:
     """Gamma family, default (inverse) link (M8)."""
-    return GeneralizedLinearRegression(featuresCol=features, labelCol=label, family="gamma", maxIter=max_iter)
+    return GeneralizedLinearRegression(featuresCol=features, labelCol=label, family="gamma", maxIter=max_iter, tol=tol)
 
 
 def random_forest(features: str = "Features", label: str = "Close", seed: int = 42) -> RandomForestRegressor:
@@ -111,6 +116,19 @@ def staged_regression(inputs: list[str], label: str, **lr_params) -> Pipeline:
                             linear_regression("scaledFeatures", label, **lr_params)])
 
 
+def save(model: PipelineModel, name: str) -> str:
+    """Save a fitted pipeline in the shared folder; returns its path."""
+    spark = SparkSession.getActiveSession()
+    path = f"{shared_dir(spark, 'models')}/{name}-{uuid.uuid4().hex[:8]}"
+    model.write().save(path)
+    return path
+
+
+def load(path: str) -> PipelineModel:
+    """A saved pipeline; it transforms batch and streaming DataFrames alike."""
+    return PipelineModel.load(path)
+
+
 # ----------------------------------------------------------------- read-out
 def coefficients(spark: SparkSession, model, names: list[str]) -> DataFrame:
     """One row per term: (term, value); the intercept is a term (M6)."""
@@ -150,6 +168,6 @@ def sequences_to_vectors(df: DataFrame, history: str = "history", out: str = "Fe
 
 __all__ = [
     "Pipeline", "PipelineModel", "random_split", "hash_bucket", "hash_split", "time_cut", "time_split", "assembler", "scaler",
-    "vector_columns", "linear_regression", "ols", "gamma_glm", "random_forest", "staged_regression",
+    "vector_columns", "linear_regression", "ols", "gamma_glm", "random_forest", "staged_regression", "save", "load",
     "coefficients", "regression_metrics", "evaluator_r2", "glm_summary", "sequences_to_vectors",
 ]

@@ -7,11 +7,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from quarry.ml import models as ml
+from quarry.ml import recurrent
 from quarry.operators import windows
 from quarry.plans.documents import prices
 from quarry.plans.registry import query
-from quarry.session import materialize
+from quarry.session import materialize, write_table
 from quarry.sources import fixtures, readers, schemas
+from quarry.streaming import runner
 
 FEATURES = ["Open", "High", "Low"]
 #: Steps of a window that the autoregression looks back on.
@@ -158,6 +160,50 @@ def holdout_metrics(spark, sf_dir):
     return out
 
 
+def _irls_sql(steps: int) -> str:
+    """Coefficients of a gamma regression (inverse link) of y on x, by ``steps``
+    weighted least squares: weights mu^2, working response eta - (y - mu) / mu^2."""
+    parts = ["w0 AS (SELECT x, y, y * y AS w, 1 / y AS z FROM t)"]
+    for k in range(steps):
+        parts.append(f"""
+b{k} AS (SELECT (sum(w) * sum(w * x * z) - sum(w * x) * sum(w * z)) / (sum(w) * sum(w * x * x) - sum(w * x) * sum(w * x)) AS slope,
+       sum(w * z) / sum(w) AS zm, sum(w * x) / sum(w) AS xm FROM w{k}),
+w{k + 1} AS (SELECT x, y, 1 / (eta * eta) AS w, eta - (y - 1 / eta) * eta * eta AS z, eta
+             FROM (SELECT x, y, zm + slope * (x - xm) AS eta FROM t, b{k}))""")
+    return ", ".join(parts) + f""",
+dv AS (SELECT 2 * sum(-ln(y * eta) + y * eta - 1) AS deviance, sum((y * eta - 1) * (y * eta - 1)) / (count(*) - 2) AS dispersion
+      FROM w{steps})
+SELECT 'High' AS term, round(slope * 1e9, 2) AS value FROM b{steps - 1} UNION ALL
+SELECT 'intercept', round((zm - slope * xm) * 1e6, 4) FROM b{steps - 1} UNION ALL
+SELECT 'deviance', round(deviance, 4) FROM dv UNION ALL SELECT 'dispersion', round(dispersion, 6) FROM dv"""
+
+
+@query("glm_gamma_single", _PART_SQL + ", t AS (SELECT x, y FROM s WHERE part = 'train'), " + _irls_sql(12))
+def glm_gamma_single(spark, sf_dir):
+    """M8 + M9: gamma regression (inverse link) on one feature: coefficients
+    (intercept in millionths, slope in billionths), deviance and dispersion."""
+    data = ml.assembler(["High"]).transform(prices(spark, sf_dir))
+    train = materialize(ml.hash_split(data, "Date")[0])
+    out = ml.glm_summary(spark, ml.gamma_glm(tol=1e-12).fit(train), train, ["High"])
+    return out.select("term", F.when(F.col("term") == "High", F.round(F.col("value") * 1e9, 2))
+                      .when(F.col("term") == "intercept", F.round(F.col("value") * 1e6, 4))
+                      .when(F.col("term") == "deviance", F.round("value", 4))
+                      .otherwise(F.round("value", 6)).alias("value"))
+
+
+@query("elastic_net_coefficients")
+def elastic_net_coefficients(spark, sf_dir):
+    """M4 + M5 + M6: coefficients of the elastic nets on all three features, raw
+    and scaled."""
+    data = ml.assembler(FEATURES).transform(prices(spark, sf_dir))
+    train, _ = ml.hash_split(data, "Date")
+    sc = ml.scaler().fit(train)
+    raw = ml.linear_regression().fit(train)
+    scaled = ml.linear_regression("scaledFeatures").fit(sc.transform(train))
+    return (ml.coefficients(spark, raw, FEATURES).withColumn("features", F.lit("raw"))
+            .unionByName(ml.coefficients(spark, scaled, FEATURES).withColumn("features", F.lit("scaled"))))
+
+
 @query("glm_gamma")
 def glm_gamma(spark, sf_dir):
     """M8 + M9: gamma GLM (inverse link), coefficients, deviance, dispersion."""
@@ -174,22 +220,17 @@ def _forest(spark: SparkSession, sf_dir: str):
     return ml.random_forest().fit(train).transform(test)
 
 
-@query("rf_regression", _PART_SQL + """
-SELECT Date, CAST(y AS FLOAT) AS Close, true AS predicted FROM s WHERE part = 'test'""")
+@query("rf_regression")
 def rf_regression(spark, sf_dir):
-    """The test rows, and whether the forest's prediction misses the price by
-    no more than prices differ (it is a mean of prices, so it has to); the values
-    are in ``rf_predictions``, scores in ``holdout_metrics``."""
-    row = prices(spark, sf_dir).agg((F.max("Close") - F.min("Close")).cast("double").alias("spread")).first()
-    most = (row.spread or 0.0) * (1 + 1e-6) + 1e-6
-    error = F.abs(F.col("prediction") - F.col("Close"))
-    return _forest(spark, sf_dir).select("Date", "Close", (error <= most).alias("predicted"))
+    """The random forest's prediction of every test row; scores are in
+    ``holdout_metrics``."""
+    return _forest(spark, sf_dir).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
 
 
 @query("rf_predictions")
 def rf_predictions(spark, sf_dir):
-    """The random forest's prediction of every test row."""
-    return _forest(spark, sf_dir).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
+    """The forest's predictions beside the errors they make."""
+    return rf_regression(spark, sf_dir).withColumn("error", F.round(F.col("prediction") - F.col("Close"), 4))
 
 
 @query("ml_fit_transform", _PART_SQL + """
@@ -203,6 +244,30 @@ def ml_fit_transform(spark, sf_dir):
     return model.transform(test).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
 
 
+@query("pipeline_predictions")
+def pipeline_predictions(spark, sf_dir):
+    """The pipeline on all three features with the elastic net, fitted
+    once and applied to the test rows."""
+    train, test = ml.hash_split(prices(spark, sf_dir), "Date")
+    model = ml.staged_regression(FEATURES, "Close").fit(train)
+    return model.transform(test).select("Date", "Close", F.round("prediction", 4).alias("prediction"))
+
+
+@query("ml_stream_predict", _PART_SQL + """
+, m AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM s WHERE part = 'train')
+SELECT Date, CAST(y AS FLOAT) AS Close, round(intercept + slope * x, 4) AS prediction FROM s, m
+WHERE part = 'test'""")
+def ml_stream_predict(spark, sf_dir):
+    """Fitted once in batch, saved, loaded, and applied to a stream of prices."""
+    train, _ = ml.hash_split(prices(spark, sf_dir), "Date")
+    path = ml.save(ml.staged_regression(["High"], "Close", reg=0.0, solver="normal").fit(train), "prices")
+    stream = runner.file_stream(spark, fixtures.prices_csv(spark, sf_dir), None, "csv", schemas.PRICES_CSV_SCHEMA,
+                                header=True, sep=",")
+    predicted = ml.load(path).transform(ml.hash_split(stream, "Date")[1])
+    out = runner.run(predicted.select("Date", "Close", "prediction"), "model_stream").table()
+    return out.select("Date", "Close", F.round("prediction", 4).alias("prediction"))
+
+
 def _telemetry(spark: SparkSession, sf_dir: str):
     tel = readers.read_csv(spark, fixtures.telemetry_csv(spark, sf_dir), schemas.TELEMETRY_CSV_SCHEMA)
     return ml.time_split(tel, "Timestamp")
@@ -225,34 +290,56 @@ def telemetry_regression(spark, sf_dir):
                                         F.round("prediction", 4).alias("prediction"))
 
 
-def _forecast(spark: SparkSession, sf_dir: str, history: int = HISTORY):
-    """Autoregression on windows per user; predictions for the last fifth of the time."""
+@query("telemetry_predictions")
+def telemetry_predictions(spark, sf_dir):
+    """The elastic net on both features of the telemetry, split by time."""
+    train, test = _telemetry(spark, sf_dir)
+    model = ml.staged_regression(["Timestamp", "IntegerValue"], "FloatValue").fit(train)
+    return model.transform(test).select("Name", "Timestamp", "FloatValue",
+                                        F.round("prediction", 4).alias("prediction"))
+
+
+def _windows(spark: SparkSession, sf_dir: str, history: int = HISTORY):
+    """Windows per user, written once as arrays: those up to the cut in time and those after it."""
     ev = fixtures.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     cut = ml.time_cut(ev, "ts").cast("timestamp_ntz")       # from the events, before they become windows
-    seq = windows.sequence_windows(ev, ["user_id"], ["ts", "event_id"], "value", history)
-    vec = ml.sequences_to_vectors(seq)
-    model = ml.ols("Features", "target").fit(vec.where(F.col("ts") <= cut))      # one pass
-    return model.transform(vec.where(F.col("ts") > cut))
+    seq = write_table(windows.sequence_windows(ev, ["user_id"], ["ts", "event_id"], "value", history), "sequences")
+    return seq.where(F.col("ts") <= cut), seq.where(F.col("ts") > cut)
+
+
+def _forecast(spark: SparkSession, sf_dir: str, history: int = HISTORY):
+    """Linear autoregression on windows per user; predictions for the last fifth of the time."""
+    early, later = _windows(spark, sf_dir, history)
+    model = ml.ols("Features", "target").fit(ml.sequences_to_vectors(early))     # one pass
+    return model.transform(ml.sequences_to_vectors(later))
 
 
-@query("ar_forecast", """
-WITH c AS (SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) * 8 // 10 AS cut FROM events),
-w AS (SELECT user_id, ts, event_id, value AS target,
-             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
-SELECT user_id, ts, event_id, target, true AS predicted FROM w, c WHERE n > 50 AND epoch_us(ts) > cut""")
+@query("ar_forecast")
 def ar_forecast(spark, sf_dir):
-    """The windows of 50 steps, and whether the autoregression's next value
-    is a finite number (a forecast may miss by any amount); the values are in
-    ``ar_predictions``, scores in ``forecast_metrics``."""
-    finite = F.abs("prediction") < float("inf")          # false for NaN, which Spark sorts last
-    return _forecast(spark, sf_dir).select("user_id", "ts", "event_id", "target", finite.alias("predicted"))
+    """The forecast of every window of 50 steps in the last fifth of the
+    time; scores are in ``forecast_metrics``."""
+    return _forecast(spark, sf_dir).select("user_id", "ts", "event_id", "target",
+                                           F.round("prediction", 4).alias("prediction"))
 
 
 @query("ar_predictions")
 def ar_predictions(spark, sf_dir):
-    """The forecast of every window of 50 steps in the last fifth of the time."""
-    return _forecast(spark, sf_dir).select("user_id", "ts", "event_id", "target",
-                                           F.round("prediction", 4).alias("prediction"))
+    """The forecasts beside the errors they make."""
+    return ar_forecast(spark, sf_dir).withColumn("error", F.round(F.col("prediction") - F.col("target"), 4))
+
+
+#: Steps that the recurrent network looks back on and training steps (one job each).
+RECURRENT_HISTORY, RECURRENT_STEPS = 20, 15
+
+
+@query("rnn_forecast")
+def rnn_forecast(spark, sf_dir):
+    """A recurrent network's forecast of the same rows from windows of 20
+    steps, trained data-parallel on the earlier ones."""
+    early, later = _windows(spark, sf_dir, RECURRENT_HISTORY)
+    model = recurrent.fit(early, steps=RECURRENT_STEPS)
+    return model.transform(later).select("user_id", "ts", "event_id", "target",
+                                         F.round("prediction", 4).alias("prediction"))
 
 
 @query("forecast_metrics")

@@ -20,7 +20,7 @@ from quarry.plans.registry import query
 from quarry.session import list_names
 from quarry.sources import fixtures, poll
 from quarry.streaming import events as sev
-from quarry.streaming import runner, sinks, supervise
+from quarry.streaming import late, runner, sinks, supervise
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +85,16 @@ def stream_late_rows(spark, sf_dir):
     return flat_stats(runner.run(agg, "late_rows", "update", keys=["window"]).table())
 
 
+@query("stream_late_table", f"""
+WITH half AS (SELECT (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 // 3600000000 * 3600000000 AS us FROM events)
+SELECT event_id, user_id, ts, value, epoch_us(ts) < us AND event_id % 10 = 0 AS late FROM events, half""")
+def stream_late_table(spark, sf_dir):
+    """The rows that the watermark would drop, as a table beside the kept ones."""
+    found = late.divide(landed_event_stream(spark, sf_dir), "late_table", "ts", "1 hour", "2 minutes")
+    both = (found.kept().withColumn("late", F.lit(False)).unionByName(found.late().withColumn("late", F.lit(True))))
+    return both.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value", "late")
+
+
 # ----------------------------------------------------------- polled source
 _DATAPOINTS_SQL = """
 WITH p AS (
