@@ -67,15 +67,31 @@ def _cuts(df: DataFrame, cols: list[str], rows_per_fragment: int | None) -> tupl
         pieces = math.ceil(2 * rows / limit)
         keys = keys.sample(fraction=min(1.0, SAMPLES * pieces / rows), seed=17)
         step = SAMPLES
-    # as many rows as there are cuts (times SAMPLES) meet in one task, and nowhere else
-    rank = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in cols]))
-    picked = (keys.select(F.struct(*cols).alias("cut"), (rank - 1).alias("at"))
-              .where((F.col("at") > 0) & (F.col("at") % step == 0)))
+    order = [F.col(c).asc_nulls_first() for c in cols]
+    if rows <= EXACT_ROWS:
+        ranked = keys.select(F.struct(*cols).alias("cut"), (F.row_number().over(Window.orderBy(*order)) - 1).alias("at"))
+    else:
+        ranked = _ranked(keys, cols, order)
+    picked = ranked.where((F.col("at") > 0) & (F.col("at") % step == 0))
     table = write_table(picked.agg(F.array_sort(F.collect_list("cut")).alias("cuts"),
                                    F.count(F.lit(1)).alias("n")), "cuts")
     return table.select("cuts"), table.first().n
 
 
+def _ranked(keys: DataFrame, cols: list[str], order: list[Column]) -> DataFrame:
+    """(cut, at): tuples of ``cols`` with their rank, from a range exchange:
+    the place in a sorted partition and the rows of the partitions before it."""
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    # written: the partitions of one sort are counted and numbered
+    placed = write_table(keys.orderBy(*order).select(F.struct(*cols).alias("cut"), F.spark_partition_id().alias("part"),
+                                                     local.alias("local")), "sorted")
+    # one row per partition of the sort
+    sizes = placed.groupBy(F.col("part").alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    firsts = sizes.select("_part", before.alias("_first"))
+    return placed.join(firsts, F.col("part") == F.col("_part")).select("cut", (F.col("_first") + F.col("local")).alias("at"))
+
+
 def with_fragments(df: DataFrame, keys: list[str], order: list[str],
                    rows_per_fragment: int | None = None) -> DataFrame:
     """Add ``_frag``: the number of cuts at or below the row's (keys, order)
