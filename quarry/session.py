@@ -163,6 +163,11 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 _TABLES: list[tuple[str, SparkSession]] = []
 
 
+def track(path: str, spark: SparkSession) -> None:
+    """Let ``remove_tables`` remove the table at ``path``."""
+    _TABLES.append((path, spark))
+
+
 def write_table(df, name: str):
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -172,7 +177,7 @@ def write_table(df, name: str):
     """
     path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(path)
-    _TABLES.append((path, df.sparkSession))
+    track(path, df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
