@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import apply_session_conf, shared_dir
+from quarry.session import apply_session_conf, shared_dir, track
 
 
 #: Rows and bytes that go to a Python worker at a time: texts can be long.
@@ -36,6 +36,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     lineage with files that every executor (and a retry) can read."""
     path = f"{shared_dir(df.sparkSession, 'llm')}/{name}-{uuid.uuid4().hex[:10]}"
     df.write.parquet(path)
+    track(path, df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
