@@ -40,13 +40,28 @@ def _seconds(duration: str) -> int | None:
     return int(parts[0]) * _UNIT_SECONDS[unit] if unit in _UNIT_SECONDS else None
 
 
-def panes(df: DataFrame, ts: str, text: str, slide: str, order_cols: list[str] | None = None) -> DataFrame:
+#: Numbered lines that one chunk of a pane holds at most.
+CHUNK_LINES = 2_000
+
+
+def panes(df: DataFrame, ts: str, text: str, slide: str, order_cols: list[str] | None = None,
+          number: str | None = None, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """(pane, piece, n_lines): the strings of each ``slide``-long pane, in the
     order of (ts, order_cols).  On a stream this is all the state there is:
-    each line is held once, not once for every window it is in."""
+    each line is held once, not once for every window it is in.
+
+    With ``number``, a column of row numbers in that order, a pane is held as
+    chunks (a further column ``chunk``): rows whose numbers have the same
+    quotient by ``chunk_lines``.  A value of the state then holds at most that
+    many lines however hot its pane is, the chunks of one pane are spread over
+    tasks, and a line that arrives rewrites its own chunk only.
+    """
     order = [ts, *[c for c in order_cols or [] if c != ts]]
-    return df.groupBy(F.window(ts, slide).alias("pane")).agg(
-        ordered_concat(order, text).alias("piece"), F.count(F.lit(1)).alias("n_lines"))
+    keys = [F.window(ts, slide).alias("pane")]
+    if number:
+        order = [number]
+        keys.append(F.floor(F.col(number) / chunk_lines).cast("bigint").alias("chunk"))
+    return df.groupBy(*keys).agg(ordered_concat(order, text).alias("piece"), F.count(F.lit(1)).alias("n_lines"))
 
 
 #: Batch input is concatenated in so many pieces of a pane first, in as many tasks.
@@ -59,9 +74,10 @@ def join_panes(pieces: DataFrame, duration: str, slide: str, out: str = "text")
     joins its pieces in order."""
     d, s = _seconds(duration), _seconds(slide)
     back = F.explode(F.sequence(F.lit(0), F.lit(d // s - 1))).alias("_j")
-    starts = pieces.select(F.col("pane.start").alias("_pane"), "piece", "n_lines", back).withColumn(
+    place = ["_pane", *[c for c in ("chunk",) if c in pieces.columns]]
+    starts = pieces.withColumn("_pane", F.col("pane.start")).select(*place, "piece", "n_lines", back).withColumn(
         "_start", F.window("_pane", slide).start - _interval(F.col("_j") * F.lit(s)))
-    grouped = starts.groupBy("_start").agg(ordered_concat(["_pane"], "piece").alias(out),
+    grouped = starts.groupBy("_start").agg(ordered_concat(place, "piece").alias(out),
                                            F.sum("n_lines").alias("n_lines"))
     window = F.struct(F.col("_start").alias("start"), (F.col("_start") + _interval(F.lit(d))).alias("end"))
     return grouped.select(window.alias("window"), out, "n_lines")
@@ -72,9 +88,11 @@ def _interval(seconds: Column) -> Column:
 
 
 def window_concat(df: DataFrame, ts: str, text: str, duration: str, slide: str | None = None,
-                  order_cols: list[str] | None = None, out: str = "text") -> DataFrame:
+                  order_cols: list[str] | None = None, out: str = "text", number: str | None = None) -> DataFrame:
     """Concatenate every string of a window in arrival order (A9, T3): by
-    ``ts``, then ``order_cols``, then the string itself.
+    ``ts``, then ``order_cols``, then the string itself; or by ``number``, a
+    column of row numbers in the order of time (``ordering.numbered``), which
+    also bounds the lines that a task sorts at once.
 
     The result of one window is one string, so its size is the window's
     input volume (duration x arrival rate).  Where the slide divides the
@@ -83,8 +101,10 @@ def window_concat(df: DataFrame, ts: str, text: str, duration: str, slide: str |
     """
     d, s = _seconds(duration), (_seconds(slide) if slide else None)
     if slide and not df.isStreaming and d and s and d % s == 0 and d > s:
+        if number:
+            return join_panes(panes(df, ts, text, slide, number=number), duration, slide, out)
         short = f"{s * 1000 // PIECES} milliseconds" if s * 1000 % PIECES == 0 else slide
         return join_panes(panes(df, ts, text, short, order_cols), duration, slide, out)
     grouped = df.groupBy(time_window(ts, duration, slide).alias("window"))
-    order = [ts, *[c for c in order_cols or [] if c != ts]]
+    order = [number] if number else [ts, *[c for c in order_cols or [] if c != ts]]
     return grouped.agg(ordered_concat(order, text).alias(out), F.count(F.lit(1)).alias("n_lines"))

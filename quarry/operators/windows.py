@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.ordering import numbered
 from quarry.session import write_table
 
 MOST_ROWS, LEAST_ROWS, PIECES = 2_000_000, 1_000, 64
@@ -81,15 +82,7 @@ def _cuts(df: DataFrame, cols: list[str], rows_per_fragment: int | None) -> tupl
 def _ranked(keys: DataFrame, cols: list[str], order: list[Column]) -> DataFrame:
     """(cut, at): tuples of ``cols`` with their rank, from a range exchange:
     the place in a sorted partition and the rows of the partitions before it."""
-    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    # written: the partitions of one sort are counted and numbered
-    placed = write_table(keys.orderBy(*order).select(F.struct(*cols).alias("cut"), F.spark_partition_id().alias("part"),
-                                                     local.alias("local")), "sorted")
-    # one row per partition of the sort
-    sizes = placed.groupBy(F.col("part").alias("_part")).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    firsts = sizes.select("_part", before.alias("_first"))
-    return placed.join(firsts, F.col("part") == F.col("_part")).select("cut", (F.col("_first") + F.col("local")).alias("at"))
+    return numbered(keys, order, "at").select(F.struct(*cols).alias("cut"), "at")
 
 
 def with_fragments(df: DataFrame, keys: list[str], order: list[str],

@@ -194,8 +194,9 @@ def flat_concat(df: DataFrame) -> DataFrame:
 @query("concat_window", CONCAT_SQL)
 def concat_window(spark, sf_dir):
     """A9 + T3 (batch): every line of a 15 s window, every 3 s, in arrival order."""
-    lines = fixtures.document_lines(spark, sf_dir)
-    return flat_concat(timewindows.window_concat(lines, "arrival", "line", "15 seconds", "3 seconds"))
+    lines = readers.read_json(spark, fixtures.landed_lines(spark, sf_dir), fixtures.LINES_SCHEMA, multi_line=False,
+                              timestamp_format=fixtures.MICROS_TS_FORMAT)
+    return flat_concat(timewindows.window_concat(lines, "arrival", "line", "15 seconds", "3 seconds", number="number"))
 
 
 # ------------------------------------------------------------ SQL surfaces

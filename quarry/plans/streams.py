@@ -37,12 +37,10 @@ def landed_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Landed files that a micro-batch takes.
 FILES_PER_BATCH = 64
 
-LINES_SCHEMA = "doc_id BIGINT, line_no INT, arrival TIMESTAMP, line STRING"
-
-
-def lines_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    return runner.file_stream(spark, fixtures.landed_lines(spark, sf_dir), None, "json", LINES_SCHEMA,
-                              files_per_batch, timestampFormat=fixtures.MICROS_TS_FORMAT)
+def lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text lines in the order of arrival, a landed slice to a batch."""
+    return runner.file_stream(spark, fixtures.landed_lines(spark, sf_dir), None, "json", fixtures.LINES_SCHEMA,
+                              fixtures.SLICE_FILES, timestampFormat=fixtures.MICROS_TS_FORMAT)
 
 
 # -------------------------------------------------------- windowed streams
@@ -222,16 +220,16 @@ def stream_udaf_state(spark, sf_dir):
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, make_timestamp(us) AS arrival, line FROM arrivals""")
 def text_stream(spark, sf_dir):
     """Every text line as one arrival, streamed to Parquet."""
-    out = runner.run(lines_stream(spark, sf_dir, FILES_PER_BATCH), "text_stream", "append").table()
+    out = runner.run(lines_stream(spark, sf_dir), "text_stream", "append").table()
     return out.select("doc_id", "line_no", F.col("arrival").cast("timestamp_ntz").alias("arrival"), "line")
 
 
 def _panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """3 s panes of the line stream: the state holds every line once.  (The
-    landed files are one batch: their order is not that of arrival, so bounded
-    batches would make lines late.)"""
+    """3 s panes of the line stream, in chunks of numbered lines: the state
+    holds every line once, and a hot pane is many values.  Lines land in the
+    order of arrival, so bounded batches make none late."""
     lines = sev.with_event_time(lines_stream(spark, sf_dir), "arrival", "15 seconds")
-    return timewindows.panes(lines, "arrival", "line", "3 seconds")
+    return timewindows.panes(lines, "arrival", "line", "3 seconds", number="number")
 
 
 @query("stream_sliding", CONCAT_SQL)
@@ -239,7 +237,7 @@ def stream_sliding(spark, sf_dir):
     """T3 + T4 + A9: 15 s windows every 3 s over arrival time: panes are
     written in update mode and joined when read back."""
     runner.use_rocksdb_state(spark)
-    pieces = runner.run(_panes(spark, sf_dir), "sliding", "update", keys=["pane"]).table()
+    pieces = runner.run(_panes(spark, sf_dir), "sliding", "update", keys=["pane", "chunk"]).table()
     return flat_concat(timewindows.join_panes(pieces, "15 seconds", "3 seconds"))
 
 
@@ -248,23 +246,23 @@ def stream_text_sink(spark, sf_dir):
     """K2 + S11: pane texts written as text files, one folder per batch,
     plus a Parquet copy of the same batch (persisted once, written twice).
 
-    Each text line is ``start<TAB>end<TAB>n_lines<TAB>text``; a pane updated
-    in several batches is read back from its newest batch.
+    Each text line is ``start<TAB>end<TAB>chunk<TAB>n_lines<TAB>text``; a chunk
+    updated in several batches is read back from its newest batch.
     """
     runner.use_rocksdb_state(spark)
     run_dir = runner.shared_dir(spark, "streams", f"text-sink-{uuid.uuid4().hex[:8]}")
     base, copy = os.path.join(run_dir, "text"), os.path.join(run_dir, "parquet")
     line = F.concat_ws("\t", F.date_format("pane.start", "yyyy-MM-dd HH:mm:ss"),
                        F.date_format("pane.end", "yyyy-MM-dd HH:mm:ss"),
-                       F.col("n_lines").cast("string"), "piece")
+                       F.col("chunk").cast("string"), F.col("n_lines").cast("string"), "piece")
     writer = sinks.fan_out(sinks.text_batches(base, line), sinks.parquet_batches(copy))
     runner.finish(_panes(spark, sf_dir).writeStream.outputMode("update")
                   .option("checkpointLocation", os.path.join(run_dir, "checkpoint"))
                   .foreachBatch(writer).trigger(availableNow=True).start())
     raw = spark.read.option("basePath", base).option("lineSep", "\n").text(base)
-    parts = F.split("value", "\t", 4)
+    parts = F.split("value", "\t", 5)
     rows = raw.select("batch", F.struct(F.to_timestamp(parts[0]).alias("start"),
                                         F.to_timestamp(parts[1]).alias("end")).alias("pane"),
-                      parts[2].cast("long").alias("n_lines"), parts[3].alias("piece"))
-    latest = rows.groupBy("pane").agg(F.max_by(F.struct("n_lines", "piece"), "batch").alias("r"))
-    return flat_concat(timewindows.join_panes(latest.select("pane", "r.*"), "15 seconds", "3 seconds"))
+                      parts[2].cast("long").alias("chunk"), parts[3].cast("long").alias("n_lines"), parts[4].alias("piece"))
+    latest = rows.groupBy("pane", "chunk").agg(F.max_by(F.struct("n_lines", "piece"), "batch").alias("r"))
+    return flat_concat(timewindows.join_panes(latest.select("pane", "chunk", "r.*"), "15 seconds", "3 seconds"))

@@ -21,7 +21,8 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import shared_dir
+from quarry.operators.ordering import numbered
+from quarry.session import shared_dir, write_table
 
 ROWS_PER_EVENT_DOC = 100_000     # rows per multi-line document (one task each)
 ROWS_PER_SERIES_DOC = 50_000     # rows per time-series document (JSON lines)
@@ -281,8 +282,25 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "line_no", arrival.alias("arrival"), "line")
 
 
+LINES_SCHEMA = "doc_id BIGINT, line_no INT, arrival TIMESTAMP, line STRING, number BIGINT, slice INT, file INT"
+#: Lines of a slice that lands at once, its files, and the least number of slices.
+LINES_PER_SLICE, SLICE_FILES, LEAST_SLICES = 4_000_000, 16, 4
+
+
 def landed_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The lines in the order in which they arrived, numbered, in slices that
+    landed one after the other.  Every slice has ``SLICE_FILES`` files (the last
+    may have fewer), so a stream that takes so many files takes a slice."""
     def build(path: str) -> None:
-        (document_lines(spark, sf_dir)
-         .write.mode("overwrite").option("timestampFormat", MICROS_TS_FORMAT).json(path))
+        lines = document_lines(spark, sf_dir)
+        lines = write_table(numbered(lines, [F.col(c).asc_nulls_first() for c in ("arrival", "doc_id", "line_no")]),
+                            "numbered_lines")
+        rows = lines.count()
+        size = max(SLICE_FILES, min(LINES_PER_SLICE, math.ceil(rows / LEAST_SLICES)))
+        for n in range(max(1, math.ceil(rows / size))):
+            part = lines.where((F.col("number") >= n * size) & (F.col("number") < (n + 1) * size))
+            # appended one by one: the file source takes files by the time they appeared
+            (part.withColumn("slice", F.lit(n)).withColumn("file", (F.col("number") % SLICE_FILES).cast("int"))
+             .repartition(SLICE_FILES, "file").write.mode("append").partitionBy("slice", "file")
+             .option("timestampFormat", MICROS_TS_FORMAT).json(path))
     return _cached(spark, sf_dir, "lines", build)

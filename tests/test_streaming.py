@@ -5,6 +5,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from quarry.sources import poll
 from quarry.streaming import events as sev
 from quarry.streaming import runner
@@ -169,6 +171,64 @@ def test_pane_state_holds_each_line_once(spark, scratch):
     assert got[4].text == "".join(f"l{i}" for i in range(9)) and got[0].text == "l0l1l2"
 
 
+def test_hot_pane_is_held_in_bounded_chunks(spark, scratch):
+    """Half of all lines arrive in one pane, over several batches: no value of
+    the state holds more than a chunk, panes that are over leave the state, and
+    the text is that of one batch over everything."""
+    from quarry.operators import timewindows
+    base = dt.datetime(2024, 1, 1)
+    times = ([base + dt.timedelta(seconds=0.1 * i) for i in range(300)]
+             + [base + dt.timedelta(seconds=31, microseconds=i) for i in range(600)]
+             + [base + dt.timedelta(seconds=60 + 0.1 * i) for i in range(300)])
+    rows = [(t, i, f"l{i},") for i, t in enumerate(times)]
+    schema, size = "arrival timestamp, number long, line string", 250
+    src = os.path.join(scratch, "src")
+    for at in range(0, len(rows), size):         # in the order of arrival
+        spark.createDataFrame(rows[at:at + size], schema).coalesce(1).write.mode("append").parquet(src)
+    lines = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src).withWatermark("arrival", "5 seconds")
+    held = timewindows.panes(lines, "arrival", "line", "3 seconds", number="number", chunk_lines=50)
+    res = runner.run(held, "chunks", "update", keys=["pane", "chunk"])
+    batches = [p for p in res.query.recentProgress if p["numInputRows"]]
+    assert len(batches) == 5
+    pieces = res.table()
+    assert pieces.agg(F.max("n_lines")).first()[0] == 50
+    hot = pieces.where(F.col("pane.start") == base + dt.timedelta(seconds=30))
+    assert hot.count() == 12 + (300 % 50 > 0)
+    # what the state holds at the end is less than what it has held
+    assert res.query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] < pieces.count() // 2
+    got = timewindows.join_panes(pieces, "15 seconds", "3 seconds")
+    want = timewindows.window_concat(spark.read.schema(schema).parquet(src), "arrival", "line", "15 seconds", "3 seconds")
+    assert {(r.window, r.text, r.n_lines) for r in got.collect()} == {(r.window, r.text, r.n_lines) for r in want.collect()}
+
+
+def test_lines_land_in_order_of_arrival(spark):
+    """Numbers follow the arrival without a gap, every slice is later than the
+    one before it, and the stream takes a slice to a batch."""
+    from quarry.plans import streams
+    from quarry.sources import fixtures
+    path = fixtures.landed_lines(spark, "/root/testdata/sf0.001")
+    rows = spark.read.schema(fixtures.LINES_SCHEMA).json(path).orderBy("number").collect()
+    assert [r.number for r in rows] == list(range(len(rows)))
+    assert [(r.arrival, r.doc_id, r.line_no) for r in rows] == sorted((r.arrival, r.doc_id, r.line_no) for r in rows)
+    assert [r.slice for r in rows] == sorted(r.slice for r in rows)
+    res = runner.run(streams.lines_stream(spark, "/root/testdata/sf0.001"), "slices", "append")
+    taken = [p["numInputRows"] for p in res.query.recentProgress if p["numInputRows"]]
+    sizes = {}
+    for r in rows:
+        sizes[r.slice] = sizes.get(r.slice, 0) + 1
+    assert taken == [sizes[s] for s in sorted(sizes)] and len(taken) == fixtures.LEAST_SLICES
+
+
+def test_numbered_rows(spark):
+    from quarry.operators.ordering import numbered
+    df = spark.range(5000).select(F.when(F.col("id") % 7 > 0, (F.col("id") * 7919) % 3001).alias("v"), "id")
+    got = numbered(df, [F.col("v").asc_nulls_first(), F.col("id")]).orderBy("number").collect()
+    assert [r.number for r in got] == list(range(5000))
+    key = [(r.v is not None, r.v or 0, r.id) for r in got]
+    assert key == sorted(key)
+    assert numbered(df.limit(0), [F.col("id")]).count() == 0
+
+
 def test_decode_keeps_every_map_entry(spark):
     body = json.dumps([{"2024-01-01T00:00:05": 7, "2024-01-01T00:00:06": 8}, {"2024-01-01T00:00:04": 0}])
     df = spark.createDataFrame([(0, 1, body)], poll.LANDED_SCHEMA)
