@@ -15,7 +15,7 @@ keys, types, nulls or bursts.
   distributed prefix sum: local sums per fragment + carried fragment totals.
 * "Previous k rows" lists are computed inside each fragment; the first k rows
   of a fragment are completed from the tails (at most k values each) of the
-  fragments before it.
+  fragments before it.  Only a key that a cut divides has tails.
 
 ``rows_per_fragment`` is the bound.  By default it is a 64th of the rows,
 between 1,000 and 2,000,000, so small inputs run the same plan as large ones.
@@ -24,6 +24,8 @@ between 1,000 and 2,000,000, so small inputs run the same plan as large ones.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,8 +56,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def _cuts(df: DataFrame, cols: list[str], rows_per_fragment: int | None) -> tuple[DataFrame | None, int]:
-    """A one-row table ``cuts`` of sorted tuples of ``cols`` (null if no cut is
-    needed), and how many there are."""
+    """A one-row table ``cuts`` of sorted, different tuples of ``cols`` (null if
+    no cut is needed), and how many there are."""
     rows = df.count()
     limit = rows_per_fragment or default_rows_per_fragment(rows)
     if rows <= limit:
@@ -74,8 +76,8 @@ def _cuts(df: DataFrame, cols: list[str], rows_per_fragment: int | None) -> tupl
     else:
         ranked = _ranked(keys, cols, order)
     picked = ranked.where((F.col("at") > 0) & (F.col("at") % step == 0))
-    table = write_table(picked.agg(F.array_sort(F.collect_list("cut")).alias("cuts"),
-                                   F.count(F.lit(1)).alias("n")), "cuts")
+    cuts = F.array_sort(F.array_distinct(F.collect_list("cut")))
+    table = write_table(picked.agg(cuts.alias("cuts")).select("cuts", F.size("cuts").alias("n")), "cuts")
     return table.select("cuts"), table.first().n
 
 
@@ -86,20 +88,31 @@ def _ranked(keys: DataFrame, cols: list[str], order: list[Column]) -> DataFrame:
 
 
 def with_fragments(df: DataFrame, keys: list[str], order: list[str],
-                   rows_per_fragment: int | None = None) -> DataFrame:
+                   rows_per_fragment: int | None = None, goes_on: str | None = None) -> DataFrame:
     """Add ``_frag``: the number of cuts at or below the row's (keys, order)
     tuple, found by binary search.  (keys, _frag, order) sorts exactly like
-    (keys, order); rows that tie in all of it share a fragment."""
+    (keys, order); rows that tie in all of it share a fragment.
+
+    Every cut is the tuple of a row, so it is the first of its fragment, and no
+    fragment after the first is empty.  ``goes_on`` names a column that tells whether the next
+    fragment begins with the row's key: true for one key of a fragment at most."""
     cuts, n = _cuts(df, [*keys, *order], rows_per_fragment)
     if not n:
-        return df.withColumn("_frag", F.lit(0))
+        return df.select("*", F.lit(0).alias("_frag"), *([F.lit(False).alias(goes_on)] if goes_on else []))
     steps = F.array(*[F.lit(1 << k) for k in range(n.bit_length() - 1, -1, -1)])
     placed = df.select("*", cuts.scalar().alias("_cuts"), F.struct(*keys, *order).alias("_tuple"))
     found = F.aggregate(
         steps, F.lit(0),
         lambda at, step: F.when((at + step <= n) & (F.get("_cuts", at + step - 1) <= F.col("_tuple")),
                                 at + step).otherwise(at))
-    return placed.select(*df.columns, found.alias("_frag"))
+    if not goes_on:
+        return placed.select(*df.columns, found.alias("_frag"))
+    # a generator of one element: what uses the number does not search again
+    placed = placed.select(*df.columns, F.explode(F.array(found)).alias("_frag"), "_cuts")
+    following = F.get("_cuts", F.col("_frag"))
+    # past the last cut there is no fragment, and a null key must not take that for its own
+    same = reduce(and_, [following[k].eqNullSafe(F.col(k)) for k in keys], F.col("_frag") < n)
+    return placed.select(*df.columns, "_frag", same.alias(goes_on))
 
 
 # ----------------------------------------------------------- running average
@@ -135,51 +148,59 @@ def running_average(df: DataFrame, keys: list[str], order_col: str, value_col: s
 
 
 # ------------------------------------------------------- previous-k row lists
-def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: Column,
-                    k: int, out: str = "lagged", rows_per_fragment: int | None = None) -> DataFrame:
-    """``collect_list(collect) OVER (PARTITION BY keys ORDER BY order
-    ROWS BETWEEN k PRECEDING AND 1 PRECEDING)`` (W2); first row -> [].
-
-    Rows that tie in ``order`` are ordered by a hash of the row, so the result
-    does not depend on the partitioning, and a hot tie is cut as well (rows
-    alike in every column stay together).  Nulls of ``collect`` are skipped, as
-    collect_list does; collect a struct to keep positions.
-    """
+def _previous(df: DataFrame, keys: list[str], order: list[str], collect: Column, k: int,
+              rows_per_fragment: int | None) -> DataFrame:
+    """``df`` and, as ``_near``, structs ``v`` of the ``k`` rows before each, oldest first."""
     cols = df.columns
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     rows = df.select("*", collect.alias("_v"), F.xxhash64(*hashable).alias("_tie"))
-    order_cols = [F.col(c).asc_nulls_first() for c in [*order, "_tie"]]
-    place = [*keys, "_frag"]
-    # one exchange, by fragment, serves the windows and the join below
-    rows = with_fragments(rows, keys, [*order, "_tie"], rows_per_fragment).repartition("_frag")
-    w = Window.partitionBy(*place).orderBy(*order_cols)
+    place, sort = [*keys, "_frag"], [*order, "_tie"]
+    rows = with_fragments(rows, keys, sort, rows_per_fragment, "_goes_on")
     value = F.struct(F.col("_v").alias("v"))
-    staged = rows.select("*", F.row_number().over(w).alias("_pos"),
-                         F.collect_list(value).over(w.rowsBetween(-k, -1)).alias("_near"))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # the last row of a fragment knows its tail: the k - 1 values before it and its own
-    tails = staged.withColumn("_cnt", F.count(F.lit(1)).over(whole)).where("_pos = _cnt").select(
-        *place, "_cnt", F.slice(F.concat("_near", F.array(value)), -F.least(F.col("_cnt"), F.lit(k)),
-                                F.lit(k)).alias("_tail"))
-    tails = write_table(tails, "tails")            # one row per fragment of a key
-    # from which fragment on do k rows come before the fragment?
+    # Only the key that goes on in the next fragment has a tail: its last k rows.
+    # Every task keeps k rows of each fragment before anything is exchanged.
+    newest = Window.partitionBy(*place).orderBy(*[F.col(c).desc_nulls_last() for c in sort])
+    last = (rows.where("_goes_on").select(*place, value.alias("_x"), F.row_number().over(newest).alias("_back"))
+            .where(F.col("_back") <= k))
+    oldest_first = F.array_sort(F.collect_list(F.struct("_back", "_x")), lambda a, b: b["_back"] - a["_back"])
+    tails = last.groupBy(*place).agg(F.transform(oldest_first, lambda e: e["_x"]).alias("_tail"))
+    # one row per fragment; its rows are counted up to k, which is all that is asked below
+    tails = write_table(tails.select(*place, "_tail", F.size("_tail").alias("_cnt")), "tails")
+    # which fragments hold the k rows before the one that follows this?
     before = Window.partitionBy(*keys).orderBy("_frag")
     sums = tails.select(*place, "_cnt", F.sum("_cnt").over(before).alias("_upto"))
     sums = sums.select("*", F.collect_list(F.struct("_frag", "_upto")).over(
-        before.rowsBetween(-k, -1)).alias("_prior"))
-    wanted = sums.select(*keys, F.col("_frag").alias("_to"), F.explode(F.filter(
-        "_prior", lambda p: p["_upto"] > F.col("_upto") - F.col("_cnt") - k)["_frag"]).alias("_frag"))
-    # only the first key of a fragment goes on from the one before: a row per fragment
+        before.rowsBetween(1 - k, Window.currentRow)).alias("_prior"))
+    wanted = sums.select((F.col("_frag") + 1).alias("_to"), *keys, F.explode(F.filter(
+        "_prior", lambda p: p["_upto"] > F.col("_upto") - k)["_frag"]).alias("_frag"))
     heads = (join_null_safe(wanted, tails.select(*place, "_tail"), place, "inner")
              .groupBy("_to").agg(F.first(F.struct(*keys)).alias("_key"),
-                                 F.array_sort(F.collect_list(F.struct("_frag", "_tail"))).alias("_t"))
+                                 F.array_sort(F.collect_list(F.struct("_frag", "_tail")),
+                                              lambda a, b: a["_frag"] - b["_frag"]).alias("_t"))
              .select("_to", "_key", F.flatten(F.transform("_t", lambda t: t["_tail"])).alias("_head")))
+    # one exchange, by fragment, serves the windows and the join
+    w = Window.partitionBy(*place).orderBy(*[F.col(c).asc_nulls_first() for c in sort])
+    staged = rows.drop("_goes_on").repartition("_frag").select(
+        "*", F.row_number().over(w).alias("_pos"), F.collect_list(value).over(w.rowsBetween(-k, -1)).alias("_near"))
     joined = staged.join(heads, F.col("_frag") == F.col("_to"), "left")
     both = F.concat("_head", "_near")
     near = F.when((F.col("_pos") <= k) & F.col("_key").eqNullSafe(F.struct(*keys)),
                   F.slice(both, -F.least(F.size(both), F.lit(k)), F.lit(k))).otherwise(F.col("_near"))
-    return (joined.select(*cols, near.alias("_near"))
-            .select(*cols, F.array_compact(F.transform("_near", lambda x: x["v"])).alias(out)))
+    return joined.select(*cols, near.alias("_near"))
+
+
+def previous_values(df: DataFrame, keys: list[str], order: list[str], collect: Column,
+                    k: int, out: str = "lagged", rows_per_fragment: int | None = None) -> DataFrame:
+    """``collect_list(collect) OVER (PARTITION BY keys ORDER BY order
+    ROWS BETWEEN k PRECEDING AND 1 PRECEDING)`` (W2); first row -> [].
+
+    Rows that tie in ``order`` are ordered by a hash of the row, so the result
+    does not depend on the partitioning, and a hot tie is cut as well (rows
+    alike in every column stay together).  Nulls of ``collect`` are skipped, as
+    collect_list does; collect a struct to keep positions.
+    """
+    near = _previous(df, keys, order, collect, k, rows_per_fragment)
+    return near.select(*df.columns, F.array_compact(F.transform("_near", lambda x: x["v"])).alias(out))
 
 
 def lag_list(df: DataFrame, keys: list[str], order: list[str], value_col: str, k: int = 10,
@@ -196,11 +217,10 @@ def sequence_windows(df: DataFrame, keys: list[str], order: list[str], value_col
     Positions are counted, not values: nulls stay in the history.  Rows with
     fewer than ``history`` predecessors produce no window.
     """
-    lagged = previous_values(df, keys, order, F.struct(F.col(value_col).alias("v")),
-                             history, "_hist", rows_per_fragment)
-    return (lagged.where(F.size("_hist") == history)
+    near = _previous(df, keys, order, F.col(value_col), history, rows_per_fragment)
+    return (near.where(F.size("_near") == history)
             .select(*keys, *order,
-                    F.transform("_hist", lambda s: s["v"]).alias(out),
+                    F.transform("_near", lambda s: s["v"]).alias(out),
                     F.col(value_col).alias(target)))
 
 

@@ -11,6 +11,7 @@ from quarry.operators import nested, timewindows, twophase, windows
 from quarry.operators.aggregates import harmonic
 from quarry.plans.documents import _MEAS_KEPT, measurement_docs
 from quarry.plans.registry import query
+from quarry.session import write_table
 from quarry.sources import fixtures, readers, schemas
 
 
@@ -71,6 +72,8 @@ def lag_list(spark, sf_dir):
                              timestamp_format=fixtures.MICROS_TS_FORMAT)
     rows = docs.select("COD", F.explode("Data").alias("Data")).select(
         "COD", F.col("Data.Fecha").alias("Fecha"), F.col("Data.Valor").alias("Valor"))
+    # written once: documents are dearer to parse than the narrow rows are to read again
+    rows = write_table(rows, "series_rows")
     # rows at one time are ordered by their values, so equal rows are interchangeable
     lagged = windows.lag_list(rows, ["COD"], ["Fecha", "Valor"], "Valor", 10, "laggedValues")
     return lagged.select("COD", _ntz("Fecha").alias("Fecha"), "Valor",
