@@ -26,6 +26,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -123,36 +124,77 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.8, sigs: str = "sigs")
     return links.where(F.col("likeness") >= threshold), named.join(sets, "s").select("id", "rep")
 
 
-def _buckets(docs: DataFrame, n: int) -> list[int]:
-    """At most ``n`` - 1 ids that cut the documents into ranges of like size."""
-    if n < 2:
-        return []
-    row = docs.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n).alias("q")).first()
-    return sorted(set(row.q or []))
+#: Bytes of text that a range of documents is to hold, and the most ranges that a plan
+#: names; beyond that product ranges grow, and are sorted with spills.
+RANGE_BYTES, MOST_RANGES = 32 << 20, 50_000
+
+
+def _prefix() -> Column:
+    """The first seven bytes of the text as a number, in the order of texts."""
+    head = F.rpad(F.hex(F.substring(F.col("text").cast("binary"), 1, 7)), 14, "0")
+    return F.conv(head, 16, 10).cast("long")
 
 
-def _bucket(cuts: list[int]) -> Column:
-    """Number of cuts at or below the id, by binary search; null ids are in 0."""
+def _cuts(rows: DataFrame, range_bytes: int) -> list[tuple[int, int, int]]:
+    """(0 for null else 1, id, prefix of the text): ascending cuts of the rows'
+    order into ranges of about ``range_bytes``.  An id that holds several ranges,
+    null included, is cut by the beginnings of its texts."""
+    sizes = rows.agg(F.count("*").alias("n"), F.count("id").alias("ids"), F.sum(F.octet_length("text")).alias("b")).first()
+    n = min(MOST_RANGES, math.ceil((sizes.b or 0) / range_bytes))
+    if n < 2:
+        return []
+    grid = F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)
+    found = (rows.agg(grid.alias("q")).first().q or []) if sizes.ids else []
+    cuts = {(1, i, -1) for i in found}
+    if sizes.ids < sizes.n:
+        cuts |= {(1, -(1 << 63), -1)} if sizes.ids else set()
+    # how many ranges an id holds, rounded up to a power of two: one pass for all of a power
+    shares = Counter(found)
+    shares[None] = n * (sizes.n - sizes.ids) // sizes.n
+    powers: dict[int, list] = {}
+    for i, k in shares.items():
+        if k > 1:
+            powers.setdefault(1 << k.bit_length(), []).append(i)
+    for m, ids in powers.items():
+        own = [i for i in ids if i is not None]
+        hot = F.col("id").isin(own) if None not in ids else F.col("id").isNull() | F.col("id").isin(own)
+        grid = F.percentile_approx("prefix", [i / m for i in range(1, m)], 10 * m)
+        for r in rows.where(hot).select("id", _prefix().alias("prefix")).groupBy("id").agg(grid.alias("q")).collect():
+            cuts |= {(0, 0, p) if r.id is None else (1, r.id, p) for p in r.q or []}
+    return sorted(cuts)
+
+
+def _bucket(cuts: list[tuple[int, int, int]]) -> Column:
+    """Number of cuts at or below the row, by binary search."""
     if not cuts:
         return F.lit(0)
+    # constants, folded once
+    known, ids, heads = (F.split(F.lit(",".join(str(c[k]) for c in cuts)), ",").cast("array<bigint>") for k in range(3))
+    given, own = F.col("id").isNotNull().cast("long"), F.coalesce("id", F.lit(0).cast("long"))
+    # the texts' beginnings are looked at only where a cut does
+    head = _prefix() if any(c[2] >= 0 for c in cuts) else F.lit(0).cast("long")
+
+    def reached(i: Column) -> Column:
+        tie = (F.get(ids, i) == own) & (F.get(heads, i) <= head)
+        return (F.get(known, i) < given) | ((F.get(known, i) == given) & ((F.get(ids, i) < own) | tie))
+
     steps = [1 << k for k in range(len(cuts).bit_length() - 1, -1, -1)]
-    bounds = F.array(*[F.lit(c) for c in cuts])
-    found = F.aggregate(
+    return F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, step: F.when((at + step <= len(cuts)) & (F.get(bounds, at + step - 1) <= F.col("id")),
-                                at + step).otherwise(at))
-    return F.when(F.col("id").isNull(), 0).otherwise(found)
+        lambda at, step: F.when((at + step <= len(cuts)) & reached(at + step - 1), at + step).otherwise(at))
 
 
-def with_next(rows: DataFrame, sigs: str = "sigs") -> DataFrame:
+def with_next(rows: DataFrame, sigs: str = "sigs", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``rows`` (id, text) with their signatures, and next_text and next_<sigs>
     of the row that follows in the order of ids.
 
-    Rows are dealt to ranges of ids; inside a range the next row is the next
-    one.  Across ranges only the first row of each is looked at, and there are
-    at most as many ranges as the session has shuffle partitions."""
+    Rows are dealt to ranges of their order, whose number follows from the bytes
+    of the texts, a task to each; inside a range the next row is the next one.  Across ranges only
+    the first row of each is looked at.  Rows with the same id whose texts
+    begin alike (seven bytes) stay together."""
     spark = rows.sparkSession
-    bucket = _bucket(_buckets(rows, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    cuts = _cuts(rows, range_bytes)
+    bucket = _bucket(cuts)
     rank = F.struct(F.col("id").isNotNull(), "id", "text")
     firsts = store(rows.groupBy(bucket.alias("bucket")).agg(F.min(rank).alias("r"))
                    .select("bucket", "r.text"), "firsts")
@@ -162,7 +204,7 @@ def with_next(rows: DataFrame, sigs: str = "sigs") -> DataFrame:
                             "text", sigs)
     heads = heads.select("_from", F.struct("text", sigs).alias("_first"))
     order = Window.partitionBy("bucket").orderBy(F.col("id").asc_nulls_first(), "text")
-    placed = with_signatures(rows, "text", sigs).withColumn("bucket", bucket)
+    placed = with_signatures(rows, "text", sigs).withColumn("bucket", bucket).repartitionById(len(cuts) + 1, "bucket")
     inside = placed.select("*", F.lead(F.struct("text", sigs)).over(order).alias("_next"))
     joined = inside.join(heads, (F.col("bucket") == F.col("_from")) & F.col("_next").isNull(), "left")
     found = F.coalesce("_next", "_first")

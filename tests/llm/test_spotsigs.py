@@ -85,6 +85,22 @@ def test_near_duplicates_against_all_pairs(spark):
     assert links.count() == len(want)
 
 
+def test_next_row_across_ranges_of_hot_ids(spark):
+    """A third of the ids are null and a third are one id: their rows are cut
+    by the beginnings of their texts, and the next row is that of one sorted list."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i * 13 % 400 - 150, f"{i * 7919 % 1000:04d} the text é{i}")
+            for i in range(600)] + [(None, ""), (7, ""), (7, ""), (None, "a")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    cuts = spotsigs._cuts(df, 600)
+    sizes = [r["count"] for r in df.groupBy(spotsigs._bucket(cuts).alias("b")).count().collect()]
+    assert len(cuts) > 20 and max(sizes) < 40
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    follows = sorted((repr(r), n[1]) for r, n in zip(want, want[1:] + want[:1]))
+    got = spotsigs.with_next(df, range_bytes=600)
+    assert sorted((repr((r.id, r.text)), r.next_text) for r in got.collect()) == follows
+    assert spotsigs._cuts(df.where("id is null"), 600) and spotsigs._cuts(df.limit(0), 600) == []
+
+
 def test_pruned_by_length(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], [1]), ([1, 2], [1, 2, 3]), ([], [])], "a array<long>, b array<long>")
     got = [r[0] for r in df.select(spotsigs.likeness(F.col("a"), F.col("b"), 0.5)).collect()]
