@@ -281,9 +281,9 @@ def _classes(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float,
              .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
     places = store(needed(meets).groupBy("id").agg(F.collect_list(F.struct(*PLACE)).alias("at")),
                    "places")
-    # of rows without an id, any number may have the text that is asked for
-    held = texts.where("not none").unionByName(texts.where("none").dropDuplicates(["th"]))
-    asked = places.join(reps, "id").join(held, [*KNOWN])
+    # any number of rows may have the id (or none) and the text that is asked for: every task
+    # gives one of them before the exchange
+    asked = places.join(reps, "id").join(texts.dropDuplicates([*KNOWN]), [*KNOWN])
     meets = (with_sets(asked.select("id", "set_key", "text", "at", "bands", "copies"), n)
              .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
     found = store(verify(meets, threshold), "links")
