@@ -5,9 +5,13 @@ with a count).  Every representative is hashed by the signs of its products
 with ``bits`` random hyperplanes in each of several tables; the number of
 tables follows from the recall wanted at the threshold, and ``bits`` grows with
 the logarithm of the number of vectors, so buckets keep their size as data
-grows.  Vectors that share a bucket meet in one task, in blocks if the bucket
-is large, and *all* pairs of the bucket are verified by a block of exact
-double-precision cosines.  No pair list is ever written: a task emits, for each
+grows.  What meets in a bucket first is a sketch of each vector, ``SKETCH`` more
+sign bits: pairs of random vectors agree on half of them, pairs at the threshold on
+many more, and only vectors with a partner that agrees on enough (``DEVIATIONS``
+standard deviations below what the threshold expects, so that a link is lost to it
+once in 30,000) are fetched.  They meet in one task, in blocks if the bucket is
+large, and *all* their pairs are verified by a block of exact double-precision
+cosines.  No pair list is ever written: a task emits, for each
 vector, its number of links (a pair counts in the first table that it shares,
 which both sides know from their codes) and the smallest member of its local
 component.  Those star edges go to the distributed connected components.
@@ -35,6 +39,9 @@ from quarry.llm.groups import complete_groups, matrix, smallest_linked
 
 #: Rows of a bucket that one block holds.
 BLOCK = 1024
+#: Sign bits of a sketch, a multiple of 8, and how far below the expected agreement
+#: of a pair at the threshold a pair is still verified.
+SKETCH, DEVIATIONS = 256, 4.0
 
 
 def planes(dim: int, bits: int, tables: int) -> np.ndarray:
@@ -53,6 +60,47 @@ def usable(vec: str) -> "F.Column":
     return F.col(vec).isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(vec, lambda x: x != 0)
 
 
+def sketches(reps: DataFrame) -> DataFrame:
+    """(u, sketch): the signs of each vector's products with ``SKETCH`` hyperplanes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u = batch.column("u").to_numpy()
+            for dim, rows, x in matrix(batch.column("x")):
+                packed = np.packbits(x @ planes(dim, SKETCH, 1) > 0, axis=1)
+                yield pa.record_batch({"u": pa.array(u[rows]),
+                                       "sketch": pa.array([p.tobytes() for p in packed], pa.binary())})
+
+    return reps.select("u", "x").mapInArrow(run, "u long, sketch binary")
+
+
+def least_agreement(threshold: float) -> int:
+    """Bits on which the sketches of a pair to be verified agree, at least."""
+    agree = 1 - math.acos(threshold) / math.pi
+    return math.floor(SKETCH * agree - DEVIATIONS * math.sqrt(SKETCH * agree * (1 - agree)))
+
+
+def promising(meets: DataFrame, threshold: float) -> DataFrame:
+    """The bucket rows that have a partner there whose sketch agrees enough."""
+    least = least_agreement(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols, bounds in complete_groups(batches, ["bucket", "_a", "_b"]):
+            keep = np.zeros(len(cols["u"]), bool)
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                packed = np.frombuffer(b"".join(cols["sketch"][a:b]), np.uint8).reshape(b - a, -1)
+                signs = np.unpackbits(packed, axis=1).astype(np.float32) * 2 - 1
+                near = signs @ signs.T >= 2 * least - SKETCH
+                np.fill_diagonal(near, False)
+                if cols["_a"][a] != cols["_b"][a]:
+                    block = cols["_blk"][a:b]
+                    near &= block[:, None] != block
+                keep[a:b] = near.any(axis=1)
+            if keep.any():
+                yield pa.record_batch({k: pa.array(cols[k][keep]) for k in ("bucket", "_a", "_b", "_blk", "u")})
+
+    return meets.mapInArrow(run, "bucket long, _a int, _b int, _blk int, u long")
+
+
 def bucket_rows(reps: DataFrame, bits: int, tables: int) -> DataFrame:
     """(bucket, u) for every representative and table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,17 +164,22 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``."""
     rows = vectors.select(F.col(vec_id).alias("id"), F.col(vec).alias("x"))
     good = F.col("id").isNotNull() & usable("x")
-    rows = rows.withColumn("u", F.when(good, F.xxhash64("x")))
-    reps = store(rows.where("u is not null").groupBy("u")
+    # equal vectors are known by 128 bits of hash; representatives are numbered as they are written
+    rows = rows.select("id", "x", F.when(good, F.xxhash64("x")).alias("h"),
+                       F.when(good, F.xxhash64(F.lit(1), "x")).alias("g"))
+    reps = store(rows.where("h is not null").groupBy("h", "g")
                  .agg(F.min_by("x", "id").alias("x"), F.min("id").alias("low_id"),
-                      F.count("*").alias("copies")), "vectors")
+                      F.count("*").alias("copies"))
+                 .select(F.monotonically_increasing_id().alias("u"), "*"), "vectors")
     n = reps.count()
     bits = max(4, math.ceil(math.log2(max(n, 1) / 64 + 1)))
     agree = 1 - math.acos(threshold) / math.pi
     tables = bands_for(agree, bits, recall)
-    meets = with_block_pairs(bucket_rows(reps, bits, tables), "bucket", F.col("u"), BLOCK)
-    meets = (meets.join(reps.select("u", "x", "copies"), "u")
-             .repartition("bucket", "_a", "_b").sortWithinPartitions("bucket", "_a", "_b"))
+    place = ["bucket", "_a", "_b"]
+    meets = (with_block_pairs(bucket_rows(reps, bits, tables), "bucket", F.col("u"), BLOCK)
+             .join(sketches(reps), "u").repartition(*place).sortWithinPartitions(*place))
+    meets = (store(promising(meets, threshold), "promising").join(reps.select("u", "x", "copies"), "u")
+             .repartition(*place).sortWithinPartitions(*place))
     found = store(verify(meets, bits, tables, threshold), "links")
     links = found.groupBy("u").agg(F.sum("links").alias("links"))
     parts = components(found.select("u", "low"), "u", "low")
@@ -136,9 +189,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embe
              .join(links, "u", "left"))
     smallest = named.groupBy(F.col("component").alias("c")).agg(F.min("low_id").alias("component_id"))
     named = (named.join(smallest, F.col("component") == F.col("c"))
-             .select(F.col("u").alias("r"), "component_id",
+             .select(F.col("h").alias("h2"), F.col("g").alias("g2"), "component_id",
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return rows.select("id", "u").join(named, F.col("u") == F.col("r"), "left").select(
+    same = (F.col("h") == F.col("h2")) & (F.col("g") == F.col("g2"))
+    return rows.select("id", "h", "g").join(named, same, "left").select(
         F.col("id").alias("vec_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").cast("long").alias("component_id"),
