@@ -132,3 +132,89 @@ def test_longer_rules_take_their_sentences(spark):
     df = spark.createDataFrame([(1, "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License.")],
                                "doc_id long, text string")
     assert licenses.scan(df, rules=rules).first().licenses == "both"
+
+WHOLE = {
+    "MIT": ("MIT License\n\nCopyright (c) 2011-2024 Jane Q. Example and others\n\nPermission is hereby granted, free of "
+            "charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), "
+            "to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, "
+            "merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the "
+            "Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this "
+            "permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS "
+            "PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\n"
+            "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER\nLIABILITY, WHETHER IN AN ACTION OF "
+            "CONTRACT, TORT OR OTHERWISE, ARISING FROM,\nOUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+            "DEALINGS IN THE\nSOFTWARE.\n"),
+    "BSD-3-Clause": ("// Copyright (c) 1998, Some Lab\n// All rights reserved.\n//\n// Redistribution and use in source and "
+                     "binary forms, with or without\n// modification, are permitted provided that the following conditions "
+                     "are met:\n//\n// 1. Redistributions of source code must retain the above copyright notice, this\n// list "
+                     "of conditions and the following disclaimer.\n// 2. Redistributions in binary form must reproduce the "
+                     "above copyright notice,\n// this list of conditions and the following disclaimer in the "
+                     "documentation\n// and/or other materials provided with the distribution.\n// 3. Neither the name of the "
+                     "University of\n// Somewhere nor the names of its contributors may be used to endorse or promote\n// "
+                     "products derived from this software without specific prior written permission.\n//\n// THIS SOFTWARE "
+                     "IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"\n// AND ANY EXPRESS OR IMPLIED "
+                     "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\n// IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS "
+                     "FOR A PARTICULAR PURPOSE ARE\n// DISCLAIMED.\nint main() {}\n"),
+    "Apache-2.0": ("# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in "
+                   "compliance with the License.\n# You may obtain a copy of the License at\n#\n#     "
+                   "http://www.apache.org/licenses/LICENSE-2.0\n#\n# Unless required by applicable law or agreed to in "
+                   "writing, software\n# distributed under the License is distributed on an \"AS IS\" BASIS,\n# WITHOUT "
+                   "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n# See the License for the specific "
+                   "language governing permissions and\n# limitations under the License.\n\nimport os\n"),
+    "MPL-2.0": ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the "
+                "MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */\n"),
+    "GPL-3.0-or-later": ("    This program is free software: you can redistribute it and/or modify\n    it under the terms of "
+                         "the GNU General Public License as published by\n    the Free Software Foundation, either version 3 "
+                         "of the License, or\n    (at your option) any later version.\n\n    This program is distributed in "
+                         "the hope that it will be useful,\n"),
+    "ISC": "/* SPDX-License-Identifier: ISC */\n",
+    "GPL-3.0": "# SPDX-License-Identifier: GPL-3.0\nthe end",
+}
+
+
+def test_whole_licence_texts_in_any_wrapping(spark):
+    """Names, years, comment marks and line lengths do not matter; one rule takes the whole text."""
+    rows = []
+    for k, (name, text) in enumerate(WHOLE.items()):
+        words = text.split(" ")
+        rows += [(10 * k, name, text), (10 * k + 1, name, "Intro words.\n\n" + text + "\nmore words here."),
+                 (10 * k + 2, name, " ".join(text.replace("\n//", "\n").replace("\n#", "\n").split()))
+                 if name in ("MIT", "MPL-2.0", "GPL-3.0-or-later") else (10 * k + 2, name, text.upper())]
+        assert words
+    df = spark.createDataFrame(rows, "doc_id long, name string, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert {i: (got[i].licenses, got[i].n_rules) for i, _, _ in rows if i % 10 != 2} == {
+        i: (name, 1) for i, name, _ in rows if i % 10 != 2}
+    for i, name, _ in rows:
+        assert got[i].licenses == name or (name == "MIT" and i % 10 == 2), got[i]
+
+
+def test_wrapped_sentences_that_come_to_nothing(spark):
+    long = "x" * 600
+    rows = [
+        (0, "Licensed under the\nApache License,\nVersion 2.0"), (1, "Licensed under the\n\nnothing. All rights\nreserved."),
+        (2, "Licensed under\nLicensed under CC BY 4.0"), (3, "Neither the name of " + long + "\nAll rights reserved"),
+        (4, "Copyright (c)\n2020 Someone\nAll rights reserved."), (5, "Copyright (c) 2020 Someone. MIT License"),
+        (6, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software\nAll rights "
+            "reserved"),
+    ]
+    got = {r.doc_id: r.sentence_ids for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: "1", 1: "12", 2: "11", 3: "12", 4: "52,12", 5: "52,23", 6: "5,12"}
+
+
+def test_scan_against_its_sql(spark, docs):
+    import duckdb
+    rows = [(i, t) for i, t in enumerate([*WHOLE.values(), "\n".join(WHOLE.values()), None, "",
+                                          *[t[k:] for t in WHOLE.values() for k in (40, 90)]])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
+    got = sorted((tuple(r) for r in licenses.scan(df).collect()), key=str)
+    documents = df.toPandas()  # noqa: F841
+    documents["doc_id"] = documents["doc_id"].astype("Int64")
+    want = duckdb.sql(licenses.oracle()).fetchall()
+    assert got == sorted(want, key=str)
+
+
+def test_a_sentence_cannot_begin_with_a_name(spark):
+    with pytest.raises(ValueError):
+        licenses.sentence_ids(F.lit(""), ("* is free",))
