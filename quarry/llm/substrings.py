@@ -33,6 +33,7 @@ kept as they are; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import ragged, read, store
-from quarry.llm.groups import complete_groups
-from quarry.llm.suffixes import suffix_array
+from quarry.llm.suffixes import MEMORY, Space, suffix_array
 
 #: Bytes of the grams that anchors are chosen from.
 GRAM = 128
@@ -186,57 +186,89 @@ def fetched(asked: DataFrame, length: int) -> DataFrame:
         run, "doc long, th binary, a int, h long, n long, crowded boolean, data binary")
 
 
-def repeated_windows(data: list[bytes], length: int) -> list[np.ndarray]:
-    """Of each piece, the windows that start elsewhere too, by a suffix array
-    over all pieces."""
-    size = np.fromiter(map(len, data), np.int64, len(data))
-    text = np.ones(int(size.sum()) + len(data) + 1, np.uint16)       # 1 ends a piece
-    start = np.cumsum(size + 1) - (size + 1)
-    text[ragged(start, size)] = np.frombuffer(b"".join(data), np.uint8).astype(np.uint16) + 2
-    text[-1] = 0
-    order, lcp = suffix_array(text, length)
-    alike = lcp >= length
-    hit = np.zeros(len(text), bool)
-    hit[order[alike]] = True
-    hit[order[:-1][alike[1:]]] = True
-    return [np.flatnonzero(hit[s:s + max(0, n - length + 1)]) for s, n in zip(start, size)]
-
-
-def sorted_shards(shards: DataFrame, length: int) -> DataFrame:
-    """(doc, th, lo, hi): ranges of repeated bytes in pieces that occur once."""
+class Shard:
+    """Pieces that are sorted together: their bytes in a file of the task's own
+    (in memory up to ``memory`` bytes), a few numbers for each."""
+
+    def __init__(self, memory: int):
+        self.memory = memory
+        self.bytes = tempfile.SpooledTemporaryFile(memory)
+        self.sizes: list[int] = []
+        self.places: list[tuple] = []                    # doc, th, a, n
+
+    def add(self, data: bytes, place: tuple) -> None:
+        self.bytes.write(data)
+        self.sizes.append(len(data))
+        self.places.append(place)
+
+    def repeated(self, length: int) -> Iterator[np.ndarray]:
+        """Of each piece, the windows that start elsewhere too, by a suffix
+        array over all pieces."""
+        space, size = Space(self.memory), np.array(self.sizes, np.int64)
+        ends = np.cumsum(size + 1)
+        start, n = ends - size - 1, int(ends[-1]) + 1
+        text = space.room(n, np.uint16)
+        self.bytes.seek(0)
+        low = 0
+        while low < len(size):                           # pieces of about a block
+            high = max(low + 1, int(np.searchsorted(ends, start[low] + space.block, "right")))
+            part = np.ones(int(ends[high - 1] - start[low]), np.uint16)     # 1 ends a piece
+            data = np.frombuffer(self.bytes.read(int(size[low:high].sum())), np.uint8)
+            part[ragged(start[low:high] - start[low], size[low:high])] = data.astype(np.uint16) + 2
+            text[start[low]:ends[high - 1]] = part
+            low = high
+        text[n - 1] = 0
+        order, lcp = suffix_array(text, length, space=space)
+        del text
+        hit = space.room(n, bool)
+        for a, b in space.blocks(n):
+            hit[a:b] = False
+        for a, b in space.blocks(n, 1):
+            alike = lcp[a:b] >= length
+            hit[order[a:b][alike]] = True
+            hit[order[a - 1:b - 1][alike]] = True
+        for s, k in zip(start.tolist(), size.tolist()):
+            yield np.flatnonzero(hit[s:s + max(0, k - length + 1)])
+
+
+def sorted_shards(shards: DataFrame, length: int, shard: int, memory: int) -> DataFrame:
+    """(doc, th, lo, hi): ranges of repeated bytes in pieces that occur once.
+    Grams are put together until they have ``shard`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
-        size = 0
-
-        def solve() -> pa.RecordBatch:
-            cols = {k: np.concatenate([h[k] for h in held]) for k in ("doc", "th", "a", "n", "data")}
+        def solve(held: Shard) -> Iterator[pa.RecordBatch]:
             out = {"doc": [], "th": [], "lo": [], "hi": []}
-            for k, found in enumerate(repeated_windows(cols["data"].tolist(), length)):
-                if len(found) and cols["n"][k] == 1:
+
+            def batch() -> pa.RecordBatch:
+                return pa.record_batch({"doc": pa.array(out["doc"], pa.int64()),
+                                        "th": pa.array(out["th"], pa.binary()),
+                                        **{k: pa.array(out[k], pa.int32()) for k in ("lo", "hi")}})
+
+            for (doc, th, a, n), found in zip(held.places, held.repeated(length)):
+                if len(found) and n == 1:
                     cut = np.flatnonzero(np.diff(found) > 1)
-                    lo = found[np.concatenate(([0], cut + 1))] + cols["a"][k]
-                    hi = found[np.concatenate((cut, [len(found) - 1]))] + cols["a"][k] + length
-                    out["doc"] += [cols["doc"][k]] * len(lo)
-                    out["th"] += [cols["th"][k]] * len(lo)
+                    lo = found[np.concatenate(([0], cut + 1))] + a
+                    hi = found[np.concatenate((cut, [len(found) - 1]))] + a + length
+                    out["doc"] += [doc] * len(lo)
+                    out["th"] += [th] * len(lo)
                     out["lo"] += lo.tolist()
                     out["hi"] += hi.tolist()
-            return pa.record_batch({"doc": pa.array(out["doc"], pa.int64()),
-                                    "th": pa.array(out["th"], pa.binary()),
-                                    **{k: pa.array(out[k], pa.int32()) for k in ("lo", "hi")}})
-
-        for cols, bounds in complete_groups(batches, ["h"]):
-            sizes = np.fromiter(map(len, cols["data"]), np.int64, len(cols["data"]))
-            low = 0
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                size += int(sizes[a:b].sum())
-                if size >= SHARD:
-                    held.append({k: v[low:b] for k, v in cols.items()})
-                    yield solve()
-                    held, size, low = [], 0, b
-            if low < len(cols["h"]):
-                held.append({k: v[low:] for k, v in cols.items()})
-        if held:
-            yield solve()
+                    if len(out["lo"]) >= 100_000:
+                        yield batch()
+                        out = {k: [] for k in out}
+            yield batch()
+
+        held, size, gram = Shard(memory), 0, None
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in ("h", "data", "doc", "th", "a", "n"))):
+                if row[0] != gram:
+                    if size >= shard:
+                        yield from solve(held)
+                        held, size = Shard(memory), 0
+                    gram = row[0]
+                held.add(row[1], row[2:])
+                size += len(row[1])
+        if held.sizes:
+            yield from solve(held)
 
     return shards.select("doc", "th", "a", "h", "n", "data").mapInArrow(
         run, "doc long, th binary, lo int, hi int")
@@ -285,7 +317,8 @@ def _same(a: str = "doc", b: str = "th") -> Column:
     return (F.col(a) == F.col("d")) & (F.col(b) == F.col("t"))
 
 
-def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int = CROWD,
+                    shard: int = SHARD, memory: int = MEMORY) -> DataFrame:
     """(doc, th, lo, hi): byte ranges that are covered by repeated windows
     (they may overlap) of ``rows`` (doc, th, body)."""
     found = store(anchored(rows, length, gram), "anchors")
@@ -310,7 +343,7 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int = GRAM, crowd: int =
     holders = rows.join(_few(asked), _same(), "left_semi").dropDuplicates(["doc", "th"])
     got = store(fetched(holders.join(asked, ["doc", "th"]), length), "pieces")
     shards = (got.where("not crowded").repartition("h").sortWithinPartitions("h"))
-    found = whole.unionByName(sorted_shards(shards, length))
+    found = whole.unionByName(sorted_shards(shards, length, shard, memory))
     if not several.where("crowded").isEmpty():
         found = found.unionByName(counted_windows(got.where("crowded"), length))
     return store(found, "ranges")
@@ -331,12 +364,17 @@ def _cut(body: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[dict[s
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400,
-                   gram: int = GRAM, crowd: int = CROWD, as_text: bool = False) -> DataFrame:
+                   gram: int = GRAM, crowd: int = CROWD, as_text: bool = False, shard: int = SHARD,
+                   memory: int = MEMORY) -> DataFrame:
     """``docs`` as a struct ``row``, the bytes that are left of each text
     (``kept``; as text, without the rest of characters that a cut went through)
-    and the removed byte ranges (``spans``)."""
+    and the removed byte ranges (``spans``).
+
+    ``shard`` is how many bytes of pieces are sorted together, ``memory`` how
+    many entries of each array a sort holds: a shard may be far larger, its
+    arrays and queues are then in files of the task's own."""
     rows = _keyed(docs, doc_id, text)
-    ranges = repeated_ranges(rows.select("doc", "th", "body"), length, gram, crowd)
+    ranges = repeated_ranges(rows.select("doc", "th", "body"), length, gram, crowd, shard, memory)
     touched = _few(ranges)
     at = ranges.groupBy("doc", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("at"))
     span = "array<struct<start:int,end:int>>"

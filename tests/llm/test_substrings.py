@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -5,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import docs, empty, prepared, texts  # noqa: F401
-from quarry.llm import substrings
-from quarry.llm.suffixes import suffix_array
+from quarry.llm import substrings, suffixes
+from quarry.llm.suffixes import Space, suffix_array
 
 
 def naive(text):
@@ -20,8 +21,10 @@ def naive(text):
     return order, lcp
 
 
-@pytest.mark.parametrize("memory", [5, 1 << 20])           # with and without spilling
-def test_suffix_arrays(memory):
+@pytest.mark.parametrize("memory", [3, 1 << 20])           # with and without files
+@pytest.mark.parametrize("letters", [512, 2])              # names solved by induction, by doubling
+def test_suffix_arrays(memory, letters, monkeypatch):
+    monkeypatch.setattr(suffixes, "LETTERS", letters)
     rng = np.random.default_rng(0)
     for turn in range(150):
         n, letters = int(rng.integers(1, 100)), int(rng.integers(1, 5))
@@ -34,6 +37,37 @@ def test_suffix_arrays(memory):
         assert (order.tolist(), lcp.tolist()) == naive(text.tolist())
 
 
+def test_a_text_far_larger_than_memory():
+    """What the sort holds follows from ``memory``, not from the text."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(2, 60, 150_000)
+    text = np.concatenate([base, rng.integers(2, 60, 250_000), base[500:100_000], [0]]).astype(np.uint16)
+    spaces, peaks, found = [Space(1 << 22), Space(1 << 13)], [], []
+    for space in spaces:
+        tracemalloc.start()
+        order, lcp = suffix_array(text, 400, space=space)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        found.append(lcp)
+        assert (np.sort(order) == np.arange(len(text))).all()
+        a, b = order[:-1], order[1:]
+        assert (suffixes.common(text, a, b, 400) == lcp[1:]).all()
+        first = np.minimum(np.maximum(a, b) + lcp[1:], len(text) - 1) - np.maximum(a, b)
+        assert ((text[a + first] < text[b + first]) | (lcp[1:] == 400)).all()
+    assert (found[0] == found[1]).all()
+    assert spaces[0].on_disk == spaces[0].spilled == 0
+    assert spaces[1].on_disk > 20 * len(text) and spaces[1].spilled > len(text)
+    assert peaks[1] < 2 << 20 < 16 << 20 < peaks[0]
+
+
+def test_sort_in_runs():
+    rng = np.random.default_rng(5)
+    for memory in (1, 7, 64, 5000):
+        key = rng.integers(0, 50, 1000)
+        got_key, got = Space(memory).sort(key, np.arange(1000))
+        assert (got_key == np.sort(key)).all() and (key[got] == got_key).all() and len(set(got.tolist())) == 1000
+
+
 def brute(rows, length):
     count = Counter(b[i:i + length] for _, b in rows for i in range(len(b) - length + 1))
     out = []
@@ -57,7 +91,8 @@ def digest(df, **how):
 
 @pytest.mark.parametrize("how", [
     {"length": 400}, {"length": 60, "gram": 16}, {"length": 60, "gram": 16, "crowd": 1},
-    {"length": 24, "gram": 8},
+    {"length": 24, "gram": 8}, {"length": 60, "gram": 16, "shard": 1 << 40, "memory": 5000},
+    {"length": 60, "gram": 16, "shard": 1},
 ])
 def test_against_brute_force(docs, how):
     clash = docs.withColumn("doc", F.lit("x")).withColumn("body", F.lit(None))
