@@ -38,6 +38,12 @@ from quarry.llm.common import REMEMBERED_CHARS, offsets, ragged, read
 
 NONE = np.int32(2**31 - 1)
 
+#: Bytes of text that are encoded, and of tokens that are decoded, at a time: the arrays
+#: for a block take some 40 times as much, beside the heap of the executor.
+BLOCK = 1 << 20
+#: Pieces whose tokens a task remembers.
+REMEMBERED = 200_000
+
 # Fixed value: the Unicode property White_Space, which is what the
 # tokenizer's pattern means by \s.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -217,7 +223,7 @@ class Encoder:
     A space between two other characters always begins a word, so texts are
     first cut there, and each distinct piece is split by the pattern once."""
 
-    def __init__(self, vocab: Vocabulary, split: "regex.Pattern", remember: int = 600_000):
+    def __init__(self, vocab: Vocabulary, split: "regex.Pattern", remember: int = REMEMBERED):
         self.vocab, self.split, self.remember = vocab, split, remember
         self._forget()
 
@@ -306,7 +312,20 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, patter
 def decoded_batches(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, ids: str,
                     out: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield _put(batch, out, decode_lists(batch.column(ids), vocab))
+        for part in _of_bytes(batch, vocab, ids):
+            yield _put(part, out, decode_lists(part.column(ids), vocab))
+
+
+def _of_bytes(batch: pa.RecordBatch, vocab: Vocabulary, ids: str) -> Iterator[pa.RecordBatch]:
+    """The batch cut, at row borders, to about BLOCK bytes that its ids stand for."""
+    lists = batch.column(ids)
+    counts = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    flat = lists.flatten().to_numpy()
+    sizes = offsets(vocab.start[flat + 1] - vocab.start[flat])[offsets(counts)]
+    block = sizes[:-1] // BLOCK
+    cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
 
 
 def _broadcast(spark: SparkSession, rank_path: str):
@@ -324,7 +343,7 @@ def _schema(df: DataFrame, **new: str):
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", ids: str = "ids",
-           block_bytes: int = 8 << 20) -> DataFrame:
+           block_bytes: int = BLOCK) -> DataFrame:
     """``docs`` with the token ids (array<int>) of every whole text."""
     ranks = _broadcast(docs.sparkSession, rank_path)
     return docs.mapInArrow(
@@ -342,7 +361,7 @@ def decode(encoded: DataFrame, rank_path: str, ids: str = "ids", out: str = "dec
 
 
 def encode_and_decode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text",
-                      ids: str = "ids", out: str = "decoded", block_bytes: int = 8 << 20) -> DataFrame:
+                      ids: str = "ids", out: str = "decoded", block_bytes: int = BLOCK) -> DataFrame:
     """Both in one pass, in one worker process per task."""
     ranks = _broadcast(docs.sparkSession, rank_path)
 

@@ -65,3 +65,28 @@ def test_general_interface_keeps_other_columns(docs, spark):
 
 def test_empty_table(empty):
     assert bpe.digests(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_blocks_bound_the_memory_of_a_task():
+    import tracemalloc
+
+    import pyarrow as pa
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        vocab = bpe.vocabulary(f.read())
+    texts = [" ".join(f"word{k * n % 1009} and more" for k in range(8000)) for n in range(1, 41)]
+    batch = pa.record_batch({"text": pa.array(texts)})
+    assert batch.nbytes > 5 << 20
+    tracemalloc.start()
+    try:
+        coded = bpe.encoded_batches(iter([batch]), vocab, public_tokenizers.PATTERN, "text", "ids", bpe.BLOCK)
+        done = []
+        for part in bpe.decoded_batches(coded, vocab, "ids", "decoded"):
+            assert part.column("text").nbytes < 2 * bpe.BLOCK
+            done += part.column("decoded").to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [d.decode() for d in done] == texts
+    assert peak < 100 << 20
