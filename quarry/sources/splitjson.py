@@ -26,14 +26,16 @@ import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.session import write_table
 
-# a string, one that has no end yet, or a bracket
-_TOKEN = re.compile(r'"(?:[^"\\]++|\\.)*+(?:"|\\?\Z)|[{}\[\]]', re.S)
+# whole strings, of which the last is kept, up to a bracket, a string that has no end yet, or the end
+_TOKEN = re.compile(r'[^"{}\[\]]*+(?:"((?:[^"\\]++|\\.)*+)"[^"{}\[\]]*+)*+([{}\[\]"]|\Z)', re.S)
 _STRING_END = re.compile(r'(?:[^"\\]++|\\.)*+"', re.S)
 #: Characters scanned at a time.
 _CHUNK = 1 << 20
@@ -85,21 +87,22 @@ class Scan:
             at, self.inside = end.end(), False
         unfinished = len(text)
         for token in _TOKEN.finditer(text, at):
-            mark = token.group()
-            if mark in "{[":
+            string, mark = token.groups()
+            if string is not None:
+                self._string = string
+            if mark == "{" or mark == "[":
                 self.keys[self.depth] = self._string
                 if self.opened:
-                    self.opened(self._at + token.start(), self.depth, self._string)
+                    self.opened(self._at + token.start(2), self.depth, self._string)
                 self._string = ""
                 self.depth += 1
-            elif mark in "}]":
+            elif mark == "}" or mark == "]":
                 self.depth -= 1
                 if self.closed:
                     self.closed(self._at + token.end(), self.depth)
-            elif _STRING_END.fullmatch(mark, 1):
-                self._string = mark[1:-1]
-            else:
-                unfinished = token.start()
+            else:                                # an open string or the end
+                unfinished = token.start(2)
+                break
         self._keep(text, unfinished)
 
     def _keep(self, text: str, at: int) -> None:
@@ -110,24 +113,42 @@ class Scan:
         return self.inside or bool(self._rest)
 
 
+def _runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[str]]]:
+    """(values of ``columns``, pieces) of rows that follow each other in one
+    block, about _CHUNK bytes of them at most."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        file, start, piece = (batch.column(c) for c in ("file", "start", "piece"))
+        new = np.ones(n, bool)
+        new[1:] = np.asarray(pc.not_equal(file.slice(1), file.slice(0, n - 1)))
+        new[1:] |= np.diff(start.to_numpy()) != 0
+        part = np.cumsum(np.asarray(pc.binary_length(piece)), dtype=np.int64) // _CHUNK
+        new[1:] |= part[1:] != part[:-1]
+        cuts = np.flatnonzero(new).tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], n]):
+            yield tuple(batch.column(c)[lo].as_py() for c in columns), piece.slice(lo, hi - lo).to_pylist()
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, Iterator[str]]]:
     """((file, start, more columns), its text in chunks) of every block; rows of
     a block follow each other.  Each block has to be read to its end."""
-    rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("file", "start", *columns, "piece"))))
-    row = next(rows, None)
-    while row is not None:
-        block = row[:-1]
+    runs = _runs(batches, ("file", "start", *columns))
+    run = next(runs, None)
+    while run is not None:
+        block = run[0]
 
         def chunks() -> Iterator[str]:
-            nonlocal row
+            nonlocal run
             held, size = [], 0
-            while row is not None and row[:-1] == block:
-                held.append(row[-1])
-                size += len(row[-1]) + 1
+            while run is not None and run[0] == block:
+                held += run[1]
+                size += sum(map(len, run[1])) + len(run[1])
                 if size > _CHUNK:
                     yield "}".join([*held, ""])
                     held, size = [], 0
-                row = next(rows, None)
+                run = next(runs, None)
             if held:
                 yield "}".join([*held, ""])
 
