@@ -68,17 +68,34 @@ def panes(df: DataFrame, ts: str, text: str, slide: str, order_cols: list[str] |
 PIECES = 12
 
 
+#: Windows that are formed in one task together, as a multiple of the slides that a pane reaches back.
+BLOCK_REACHES = 10
+
+
 def join_panes(pieces: DataFrame, duration: str, slide: str, out: str = "text") -> DataFrame:
     """Sliding windows from their panes (or pieces of panes): each goes to the
     duration/slide windows that start at its slide or before, and a window
-    joins its pieces in order."""
+    joins its pieces in order.
+
+    Pieces are dealt by blocks of neighbouring windows and repeated for their
+    windows only there: a piece moves once, or twice if it reaches back into
+    the block before."""
     d, s = _seconds(duration), _seconds(slide)
-    back = F.explode(F.sequence(F.lit(0), F.lit(d // s - 1))).alias("_j")
+    reach = d // s - 1
+    width = max(1, reach * BLOCK_REACHES)
     place = ["_pane", *[c for c in ("chunk",) if c in pieces.columns]]
-    starts = pieces.withColumn("_pane", F.col("pane.start")).select(*place, "piece", "n_lines", back).withColumn(
-        "_start", F.window("_pane", slide).start - _interval(F.col("_j") * F.lit(s)))
-    grouped = starts.groupBy("_start").agg(ordered_concat(place, "piece").alias(out),
-                                           F.sum("n_lines").alias("n_lines"))
+    # the number of a piece's slide is that of the last window it is in
+    numbered = pieces.withColumn("_pane", F.col("pane.start")).select(
+        *place, "piece", "n_lines", F.window("_pane", slide).start.alias("_slide")).withColumn(
+        "_last", F.expr(f"unix_micros(_slide) div {s * 1_000_000}"))
+    blocks = F.array_distinct(F.array(*[F.floor(n / F.lit(width)) for n in (F.col("_last") - reach, F.col("_last"))]))
+    dealt = numbered.select(*place, "piece", "n_lines", "_last", F.explode(blocks).alias("_block")).repartition("_block")
+    low = F.col("_block") * width
+    own = F.sequence(F.greatest(F.col("_last") - reach, low), F.least(F.col("_last"), low + (width - 1)))
+    starts = dealt.select("_block", *place, "piece", "n_lines", F.explode(own).alias("_no"))
+    grouped = starts.groupBy("_block", "_no").agg(ordered_concat(place, "piece").alias(out),
+                                                  F.sum("n_lines").alias("n_lines"))
+    grouped = grouped.withColumn("_start", F.timestamp_micros(F.col("_no") * (s * 1_000_000)))
     window = F.struct(F.col("_start").alias("start"), (F.col("_start") + _interval(F.lit(d))).alias("end"))
     return grouped.select(window.alias("window"), out, "n_lines")
 

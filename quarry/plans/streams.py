@@ -276,5 +276,5 @@ def stream_text_sink(spark, sf_dir):
     rows = raw.select("batch", F.struct(F.to_timestamp(parts[0]).alias("start"),
                                         F.to_timestamp(parts[1]).alias("end")).alias("pane"),
                       parts[2].cast("long").alias("chunk"), parts[3].cast("long").alias("n_lines"), parts[4].alias("piece"))
-    latest = rows.groupBy("pane", "chunk").agg(F.max_by(F.struct("n_lines", "piece"), "batch").alias("r"))
-    return flat_concat(timewindows.join_panes(latest.select("pane", "chunk", "r.*"), "15 seconds", "3 seconds"))
+    latest = runner.newest_rows(rows, ["pane", "chunk"], "batch")
+    return flat_concat(timewindows.join_panes(latest, "15 seconds", "3 seconds"))

@@ -302,5 +302,5 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> str:
             # appended one by one: the file source takes files by the time they appeared
             (part.withColumn("slice", F.lit(n)).withColumn("file", (F.col("number") % SLICE_FILES).cast("int"))
              .repartition(SLICE_FILES, "file").write.mode("append").partitionBy("slice", "file")
-             .option("timestampFormat", MICROS_TS_FORMAT).json(path))
+             .option("timestampFormat", MICROS_TS_FORMAT).option("compression", "gzip").json(path))
     return _cached(spark, sf_dir, "lines", build)

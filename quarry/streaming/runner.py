@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.session import is_folder, list_names, shared_dir
+from quarry.session import is_folder, list_names, shared_dir, write_table
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 COMPACT_EVERY = 20
+#: Replaced rows whose keys are broadcast at most.
+FEW_REPLACED = 100_000
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
@@ -47,6 +49,30 @@ def _written(spark: SparkSession, out: str, kind: str) -> list[int]:
     return sorted(n for n in found if "_SUCCESS" in list_names(spark, f"{out}/{kind}={n}"))
 
 
+def newest_rows(rows: DataFrame, keys: list[str], batch: str, few: int = FEW_REPLACED) -> DataFrame:
+    """Per key, the row with the highest ``batch``, without that column.
+
+    Only keys and numbers are exchanged to find the rows that a later batch has
+    replaced.  Where those are few, the rest is read as it lies; else, or if a
+    batch has several rows of a key, the rows themselves are grouped."""
+    others = [c for c in rows.columns if c not in (*keys, batch)]
+    held = rows.groupBy(*keys, batch).agg(F.count("*").alias("_n")).groupBy(*keys).agg(
+        F.max("_n").alias("_n"), F.max(batch).alias("_last"), F.collect_list(batch).alias("_all"))
+    old = F.explode(F.when(F.col("_n") > 1, F.col("_all")).otherwise(
+        F.filter("_all", lambda b: b < F.col("_last")))).alias("_old")
+    replaced = write_table(held.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n", old), "replaced")
+    found = replaced.agg(F.count("*"), F.max("_n")).first()
+    if found[0] > few or (found[1] or 0) > 1:
+        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), batch).alias("_r"))
+        return latest.select(*keys, "_r.*")
+    if found[0]:
+        same = F.col(batch) == F.col("_old")
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        rows = rows.join(F.broadcast(replaced), same, "left_anti")
+    return rows.select(*keys, *others)
+
+
 def _newest(spark: SparkSession, out: str, keys: list[str], upto: int | None = None) -> DataFrame:
     """Per key, the row of the newest batch (up to ``upto``): the last
     snapshot and the batches after it."""
@@ -63,10 +89,8 @@ def _newest(spark: SparkSession, out: str, keys: list[str], upto: int | None = N
     cols = rows.columns
     # the number of a row's batch is the one in its folder's name
     number = F.regexp_extract(F.input_file_name(), r"/(?:batch|snapshot)_id=(\d+)/", 1).cast("long")
-    rows = rows.withColumn("_batch", number)
-    latest = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*[c for c in cols if c not in keys]), "_batch").alias("_r"))
-    return latest.select(*keys, "_r.*")
+    return newest_rows(rows.withColumn("_batch", number), keys, "_batch").select(
+        *keys, *[c for c in cols if c not in keys])
 
 
 class StreamResult:
