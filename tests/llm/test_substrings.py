@@ -1,3 +1,4 @@
+import hashlib
 import tracemalloc
 from collections import Counter
 
@@ -125,3 +126,22 @@ def test_cut_documents_keeps_whole_characters(docs, empty):
 def test_digest_of_kept_bytes():
     kept, spans = substrings._cut(b"0123456789", [(2, 4), (3, 5), (5, 6), (8, 9)])
     assert kept == b"01679" and spans == [{"start": 2, "end": 6}, {"start": 8, "end": 9}]
+
+
+def test_query_leaves_passages_of_under_400_bytes(spark, tmp_path):
+    """A passage of over 50 words that documents share is cut from 400 bytes on, however many words it has."""
+    rng = np.random.default_rng(9)
+
+    def words(n, size=5):
+        return " ".join(bytes(rng.integers(97, 123, size, np.uint8)).decode() for _ in range(n))
+
+    shared = [words(59), words(66) + " xyz", words(66) + " wxyz", words(90), words(40, 9)]
+    assert [len(p) for p in shared] == [353, 399, 400, 539, 399]
+    rows = [(10 * k + i, f"{words(70)} {i}{p}{i} {words(70)}") for k, p in enumerate(shared) for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = substrings.op10_suffix_dedup(spark, str(tmp_path)).collect()
+    want = brute([(doc, text.encode()) for doc, text in rows], 400)
+    assert sorted((tuple(r) for r in got), key=str) == [
+        (*row, hashlib.sha256(kept).hexdigest()) for *row, kept in want]
+    assert {r.doc_id: r.n_removed for r in got} == {
+        10 * k + i: n for k, n in enumerate([0, 0, 400, 539, 0]) for i in range(3)}
